@@ -10,18 +10,6 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
-def absent(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Candidates whose key is not in ``existing``.
-
-    The semi join first cuts the ever-growing existing side down to the keys of this
-    batch; a small batch is broadcast against a scan of the key columns alone, so history
-    is never shuffled. The anti join then works on batch-sized inputs.
-    """
-    batch_keys = candidates.select(*keys)
-    known = existing.select(*keys).join(batch_keys, keys, "left_semi")
-    return candidates.join(known, keys, "left_anti")
-
-
 def sized(table: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a lookup table for broadcast if its known row count allows it."""
     return F.broadcast(table) if rows <= limit else table
@@ -30,3 +18,15 @@ def sized(table: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame
 def counted(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """As :func:`sized` for a table of unknown size: counts at most ``limit + 1`` rows."""
     return sized(table, table.limit(limit + 1).count(), limit)
+
+
+def absent(candidates: DataFrame, existing: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Candidates (``rows`` of them) whose key is not in ``existing``.
+
+    The semi join first cuts the ever-growing existing side down to the keys of this
+    batch; a small batch is broadcast against a scan of the key columns alone, so history
+    is never shuffled. The anti join then works on batch-sized inputs.
+    """
+    batch_keys = candidates.select(*keys)
+    known = existing.select(*keys).join(sized(batch_keys, rows), keys, "left_semi")
+    return candidates.join(sized(known, rows), keys, "left_anti")

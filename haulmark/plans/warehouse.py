@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.calendar import calendar_columns
 from haulmark.operators.first_wins import first_attributes, first_rows
-from haulmark.operators.keyed import absent, sized
+from haulmark.operators.keyed import BROADCAST_ROWS, absent, sized
 from haulmark.operators.surrogate import numbered, stage_in_order
 from haulmark.plans.contract import conform, require_contract
 from haulmark.schemas import FACT_SHIPMENTS, SHIPMENT_KEYS, TABLES, ddl
@@ -171,7 +171,9 @@ class Warehouse:
         for name, n in new.items():
             commit["rows"][name] = commit["rows"].get(name, 0) + n
 
-        new["fact_shipments"] = self._insert_facts(raw, load_id, commit["rows"])
+        new["fact_shipments"] = self._insert_facts(
+            raw, load_id, commit["rows"], new[KEYS_TABLE]
+        )
         total = commit["rows"].get("fact_shipments", 0) + new["fact_shipments"]
         commit["rows"]["fact_shipments"] = total
         self._publish(commit)
@@ -190,20 +192,26 @@ class Warehouse:
         staged = f"{self.root}/{_STAGING}/load_id={load_id}/{name}"
         keys = _NATURAL_KEYS[name]
         stage_in_order(rows, keys, staged)
+        count = self.spark.read.parquet(staged).count()  # from file footers
         candidates = numbered(self.spark, staged, _ID_COLUMNS[name], last_id)
         if last_load:
-            candidates = absent(candidates, self._read(name, last_load), keys)
+            candidates = absent(candidates, self._read(name, last_load), keys, count)
         target = f"{self.root}/{name}/load_id={load_id}"
         conform(candidates, _SCHEMAS[name]).write.mode("overwrite").parquet(target)
         inserted = self.spark.read.schema(ddl(_SCHEMAS[name])).parquet(target).count()
-        return inserted, last_id + self.spark.read.parquet(staged).count()
+        return inserted, last_id + count
 
-    def _insert_facts(self, raw: DataFrame, load_id: int, rows: dict[str, int]) -> int:
+    def _insert_facts(
+        self, raw: DataFrame, load_id: int, rows: dict[str, int], inserted: int
+    ) -> int:
         """One wide shuffle (by shipment); the new keys filter and number in one join."""
         new_keys = self.spark.read.schema(ddl(SHIPMENT_KEYS)).parquet(
             f"{self.root}/{KEYS_TABLE}/load_id={load_id}"
         )
-        facts = first_rows(raw, ["source_shipment_id"], ORDER).join(new_keys, "source_shipment_id")
+        key = "source_shipment_id"
+        if inserted <= BROADCAST_ROWS:  # few new shipments: drop the others before the shuffle
+            raw = raw.join(F.broadcast(new_keys.select(key)), key, "left_semi")
+        facts = first_rows(raw, [key], ORDER).join(new_keys, key)
         facts = facts.withColumn("_day", F.to_date("scheduled_pickup"))
         for dimension in DIMENSIONS:
             facts = self._resolve(
