@@ -19,8 +19,14 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole)
 
 
+def exact_ratio(part: Column, whole: Column, digits: int) -> Column:
+    """Quotient in decimal arithmetic, rounded half up: no binary noise at a tie."""
+    quotient = F.try_divide(part.cast("decimal(28,2)"), whole.cast("decimal(20,0)"))
+    return F.round(quotient, digits).cast("double")
+
+
 def pct(part: Column, whole: Column, digits: int = 2) -> Column:
-    return F.round(ratio(100 * part, whole), digits)
+    return exact_ratio(100 * part, whole, digits)
 
 
 def money(total: Column) -> Column:

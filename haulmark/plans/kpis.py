@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.functions.metrics import money, n_where, pct, ratio
+from haulmark.functions.metrics import exact_ratio, money, n_where, pct
 from haulmark.plans.warehouse import Warehouse
 
 
@@ -32,9 +32,9 @@ def kpi_summary(wh: Warehouse) -> DataFrame:
     return totals.select(
         c("n").alias("total_shipments"),
         pct(c("on_time"), c("n")).alias("on_time_rate_pct"),
-        F.round(ratio(c("late_minutes"), c("late")), 1).alias("avg_delay_minutes"),
+        exact_ratio(c("late_minutes"), c("late"), 1).alias("avg_delay_minutes"),
         F.round(money(c("cost")), 2).alias("total_revenue_usd"),
-        F.round(ratio(c("cost"), c("priced")), 2).alias("avg_cost_usd"),
+        exact_ratio(c("cost"), c("priced"), 2).alias("avg_cost_usd"),
         pct(c("failed"), c("n")).alias("failure_rate_pct"),
     )
 
@@ -84,7 +84,7 @@ def kpi_by_region(wh: Warehouse) -> DataFrame:
             "region",
             c("n").alias("shipments"),
             pct(c("on_time"), c("n")).alias("on_time_pct"),
-            F.round(ratio(c("cost"), c("priced")), 2).alias("avg_cost_usd"),
+            exact_ratio(c("cost"), c("priced"), 2).alias("avg_cost_usd"),
         )
         .orderBy(F.desc("shipments"), "region")
     )
@@ -125,7 +125,7 @@ def route_scorecard(wh: Warehouse) -> DataFrame:
             "distance_km",
             "region",
             F.coalesce(c("n"), F.lit(0)).alias("total_shipments"),
-            F.round(ratio(c("cost"), c("priced")), 2).alias("avg_cost_usd"),
+            exact_ratio(c("cost"), c("priced"), 2).alias("avg_cost_usd"),
         )
         .orderBy(F.desc_nulls_last("total_shipments"), "route_id")
     )
@@ -146,7 +146,7 @@ def weather_impact(wh: Warehouse) -> DataFrame:
             "weather_condition",
             "shipments",
             pct(c("late"), c("shipments")).alias("delay_rate_pct"),
-            F.round(ratio(c("minutes"), c("timed")), 1).alias("avg_delay_min"),
+            exact_ratio(c("minutes"), c("timed"), 1).alias("avg_delay_min"),
         )
         .orderBy(F.desc_nulls_first("delay_rate_pct"), "weather_condition")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.functions.metrics import n_where, pct, ratio
+from haulmark.functions.metrics import exact_ratio, n_where, pct
 
 
 def delay_by_weather(spark: SparkSession, table: str = "raw") -> DataFrame:
@@ -13,7 +13,8 @@ def delay_by_weather(spark: SparkSession, table: str = "raw") -> DataFrame:
         f"""
         SELECT weather_condition,
                count(*) AS shipments,
-               round(100 * count_if(is_delayed) / count(*), 2) AS delay_rate_pct
+               CAST(round(CAST(100 * count_if(is_delayed) AS DECIMAL(20, 0)) / count(*), 2)
+                    AS DOUBLE) AS delay_rate_pct
         FROM {table}
         GROUP BY weather_condition
         ORDER BY delay_rate_pct DESC, weather_condition
@@ -35,7 +36,7 @@ def delay_by_traffic(records: DataFrame) -> DataFrame:
             "traffic_condition",
             "shipments",
             pct(c("late"), c("shipments")).alias("delay_rate_pct"),
-            F.round(ratio(c("cost"), c("priced")), 2).alias("avg_cost_usd"),
+            exact_ratio(c("cost"), c("priced"), 2).alias("avg_cost_usd"),
         )
         .orderBy(F.desc("delay_rate_pct"), "traffic_condition")
     )
@@ -48,4 +49,4 @@ def row_count(records: DataFrame) -> DataFrame:
 
 def delay_rate(records: DataFrame) -> DataFrame:
     late = n_where(F.col("is_delayed"))
-    return records.agg(F.round(100 * ratio(late, F.count("is_delayed")), 1).alias("delay_rate_pct"))
+    return records.agg(pct(late, F.count("is_delayed"), 1).alias("delay_rate_pct"))

@@ -35,7 +35,7 @@ def warehouse_tables(wh: Warehouse) -> dict[str, DataFrame]:
 
 def _result(counts: DataFrame, check: str, detail: Column, violations: Column) -> DataFrame:
     return counts.select(
-        F.lit(check).alias("check"),
+        F.lit(check).alias("check_name"),
         detail.alias("detail"),
         F.lit(check in CRITICAL).alias("critical"),
         violations.cast("bigint").alias("violations"),
@@ -67,7 +67,7 @@ def _fact_checks(fact: DataFrame) -> DataFrame:
 
     def entry(check: str, detail: str, violations: Column) -> Column:
         return F.struct(
-            F.lit(check).alias("check"),
+            F.lit(check).alias("check_name"),
             F.lit(detail).alias("detail"),
             F.lit(check in CRITICAL).alias("critical"),
             violations.cast("bigint").alias("violations"),
@@ -101,7 +101,7 @@ def duplicate_shipments(fact: DataFrame) -> DataFrame:
 
 
 def details(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per measured detail: check, detail, critical, violations, passed."""
+    """One row per measured detail: check_name, detail, critical, violations, passed."""
     fact = tables["fact_shipments"]
     parts = [_fact_checks(fact)]
     for name, table in tables.items():
@@ -127,16 +127,16 @@ def details(tables: dict[str, DataFrame]) -> DataFrame:
 def report(measured: DataFrame) -> DataFrame:
     """One row per check: it passes if all its details do."""
     return (
-        measured.groupBy("check", "critical")
+        measured.groupBy("check_name", "critical")
         .agg(F.sum("violations").alias("violations"), F.every("passed").alias("passed"))
-        .orderBy("check")
+        .orderBy("check_name")
     )
 
 
 def gate(measured: DataFrame) -> dict[str, bool]:
     """Pass flag per check; raises if a critical one failed (the result has 8 rows)."""
     rows = report(measured).collect()
-    failed = [row["check"] for row in rows if row["critical"] and not row["passed"]]
+    failed = [row["check_name"] for row in rows if row["critical"] and not row["passed"]]
     if failed:
         raise CriticalCheckFailed(f"critical checks failed: {failed}")
-    return {row["check"]: row["passed"] for row in rows}
+    return {row["check_name"]: row["passed"] for row in rows}

@@ -132,7 +132,7 @@ def start_ingest(
     """
     events = enrich(decode(messages))
     if stateful:
-        identity = F.coalesce(F.col("event_id"), F.concat(F.lit("?"), F.uuid()))
+        identity = F.coalesce(F.col("event_id"), F.concat(F.lit("?"), F.expr("uuid()")))
         events = events.withColumn("_identity", identity).dropDuplicates(["_identity"])
         events = events.drop("_identity")
     spark = table.spark

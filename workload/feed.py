@@ -9,6 +9,7 @@ from haulmark.functions import conditions, schedule
 from haulmark.functions.conditions import lookup
 from haulmark.plans.contract import conform
 from haulmark.schemas import RAW_SCHEMA
+from haulmark.sources.events import publish_frame
 
 # Order of records that share an order line: the first of them is "first in file".
 LINE_ORDER = [
@@ -32,7 +33,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(number: Column, choices: list[str]) -> Column:
+def pick(number: Column, choices: list[str]) -> Column:
     return lookup(number, dict(enumerate(choices)), None)
 
 
@@ -117,9 +118,9 @@ def shipment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customer_country": c("c_nation"),
         "customer_city": text(F.lit("CITY-"), (c("c_custkey") % 50).cast("string")),
         "segment": c("c_mktsegment"),
-        "contract_type": _pick(c("c_custkey") % 3, ["Annual", "Monthly", "Spot"]),
+        "contract_type": pick(c("c_custkey") % 3, ["Annual", "Monthly", "Spot"]),
         "driver_name": c("s_name"),
-        "license_type": _pick(supplier % 3, ["B", "C", "CE"]),
+        "license_type": pick(supplier % 3, ["B", "C", "CE"]),
         "experience_years": supplier % 16,
         "driver_rating": 1 + (supplier % 41) / 10,
         "driver_country": c("s_nation"),
@@ -133,7 +134,7 @@ def shipment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "destination_city": text(c("c_nation"), F.lit("-HUB")),
         "destination_country": c("c_nation"),
         "region": c("r_name"),
-        "route_type": _pick((c("s_nationkey") + c("c_nationkey")) % 3, ["Road", "Air", "Sea"]),
+        "route_type": pick((c("s_nationkey") + c("c_nationkey")) % 3, ["Road", "Air", "Sea"]),
         "scheduled_delivery": schedule.after_hours(
             c("scheduled_pickup"), c("planned_duration_hrs")
         ),
@@ -144,6 +145,56 @@ def shipment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "temperature_celsius": ((part * 7) % 500) / 10 - 10,
         "wind_speed_kmh": ((supplier * 31 + line * 17) % 1000) / 10,
     }
-    ordered = lines.withColumns(values).select(*RAW_SCHEMA, *LINE_ORDER)
-    typed = RAW_SCHEMA | {name: kind for name, kind in ordered.dtypes if name in LINE_ORDER}
+    line_columns = [*LINE_ORDER, "o_orderdate"]
+    ordered = lines.withColumns(values).select(*RAW_SCHEMA, *line_columns)
+    typed = RAW_SCHEMA | {name: kind for name, kind in ordered.dtypes if name in line_columns}
     return conform(ordered, typed)
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 16 event fields for every row of the events table."""
+    c = F.col
+    number, user = c("event_id"), c("user_id")
+    delayed = number % 5 == 0
+    return read(spark, sf_dir, "events").select(
+        number.cast("string").alias("event_id"),
+        "event_type",
+        F.date_format(c("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
+        F.concat(F.lit("RT-"), user.cast("string")).alias("shipment_id"),
+        pick(number % 5, ["PENDING", "IN_TRANSIT", "DELIVERED", "DELAYED", "CANCELLED"]).alias(
+            "status"
+        ),
+        F.concat(F.lit("C"), (number % 20).cast("string")).alias("origin_city"),
+        F.concat(F.lit("C"), (user % 20).cast("string")).alias("destination_city"),
+        pick(number % 5, ["TRUCK", "VAN", "MOTORCYCLE", "SHIP", "PLANE"]).alias("vehicle_type"),
+        c("value").alias("weight_kg"),
+        (number % 500).cast("double").alias("distance_km"),
+        F.round(c("value") * 10, 2).alias("revenue"),
+        delayed.alias("is_delayed"),
+        F.when(delayed, 1 + number % 72).otherwise(0).cast("double").alias("delay_hours"),
+        (1 + number % 5).cast("double").alias("driver_rating"),
+        (number % 50 - 4).cast("double").alias("temperature_c"),
+        (10 + number % 90).cast("double").alias("humidity_pct"),
+    )
+
+
+def _as_text(rows: DataFrame) -> DataFrame:
+    return publish_frame(rows).select("value")
+
+
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_text(events(spark, sf_dir))
+
+
+def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth event again with another revenue, a late one, a bad time, a broken line."""
+    again = events(spark, sf_dir).withColumn("_n", F.col("event_id").cast("bigint"))
+    first = again.orderBy("_n").limit(1)
+    repeated = again.filter(F.col("_n") % 10 == 0).withColumn("revenue", F.col("revenue") + 1)
+    late = first.withColumns(
+        {"event_id": F.lit("late-1"), "event_timestamp": F.lit("2020-01-01T00:00:00")}
+    )
+    odd = first.withColumns({"event_id": F.lit("odd-1"), "event_timestamp": F.lit("zzz")})
+    extra = repeated.unionByName(late).unionByName(odd).drop("_n")
+    broken = spark.range(1).select(F.lit("this is not JSON").alias("value"))
+    return _as_text(extra).unionByName(broken)
