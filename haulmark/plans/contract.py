@@ -13,31 +13,53 @@ class ContractError(ValueError):
     """Raw records that the warehouse tables cannot hold."""
 
 
-def _rules(columns: dict[str, Column]) -> dict[str, Column]:
-    rules = {f"{name} is null": columns[name].isNull() for name in REQUIRED_RAW}
-    for name, width in MAX_TEXT.items():
-        rules[f"{name} longer than {width}"] = F.length(columns[name]) > width
+def _rules(name: str) -> dict[str, Column]:
+    """The rules of one raw column: what is wrong -> condition under which it is."""
+    rules = {}
+    if name in REQUIRED_RAW:
+        rules[f"{name} is null"] = F.col(name).isNull()
+    if name in MAX_TEXT:
+        width = MAX_TEXT[name]
+        rules[f"{name} longer than {width}"] = F.length(name) > width
     return rules
 
 
+def _all_rules() -> dict[str, Column]:
+    return {rule: broken for name in RAW_SCHEMA for rule, broken in _rules(name).items()}
+
+
 def reject_reasons(raw: DataFrame) -> DataFrame:
     """Violating records, each with the list of the rules it breaks."""
-    rules = _rules({name: F.col(name) for name in RAW_SCHEMA})
-    reasons = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
-    return raw.withColumn("reasons", reasons).filter(F.size("reasons") > 0)
+    reasons = [F.when(broken, F.lit(rule)) for rule, broken in _all_rules().items()]
+    listed = raw.withColumn("reasons", F.array_compact(F.array(*reasons)))
+    return listed.filter(F.size("reasons") > 0)
 
 
 def violations(raw: DataFrame) -> dict[str, int]:
     """Broken rules and how many records break each, from a single pass."""
-    rules = _rules({name: F.col(name) for name in RAW_SCHEMA})
-    counts = raw.agg(*[n_where(rule).alias(name) for name, rule in rules.items()]).first()
-    return {name: n for name, n in counts.asDict().items() if n}
+    counted = [n_where(broken).alias(rule) for rule, broken in _all_rules().items()]
+    return {rule: n for rule, n in raw.agg(*counted).first().asDict().items() if n}
+
+
+def enforced(raw: DataFrame) -> DataFrame:
+    """The same records, with the rules built into the columns they concern.
+
+    A job that uses a column stops at the first record that breaks one of its rules, so
+    the contract costs no pass of its own.
+    """
+    checked = {}
+    for name in RAW_SCHEMA:
+        value = F.col(name)
+        for rule, broken in _rules(name).items():
+            value = F.when(broken, F.raise_error(F.lit(f"contract: {rule}"))).otherwise(value)
+        checked[name] = value
+    return raw.withColumns(checked)
 
 
-def require_contract(raw: DataFrame) -> None:
-    broken = violations(raw)
-    if broken:
-        raise ContractError(f"raw records rejected: {broken}")
+def explain_failure(raw: DataFrame, error: Exception) -> Exception:
+    """Turn a failed job into a full account of the broken rules, if there are any."""
+    broken = violations(raw) if "contract: " in str(error) else {}
+    return ContractError(f"raw records rejected: {broken}") if broken else error
 
 
 def conform(df: DataFrame, types: dict[str, str]) -> DataFrame:

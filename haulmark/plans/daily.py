@@ -7,18 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from haulmark.plans.quality import details, gate, warehouse_tables
 from haulmark.plans.training import TrainingConfig, train
 from haulmark.plans.warehouse import Warehouse
-from haulmark.sources.raw import FORMATS, read_raw
+from haulmark.sources.raw import FORMATS, raw_keys, read_keys
 
 
 def load_step(
     spark: SparkSession,
     lake_root: str,
     warehouse_root: str,
-    run: str = "*",
     formats: tuple[str, ...] = FORMATS,
+    reread: bool = False,
 ) -> dict[str, int]:
-    """``run`` selects raw runs; older ones may be read again without effect."""
-    return Warehouse(spark, warehouse_root).load(read_raw(spark, lake_root, run, formats))
+    """Load the raw runs no earlier load has read; ``reread`` takes all of them again."""
+    warehouse = Warehouse(spark, warehouse_root)
+    found = raw_keys(spark, lake_root, formats)
+    known = set() if reread else warehouse.loaded_runs()
+    fresh = [key for key in found if key not in known]
+    if not fresh:
+        return {}
+    return warehouse.load(read_keys(spark, lake_root, fresh), fresh)
 
 
 def check_step(spark: SparkSession, warehouse_root: str, report_path: str) -> dict[str, bool]:
@@ -41,10 +47,9 @@ def run_daily(
     model_root: str,
     report_path: str,
     config: TrainingConfig,
-    run: str = "*",
 ) -> dict[str, object]:
     """The three steps in order; each can be called alone."""
-    loaded = load_step(spark, lake_root, warehouse_root, run)
+    loaded = load_step(spark, lake_root, warehouse_root)
     checks = check_step(spark, warehouse_root, report_path)
     metrics = train_step(spark, warehouse_root, model_root, config)
     return {"loaded": loaded, "checks": checks, "metrics": metrics}

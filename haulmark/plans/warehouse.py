@@ -13,6 +13,8 @@ import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from haulmark.functions.calendar import calendar_columns
 from haulmark.operators.first_wins import first_attributes, first_rows
 from haulmark.operators.keyed import BROADCAST_ROWS, absent, sized
 from haulmark.operators.surrogate import numbered, stage_in_order
-from haulmark.plans.contract import conform, require_contract
+from haulmark.plans.contract import conform, enforced, explain_failure
 from haulmark.schemas import FACT_SHIPMENTS, SHIPMENT_KEYS, TABLES, ddl
 from haulmark.sources.objects import ObjectStore
 from haulmark.sources.raw import ORDER
@@ -113,12 +115,14 @@ class Warehouse:
 
     # ---- commits -------------------------------------------------------------------
 
-    def commit(self) -> dict:
-        """The newest commit record: load id, rows and next free surrogate per table."""
+    def _commits(self, last: int = 0) -> list[dict]:
         names = [n for n in self.store.names(_COMMITS) if n.endswith(".json")]
-        if not names:
-            return {"load_id": 0, "rows": {}, "last_id": {}}
-        return json.loads(self.store.download_bytes(f"{_COMMITS}/{names[-1]}"))
+        return [json.loads(self.store.download_bytes(f"{_COMMITS}/{n}")) for n in names[-last:]]
+
+    def commit(self) -> dict:
+        """The newest commit record: load id, rows and last used surrogate per table."""
+        newest = self._commits(last=1)
+        return newest[0] if newest else {"load_id": 0, "rows": {}, "last_id": {}}
 
     def _publish(self, commit: dict) -> None:
         name = f"{_COMMITS}/{commit['load_id']:010d}.json"
@@ -149,12 +153,25 @@ class Warehouse:
 
     # ---- loading -------------------------------------------------------------------
 
-    def load(self, raw: DataFrame) -> dict[str, int]:
-        """Insert what is new in ``raw`` and return the number of new rows per table."""
-        require_contract(raw)
+    def load(self, raw: DataFrame, runs: list[str] | None = None) -> dict[str, int]:
+        """Insert what is new in ``raw`` and return the number of new rows per table.
+
+        ``runs`` are the raw keys read, kept in the commit so that a later job can skip
+        them; loading a run again is harmless, only wasted work.
+        """
+        try:
+            return self._load(enforced(raw), runs or [])
+        except (PySparkException, Py4JJavaError) as error:
+            raise explain_failure(raw, error) from error
+
+    def loaded_runs(self) -> set[str]:
+        """Raw keys named by all commits."""
+        return {run for commit in self._commits() for run in commit.get("runs", [])}
+
+    def _load(self, raw: DataFrame, runs: list[str]) -> dict[str, int]:
         before = self.commit()
         load_id = before["load_id"] + 1
-        commit = {"load_id": load_id, "rows": dict(before["rows"]), "last_id": {}}
+        commit = {"load_id": load_id, "runs": runs, "rows": dict(before["rows"]), "last_id": {}}
 
         sources = {d.table: dimension_rows(raw, d) for d in DIMENSIONS}
         sources |= {"dim_date": date_rows(raw), KEYS_TABLE: key_rows(raw)}

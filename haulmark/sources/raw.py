@@ -6,13 +6,14 @@ wrote it, a folder of part files. Both are read the same way.
 
 from __future__ import annotations
 
+from fnmatch import fnmatch
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.schemas import RAW_SCHEMA, ddl
+from haulmark.sources.objects import ObjectStore
 
 PREFIX = "raw/shipments_"
 FORMATS = ("csv", "parquet")
@@ -48,7 +49,7 @@ def _lineage() -> dict:
     }
 
 
-def _read_csv(spark: SparkSession, location: str, multi_line: bool) -> DataFrame:
+def _read_csv(spark: SparkSession, locations: list[str], multi_line: bool) -> DataFrame:
     """Declared types, header checked against the schema, a bad value fails the read.
 
     CSV has no row index. Within one block of one file the scan numbers rows in file
@@ -60,7 +61,7 @@ def _read_csv(spark: SparkSession, location: str, multi_line: bool) -> DataFrame
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
         .option("multiLine", multi_line)
-        .csv(location)
+        .csv(locations)
         .withColumns(
             _lineage()
             | {
@@ -71,11 +72,11 @@ def _read_csv(spark: SparkSession, location: str, multi_line: bool) -> DataFrame
     )
 
 
-def _read_parquet(spark: SparkSession, location: str) -> DataFrame:
-    records = spark.read.parquet(location)
+def _read_parquet(spark: SparkSession, locations: list[str]) -> DataFrame:
+    records = spark.read.parquet(*locations)
     missing = [name for name in RAW_SCHEMA if name not in records.columns]
     if missing:
-        raise ValueError(f"raw files in {location} lack columns {missing}")
+        raise ValueError(f"raw files in {locations} lack columns {missing}")
     typed = [F.col(name).cast(kind).alias(name) for name, kind in RAW_SCHEMA.items()]
     lineage = _lineage() | {
         "_block": F.lit(0).cast("bigint"),
@@ -84,6 +85,31 @@ def _read_parquet(spark: SparkSession, location: str) -> DataFrame:
     return records.select(*typed, *[column.alias(name) for name, column in lineage.items()])
 
 
+def raw_keys(spark: SparkSession, root: str, formats: tuple[str, ...] = FORMATS) -> list[str]:
+    """Keys of all raw runs; an absent zone is an error. One key per run, not per file."""
+    folder, _, start = PREFIX.rpartition("/")
+    endings = tuple(f".{fmt}" for fmt in formats)
+    names = ObjectStore(spark, root).names(folder)
+    keys = [f"{folder}/{n}" for n in names if n.startswith(start) and n.endswith(endings)]
+    if not keys:
+        raise FileNotFoundError(f"no {PREFIX}* in {root} ({', '.join(formats)})")
+    return keys
+
+
+def read_keys(
+    spark: SparkSession, root: str, keys: list[str], multi_line: bool = False
+) -> DataFrame:
+    """Every record of the given runs with its ``raw_file`` and position."""
+    frames = []
+    csv = [f"{root}/{key}" for key in keys if key.endswith(".csv")]
+    parquet = [f"{root}/{key}" for key in keys if key.endswith(".parquet")]
+    if csv:
+        frames.append(_read_csv(spark, csv, multi_line))
+    if parquet:
+        frames.append(_read_parquet(spark, parquet))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=False), frames)
+
+
 def read_raw(
     spark: SparkSession,
     root: str,
@@ -91,18 +117,10 @@ def read_raw(
     formats: tuple[str, ...] = FORMATS,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Every raw record with its ``raw_file`` and position; ``run`` may be a glob."""
-    frames = []
-    for fmt in formats:
-        location = f"{root}/{raw_key(run, fmt)}"
-        try:
-            if fmt == "csv":
-                frames.append(_read_csv(spark, location, multi_line))
-            else:
-                frames.append(_read_parquet(spark, location))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-    if not frames:
+    """All raw records, or those of the runs a pattern selects."""
+    wanted = [raw_key(run, fmt) for fmt in formats]
+    keys = raw_keys(spark, root, formats)
+    keys = [key for key in keys if any(fnmatch(key, pattern) for pattern in wanted)]
+    if not keys:
         raise FileNotFoundError(f"no {PREFIX}{run} in {root} ({', '.join(formats)})")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=False), frames)
+    return read_keys(spark, root, keys, multi_line)

@@ -25,6 +25,22 @@ LINE_ORDER = [
     "l_returnflag",
     "l_linestatus",
 ]
+LINE_DETAILS = [
+    "o_orderdate",
+    "c_custkey",
+    "c_name",
+    "c_nationkey",
+    "c_nation",
+    "c_mktsegment",
+    "r_name",
+    "s_suppkey",
+    "s_name",
+    "s_nationkey",
+    "s_nation",
+    "p_partkey",
+    "p_type",
+    "p_size",
+]
 WEATHER_POINTS = {name: int(round(risk * 100)) for name, risk in conditions.WEATHER_RISK.items()}
 TRAFFIC_POINTS = {name: int(round(risk * 100)) for name, risk in conditions.TRAFFIC_RISK.items()}
 
@@ -37,8 +53,8 @@ def pick(number: Column, choices: list[str]) -> Column:
     return lookup(number, dict(enumerate(choices)), None)
 
 
-def shipment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 41 raw columns for every order line, plus the line columns to sort by."""
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order line with its order, customer, supplier, part and nations."""
     c = F.col
     supplier_nation = read(spark, sf_dir, "nation").select(
         c("n_nationkey").alias("s_nationkey"), c("n_name").alias("s_nation")
@@ -50,13 +66,19 @@ def shipment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     suppliers = read(spark, sf_dir, "supplier").join(supplier_nation, "s_nationkey")
     customers = read(spark, sf_dir, "customer").join(customer_nation, "c_nationkey")
-    lines = (
+    return (
         read(spark, sf_dir, "lineitem")
         .join(read(spark, sf_dir, "orders"), c("l_orderkey") == c("o_orderkey"))
         .join(customers, c("o_custkey") == c("c_custkey"))
         .join(suppliers, c("l_suppkey") == c("s_suppkey"))
         .join(read(spark, sf_dir, "part"), c("l_partkey") == c("p_partkey"))
+        .select(*LINE_ORDER, *LINE_DETAILS)
     )
+
+
+def to_records(lines: DataFrame) -> DataFrame:
+    """The 41 raw columns of order lines, row by row."""
+    c = F.col
     order, line = c("l_orderkey"), c("l_linenumber")
     supplier, part = c("s_suppkey"), c("p_partkey")
     lines = lines.withColumns(
@@ -145,10 +167,7 @@ def shipment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "temperature_celsius": ((part * 7) % 500) / 10 - 10,
         "wind_speed_kmh": ((supplier * 31 + line * 17) % 1000) / 10,
     }
-    line_columns = [*LINE_ORDER, "o_orderdate"]
-    ordered = lines.withColumns(values).select(*RAW_SCHEMA, *line_columns)
-    typed = RAW_SCHEMA | {name: kind for name, kind in ordered.dtypes if name in line_columns}
-    return conform(ordered, typed)
+    return conform(lines.withColumns(values), RAW_SCHEMA)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

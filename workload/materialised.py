@@ -50,11 +50,13 @@ def raw_root(spark: SparkSession, sf_dir: str) -> str:
     """The landed raw zone: two Parquet runs in record order."""
 
     def build(root: str) -> str:
-        records = feed.shipment_records(spark, sf_dir)
+        lines = feed.order_lines(spark, sf_dir)
         early = F.col("o_orderdate") < F.lit(SPLIT_DATE).cast("timestamp_ntz")
         for run, part in ((HISTORY, early), (RECENT, ~early)):
-            chosen = records.filter(part).repartitionByRange(*feed.LINE_ORDER)
-            write_raw(chosen.sortWithinPartitions(*feed.LINE_ORDER), root, run)
+            # Ordered while narrow; the records are computed after the shuffle.
+            ordered = lines.filter(part).repartitionByRange(*feed.LINE_ORDER)
+            ordered = ordered.sortWithinPartitions(*feed.LINE_ORDER)
+            write_raw(feed.to_records(ordered), root, run)
         return root
 
     return once(spark, sf_dir, "landing", build)
@@ -66,7 +68,7 @@ def raw(spark: SparkSession, sf_dir: str, run: str = "*") -> DataFrame:
 
 def csv_root(spark: SparkSession, sf_dir: str) -> str:
     def build(root: str) -> str:
-        write_raw(feed.shipment_records(spark, sf_dir), root, HISTORY, "csv")
+        write_raw(feed.to_records(feed.order_lines(spark, sf_dir)), root, HISTORY, "csv")
         return root
 
     return once(spark, sf_dir, "landing_csv", build)
