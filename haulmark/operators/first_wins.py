@@ -12,13 +12,15 @@ def first_attributes(
     """One row per key with the attributes of its first record; for narrow attributes.
 
     The first step collapses equal (key, attributes) pairs to their smallest position.
-    Its only buffer is a number, so it is a hash aggregate that already shrinks the data
-    before the shuffle, however often one key repeats. The second step picks the first
-    version per key from what is left.
+    Its only buffer is a number (the last order column), so it is a hash aggregate that
+    already shrinks the data before the shuffle, however often one key repeats. The second
+    step picks the first version per key from what is left; at equal positions the
+    smaller attributes win, so the result never depends on the order of arrival.
     """
     *coarse, fine = order
     versions = rows.groupBy(*keys, *attributes, *coarse).agg(F.min(fine).alias(fine))
-    first = F.min_by(F.struct(*attributes), F.struct(*order)).alias("_first")
+    rank = F.struct(*order, *attributes)
+    first = F.min_by(F.struct(*attributes), rank).alias("_first")
     return versions.groupBy(*keys).agg(first).select(*keys, "_first.*")
 
 

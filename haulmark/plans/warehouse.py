@@ -25,7 +25,7 @@ from haulmark.operators.surrogate import numbered, stage_in_order
 from haulmark.plans.contract import conform, enforced, explain_failure
 from haulmark.schemas import FACT_SHIPMENTS, SHIPMENT_KEYS, TABLES, ddl
 from haulmark.sources.objects import ObjectStore
-from haulmark.sources.raw import ORDER
+from haulmark.sources.raw import ORDER, TIE_BREAK
 
 
 @dataclass(frozen=True)
@@ -112,6 +112,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.store = ObjectStore(spark, self.root)
+        self._frames: dict[tuple[str, int], DataFrame] = {}
 
     # ---- commits -------------------------------------------------------------------
 
@@ -130,6 +131,12 @@ class Warehouse:
 
     # ---- reading -------------------------------------------------------------------
 
+    def _committed(self, name: str, last_load: int) -> DataFrame:
+        """Committed rows; the files are listed once per commit, not once per query."""
+        if (name, last_load) not in self._frames:
+            self._frames[name, last_load] = self._read(name, last_load)
+        return self._frames[name, last_load]
+
     def _read(self, name: str, last_load: int) -> DataFrame:
         extra = {"pickup_year": "int"} if name == "fact_shipments" else {}
         schema = ddl(_SCHEMAS[name] | {"load_id": "int"} | extra)
@@ -140,12 +147,12 @@ class Warehouse:
 
     def table(self, name: str) -> DataFrame:
         """Committed rows of one table; the fact also shows its ``pickup_year`` partition."""
-        return self._read(name, self.commit()["load_id"])
+        return self._committed(name, self.commit()["load_id"])
 
     def dimension(self, name: str) -> DataFrame:
         """A dimension for joining, marked for broadcast if its committed size allows."""
         commit = self.commit()
-        return sized(self._read(name, commit["load_id"]), commit["rows"].get(name, 0))
+        return sized(self._committed(name, commit["load_id"]), commit["rows"].get(name, 0))
 
     def register_views(self, prefix: str = "") -> None:
         for name in TABLES:
@@ -221,14 +228,15 @@ class Warehouse:
     def _insert_facts(
         self, raw: DataFrame, load_id: int, rows: dict[str, int], inserted: int
     ) -> int:
-        """One wide shuffle (by shipment); the new keys filter and number in one join."""
+        """One wide shuffle by shipment, whose new keys filter and number in one join, and one
+        by year for the files."""
         new_keys = self.spark.read.schema(ddl(SHIPMENT_KEYS)).parquet(
             f"{self.root}/{KEYS_TABLE}/load_id={load_id}"
         )
         key = "source_shipment_id"
         if inserted <= BROADCAST_ROWS:  # few new shipments: drop the others before the shuffle
             raw = raw.join(F.broadcast(new_keys.select(key)), key, "left_semi")
-        facts = first_rows(raw, [key], ORDER).join(new_keys, key)
+        facts = first_rows(raw, [key], ORDER + TIE_BREAK).join(new_keys, key)
         facts = facts.withColumn("_day", F.to_date("scheduled_pickup"))
         for dimension in DIMENSIONS:
             facts = self._resolve(
@@ -238,8 +246,11 @@ class Warehouse:
         year = F.year("scheduled_pickup").alias("pickup_year")
         typed = [F.col(name).cast(kind).alias(name) for name, kind in FACT_SHIPMENTS.items()]
         target = f"{self.root}/fact_shipments/load_id={load_id}"
+        # Rebalancing groups rows of a year into files of the advisory size: small years are
+        # merged, a year that holds a large share of the rows is split.
         (
             facts.select(*typed, year)
+            .hint("rebalance", "pickup_year")
             .sortWithinPartitions("pickup_year", "shipment_id")
             .write.mode("overwrite")
             .partitionBy("pickup_year")

@@ -64,10 +64,15 @@ class ObjectStore:
             raise OSError(f"cannot publish {self.uri(key)}")
 
     def download_bytes(self, key: str) -> bytes:
-        target, files = self._path(key)
-        if not files.exists(target):
+        """Read one small object in the driver, without a job."""
+        path, files = self._path(key)
+        if not files.exists(path):
             raise FileNotFoundError(self.uri(key))
-        return bytes(self.spark.read.format("binaryFile").load(self.uri(key)).first()["content"])
+        stream = files.open(path)
+        try:
+            return bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+        finally:
+            stream.close()
 
     def upload_file(self, key: str, local_path: str) -> None:
         target, files = self._path(key)

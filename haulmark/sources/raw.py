@@ -6,10 +6,11 @@ wrote it, a folder of part files. Both are read the same way.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from fnmatch import fnmatch
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.schemas import RAW_SCHEMA, ddl
@@ -18,8 +19,13 @@ from haulmark.sources.objects import ObjectStore
 PREFIX = "raw/shipments_"
 FORMATS = ("csv", "parquet")
 
-# Position of a record in the raw zone; records compare by these columns in this order.
-ORDER = ["_path", "_block", "_row"]
+# Records compare by run key, then by position within the run. The path only separates
+# files of one run whose names do not tell their order.
+ORDER = ["raw_file", "_position"]
+TIE_BREAK = ["_path"]
+
+# Digits of the position: row within a file, and part files within a run.
+_ROW_DIGITS, _BLOCK_DIGITS, _COUNTER_DIGITS = 21, 9, 3
 
 
 def raw_key(run: str, fmt: str) -> str:
@@ -39,22 +45,43 @@ def write_raw(records: DataFrame, root: str, run: str, fmt: str = "parquet") ->
     return key
 
 
-def _lineage() -> dict:
+def _lineage(row: Column) -> dict[str, Column]:
+    """Run key, path, and the position of a record within its run as one number.
+
+    A number is a fixed-width aggregation buffer, so "first record" is a hash aggregate.
+    Part files are ordered by the number in their name; a run of one file has part 0.
+    """
     path = F.col("_metadata.file_path")
+    file_name = F.substring_index(path, "/", -1)
+    part = F.substring_index(F.substring_index(file_name, "-", 2), "-", -1)
+    counter = F.substring(F.substring_index(file_name, "-c", -1), 1, _COUNTER_DIGITS)
+    number = _number(part) * 10**_COUNTER_DIGITS + _number(counter)
+    run = F.substring_index(F.substring_index(path, f"/{PREFIX}", -1), "/", 1)
     return {
-        "raw_file": F.concat(
-            F.lit(PREFIX), F.regexp_extract(path, rf".*{PREFIX}([^/]*)", 1)
-        ),
+        "raw_file": F.concat(F.lit(PREFIX), run),
         "_path": path,
+        "_position": (_shifted(number, _ROW_DIGITS) + row).cast("decimal(38,0)"),
     }
 
 
+def _number(text: Column) -> Column:
+    return F.coalesce(text.try_cast("bigint"), F.lit(0)).cast("bigint")
+
+
+def _shifted(number: Column, digits: int) -> Column:
+    factor = F.lit(Decimal(10**digits)).cast(f"decimal({digits + 1},0)")
+    return number.cast("decimal(15,0)") * factor
+
+
 def _read_csv(spark: SparkSession, locations: list[str], multi_line: bool) -> DataFrame:
     """Declared types, header checked against the schema, a bad value fails the read.
 
     CSV has no row index. Within one block of one file the scan numbers rows in file
-    order, so (file, block, running number) is the file order.
+    order, so block start and running number together are the file order.
     """
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    block = F.col("_metadata.file_block_start")
+    row = _shifted(block, _BLOCK_DIGITS) + in_task.cast("decimal(12,0)")
     return (
         spark.read.schema(ddl(RAW_SCHEMA))
         .option("header", True)
@@ -62,13 +89,7 @@ def _read_csv(spark: SparkSession, locations: list[str], multi_line: bool) -> Da
         .option("mode", "FAILFAST")
         .option("multiLine", multi_line)
         .csv(locations)
-        .withColumns(
-            _lineage()
-            | {
-                "_block": F.col("_metadata.file_block_start"),
-                "_row": F.monotonically_increasing_id(),
-            }
-        )
+        .withColumns(_lineage(row))
     )
 
 
@@ -78,10 +99,7 @@ def _read_parquet(spark: SparkSession, locations: list[str]) -> DataFrame:
     if missing:
         raise ValueError(f"raw files in {locations} lack columns {missing}")
     typed = [F.col(name).cast(kind).alias(name) for name, kind in RAW_SCHEMA.items()]
-    lineage = _lineage() | {
-        "_block": F.lit(0).cast("bigint"),
-        "_row": F.col("_metadata.row_index"),
-    }
+    lineage = _lineage(F.col("_metadata.row_index").cast("decimal(20,0)"))
     return records.select(*typed, *[column.alias(name) for name, column in lineage.items()])
 
 

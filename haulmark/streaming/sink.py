@@ -58,17 +58,34 @@ class EventTable:
         self.root = root.rstrip("/")
         self.store = ObjectStore(spark, self.root)
 
-    def _read(self, name: str, schema: dict[str, str]) -> DataFrame:
+    def _read(self, name: str, schema: dict[str, str], folders: list[str]) -> DataFrame:
         columns = ddl(schema | _PARTITIONS)
-        if not self.store.exists(name):
+        base = f"{self.root}/{name}"
+        if not folders:
             return self.spark.createDataFrame([], columns)
-        return self.spark.read.schema(columns).parquet(f"{self.root}/{name}")
+        reader = self.spark.read.schema(columns).option("basePath", base)
+        return reader.parquet(*[f"{base}/{folder}" for folder in folders])
+
+    def _queries(self, name: str) -> list[str]:
+        """One folder per streaming query that ever wrote here."""
+        return [folder for folder in self.store.names(name) if folder.startswith("query_id=")]
 
     def events(self) -> DataFrame:
-        return self._read("events", REALTIME_TYPES | {"ingested_at": "timestamp"})
+        schema = REALTIME_TYPES | {"ingested_at": "timestamp"}
+        return self._read("events", schema, self._queries("events"))
 
     def quarantine(self) -> DataFrame:
-        return self._read("quarantine", {"message": "string", "reason": "string"})
+        schema = {"message": "string", "reason": "string"}
+        return self._read("quarantine", schema, self._queries("quarantine"))
+
+    def _known_ids(self, query_id: str, batch_id: int, unique_in_query: bool) -> DataFrame:
+        """Ids stored by anything but this very batch; folders without any are not listed."""
+        folders = self._queries("events")
+        if unique_in_query:
+            folders = [folder for folder in folders if folder != f"query_id={query_id}"]
+        known = self._read("events", {"event_id": "string"}, folders)
+        this_batch = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
+        return known.filter(~this_batch).select("event_id")
 
     def upsert(
         self, batch: DataFrame, query_id: str, batch_id: int, unique_in_query: bool = False
@@ -104,10 +121,7 @@ class EventTable:
         unique_in_query: bool,
         rows: int,
     ) -> None:
-        elsewhere = F.col("query_id") != query_id
-        if not unique_in_query:
-            elsewhere = elsewhere | (F.col("batch_id") != batch_id)
-        known = self.events().filter(elsewhere)
+        known = self._known_ids(query_id, batch_id, unique_in_query)
         first = first_rows(good, ["event_id"], arrival)
         new = absent(first, known, ["event_id"], rows)
         typed = [F.col(name).cast(kind).alias(name) for name, kind in REALTIME_TYPES.items()]
