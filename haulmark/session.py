@@ -10,6 +10,21 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
+# Settings that any session, also one made elsewhere, can take at run time. The JVM does
+# not compile methods beyond 8,000 bytes of byte code; a stage that generates a larger one
+# runs faster as separate operators.
+RUNTIME_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "haulmark", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the engine relies on; any of them can be overridden.
 
@@ -19,8 +34,7 @@ def build_session(app: str = "haulmark", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
+    settings = RUNTIME_SETTINGS | {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

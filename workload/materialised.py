@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from haulmark.plans.training import TrainingConfig, train
 from haulmark.plans.warehouse import Warehouse
-from haulmark.session import shared_dir
+from haulmark.session import shared_dir, tune
 from haulmark.sources.events import read_event_files
 from haulmark.sources.lake import register_lake
 from haulmark.sources.raw import read_raw, write_raw
@@ -39,7 +39,7 @@ def once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], obj
     key = (spark.sparkContext.applicationId, sf_dir, name)
     with _lock:
         if key not in _built:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            tune(spark)
             data = sf_dir.strip("/").replace("/", "-")
             root = f"{shared_dir(spark)}/haulmark/{spark.sparkContext.applicationId}/{data}"
             _built[key] = build(f"{root}/{name}")
