@@ -48,6 +48,7 @@ HEADLINE = [
     "vehicle_delay",
     "weather_delay",
     "traffic_delay",
+    "dashboard_page",
     "lake_weather",
     "lake_traffic",
     "lake_count",

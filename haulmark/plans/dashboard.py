@@ -5,11 +5,14 @@ A chart drops rows whose grouping value is NULL; the panel counts every filtered
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.functions.calendar import WEEKDAYS, ordinal, period_label
-from haulmark.functions.conditions import CONGESTION_ORDER
+from haulmark.functions.conditions import CONGESTION_ORDER, lookup
 from haulmark.functions.metrics import money, n_where, ratio
 
 # The driver chart's group size and length.
@@ -174,3 +177,60 @@ def weather_delay(rows: DataFrame) -> DataFrame:
 def traffic_delay(rows: DataFrame) -> DataFrame:
     rates = _delay_rate(rows, "traffic_condition")
     return rates.orderBy(ordinal(F.col("traffic_condition"), CONGESTION_ORDER))
+
+
+# The grouping columns of each chart.
+CHARTS = {
+    "status_mix": ["status"],
+    "monthly": ["year", "month", "month_name"],
+    "weekday_delay": ["weekday"],
+    "segment_revenue": ["segment"],
+    "drivers": ["driver_name"],
+    "vehicle_delay": ["vehicle_type"],
+    "weather_delay": ["weather_condition"],
+    "traffic_delay": ["traffic_condition"],
+}
+
+
+def page(rows: DataFrame) -> DataFrame:
+    """The measures behind all charts from one scan of the star.
+
+    One row per chart and group, with the additive measures and rates every chart draws
+    from. Grouping sets fan a row out only up to the map-side aggregate, which leaves one
+    row per group and task.
+    """
+    c = F.col
+    late = c("is_delayed")
+    keys = list(dict.fromkeys(key for columns in CHARTS.values() for key in columns))
+    grouped = rows.groupingSets([[c(key) for key in columns] for columns in CHARTS.values()], *keys)
+    measured = grouped.agg(
+        F.grouping_id(*keys).alias("_set"),
+        F.count("*").alias("shipments"),
+        n_where(c("status") == "on_time").alias("on_time"),
+        n_where(late).alias("late"),
+        F.count(late).alias("flagged"),
+        money(F.sum("cost_usd")).alias("cost_usd"),
+        ratio(F.sum("driver_rating"), F.count("driver_rating")).alias("avg_rating"),
+    )
+    # grouping_id has a bit per key, the first key highest, set where a key is rolled up
+    places = {key: 1 << (len(keys) - 1 - i) for i, key in enumerate(keys)}
+    sets = {
+        chart: sum(place for key, place in places.items() if key not in columns)
+        for chart, columns in CHARTS.items()
+    }
+    chart = lookup(c("_set"), {number: name for name, number in sets.items()}, None)
+    named = [
+        reduce(and_, [c(key).isNotNull() for key in columns], c("_set") == sets[name])
+        for name, columns in CHARTS.items()
+    ]
+    return measured.filter(reduce(or_, named)).select(
+        chart.alias("chart"),
+        F.concat_ws(" ", *[c(key).cast("string") for key in keys]).alias("label"),
+        "shipments",
+        "on_time",
+        "late",
+        "cost_usd",
+        "avg_rating",
+        (ratio(c("on_time"), c("shipments")) * 100).alias("on_time_pct"),
+        (ratio(c("late"), c("flagged")) * 100).alias("delay_rate"),
+    )

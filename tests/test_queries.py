@@ -149,6 +149,20 @@ def test_weekday_order(wh):
     assert names == ["Monday", "Tuesday", "Wednesday", "Saturday", "Sunday"]
 
 
+def test_page_agrees_with_the_charts(wh):
+    rows = star.extract(wh)
+    page = dashboard.page(rows).collect()
+    weather = {r["label"]: r["delay_rate"] for r in page if r["chart"] == "weather_delay"}
+    assert weather == {
+        r["weather_condition"]: r["delay_rate"] for r in dashboard.weather_delay(rows).collect()
+    }
+    drivers = {r["label"]: r["on_time_pct"] for r in page if r["chart"] == "drivers"}
+    assert drivers == {
+        r["driver_name"]: r["on_time_pct"]
+        for r in dashboard.top_drivers(rows, min_trips=10**6).collect()
+    }
+
+
 def test_options_and_export(spark, wh, tmp_path):
     rows = star.extract(wh)
     years = [r[0] for r in dashboard.options(rows, "year").collect()]

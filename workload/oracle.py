@@ -308,6 +308,19 @@ def _top_drivers(minimum: int) -> str:
           PARTITION BY total >= {minimum} ORDER BY on_time_pct DESC, driver_name) <= 10)"""
 
 
+def _page_part(chart: str, *keys: str) -> str:
+    label = " || ' ' || ".join(f"CAST({key} AS VARCHAR)" for key in keys)
+    present = " AND ".join(f"{key} IS NOT NULL" for key in keys)
+    return f"""
+      SELECT '{chart}' AS chart, {label} AS label, COUNT(*) AS shipments, {_ON_TIME} AS on_time,
+        CAST(SUM(CASE WHEN is_delayed THEN 1 ELSE 0 END) AS BIGINT) AS late,
+        CAST(SUM(cost_usd) AS DOUBLE) AS cost_usd,
+        CAST(SUM(driver_rating) AS DOUBLE) / COUNT(driver_rating) AS avg_rating,
+        {_share("status = 'on_time'")} AS on_time_pct,
+        {_share('is_delayed', 'COUNT(is_delayed)')} AS delay_rate
+      FROM star WHERE {present} GROUP BY {", ".join(keys)}"""
+
+
 _NEGATIVE = " UNION ALL ".join(
     f"SELECT 'negative_values' AS check_name, '{c}' AS detail, "
     f"(SELECT COUNT(*) FROM {{fact}} WHERE {c} < 0) AS violations"
@@ -495,6 +508,18 @@ ORACLE: dict[str, str] = {
     "vehicle_delay": _rate("vehicle_type"),
     "weather_delay": _rate("weather_condition"),
     "traffic_delay": _rate("traffic_condition"),
+    "dashboard_page": " UNION ALL ".join(
+        [
+            _page_part("status_mix", "status"),
+            _page_part("monthly", "year", "month", "month_name"),
+            _page_part("weekday_delay", "weekday"),
+            _page_part("segment_revenue", "segment"),
+            _page_part("drivers", "driver_name"),
+            _page_part("vehicle_delay", "vehicle_type"),
+            _page_part("weather_delay", "weather_condition"),
+            _page_part("traffic_delay", "traffic_condition"),
+        ]
+    ),
     "lake_weather": f"""
       SELECT weather_condition, COUNT(*) AS shipments, {_pct("is_delayed")} AS delay_rate_pct
       FROM raw GROUP BY weather_condition""",

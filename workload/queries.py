@@ -197,8 +197,9 @@ for _plan in (
     dashboard.vehicle_delay,
     dashboard.weather_delay,
     dashboard.traffic_delay,
+    dashboard.page,
 ):
-    _chart(_plan.__name__, _plan)
+    _chart("dashboard_page" if _plan is dashboard.page else _plan.__name__, _plan)
 
 _chart("top_drivers_fallback", lambda rows: dashboard.top_drivers(rows, min_trips=10**9))
 
