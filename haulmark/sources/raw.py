@@ -6,7 +6,6 @@ wrote it, a folder of part files. Both are read the same way.
 
 from __future__ import annotations
 
-from decimal import Decimal
 from fnmatch import fnmatch
 from functools import reduce
 
@@ -19,13 +18,14 @@ from haulmark.sources.objects import ObjectStore
 PREFIX = "raw/shipments_"
 FORMATS = ("csv", "parquet")
 
-# Records compare by run key, then by position within the run. The path only separates
-# files of one run whose names do not tell their order.
+# Records compare by run key, then by position within the run. The tie break matters only
+# in runs with more part files, or files with more rows, than a position can tell apart.
 ORDER = ["raw_file", "_position"]
-TIE_BREAK = ["_path"]
+TIE_BREAK = ["_file", "_row"]
 
-# Digits of the position: row within a file, and part files within a run.
-_ROW_DIGITS, _BLOCK_DIGITS, _COUNTER_DIGITS = 21, 9, 3
+# Bits of a position: number of the part file, its counter (a writer that rolls files over
+# counts them), row within the file. Larger values count as the largest.
+_PART_BITS, _COUNTER_BITS, _ROW_BITS = 20, 5, 38
 
 
 def raw_key(run: str, fmt: str) -> str:
@@ -46,42 +46,43 @@ def write_raw(records: DataFrame, root: str, run: str, fmt: str = "parquet") ->
 
 
 def _lineage(row: Column) -> dict[str, Column]:
-    """Run key, path, and the position of a record within its run as one number.
+    """Run key, file, and the position of a record within its run as one number.
 
     A number is a fixed-width aggregation buffer, so "first record" is a hash aggregate.
     Part files are ordered by the number in their name; a run of one file has part 0.
     """
-    path = F.col("_metadata.file_path")
-    file_name = F.substring_index(path, "/", -1)
-    part = F.substring_index(F.substring_index(file_name, "-", 2), "-", -1)
-    counter = F.substring(F.substring_index(file_name, "-c", -1), 1, _COUNTER_DIGITS)
-    number = _number(part) * 10**_COUNTER_DIGITS + _number(counter)
+    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    part = F.substring_index(F.substring_index(name, "-", 2), "-", -1)
+    counter = F.substring(F.substring_index(name, "-c", -1), 1, 3)
     run = F.substring_index(F.substring_index(path, f"/{PREFIX}", -1), "/", 1)
+    position = _bits(_number(part), _PART_BITS)
+    for value, width in ((_number(counter), _COUNTER_BITS), (row, _ROW_BITS)):
+        position = F.shiftleft(position, width).bitwiseOR(_bits(value, width))
     return {
         "raw_file": F.concat(F.lit(PREFIX), run),
-        "_path": path,
-        "_position": (_shifted(number, _ROW_DIGITS) + row).cast("decimal(38,0)"),
+        "_file": F.xxhash64(path),
+        "_row": row,
+        "_position": position,
     }
 
 
 def _number(text: Column) -> Column:
-    return F.coalesce(text.try_cast("bigint"), F.lit(0)).cast("bigint")
+    return F.coalesce(text.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def _shifted(number: Column, digits: int) -> Column:
-    factor = F.lit(Decimal(10**digits)).cast(f"decimal({digits + 1},0)")
-    return number.cast("decimal(15,0)") * factor
+def _bits(value: Column, width: int) -> Column:
+    return F.least(value, F.lit((1 << width) - 1).cast("bigint"))
 
 
 def _read_csv(spark: SparkSession, locations: list[str], multi_line: bool) -> DataFrame:
     """Declared types, header checked against the schema, a bad value fails the read.
 
-    CSV has no row index. Within one block of one file the scan numbers rows in file
-    order, so block start and running number together are the file order.
+    CSV has no row index. A scan task numbers its rows in file order; a task holds one
+    full block or several file ends, and a row takes at least a byte, so block start plus
+    running number ascends over the whole file.
     """
     in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    block = F.col("_metadata.file_block_start")
-    row = _shifted(block, _BLOCK_DIGITS) + in_task.cast("decimal(12,0)")
+    row = F.col("_metadata.file_block_start") + in_task
     return (
         spark.read.schema(ddl(RAW_SCHEMA))
         .option("header", True)
@@ -99,7 +100,7 @@ def _read_parquet(spark: SparkSession, locations: list[str]) -> DataFrame:
     if missing:
         raise ValueError(f"raw files in {locations} lack columns {missing}")
     typed = [F.col(name).cast(kind).alias(name) for name, kind in RAW_SCHEMA.items()]
-    lineage = _lineage(F.col("_metadata.row_index").cast("decimal(20,0)"))
+    lineage = _lineage(F.col("_metadata.row_index"))
     return records.select(*typed, *[column.alias(name) for name, column in lineage.items()])
 
 

@@ -15,9 +15,9 @@ from haulmark.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests",
-        "local[4]",
+        "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
