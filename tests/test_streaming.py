@@ -3,13 +3,14 @@
 import json
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from haulmark.schemas import EVENT_SCHEMA, ddl
 from haulmark.sources.events import publish_frame, read_event_files
 from haulmark.streaming.events import decode, enrich
-from haulmark.streaming.sink import EventTable, start_ingest
+from haulmark.streaming.sink import EventTable, repeat_filter, start_ingest
 
 BASE = {
     "event_type": "STATUS_UPDATE",
@@ -80,13 +81,21 @@ def test_first_event_is_kept_across_batches_and_restarts(feed, stateful):
     assert feed.stored() == before
 
 
-def test_one_id_owns_a_third_of_a_batch(feed):
+@pytest.mark.parametrize("stateful", [False, True])
+def test_one_id_owns_a_third_of_a_batch(feed, stateful):
     rows = [event("hot" if n % 3 == 0 else n, revenue=float(n)) for n in range(900)]
     feed.arrive(*rows)
-    feed.run()
+    feed.run(stateful=stateful)
     assert feed.stored() == {"hot": 0.0} | {str(n): float(n) for n in range(900) if n % 3}
 
 
+def test_repeats_are_dropped_before_the_shuffle():
+    ids = pa.array(["a", None, "b", "a", "b", None, "c", "a"])
+    batch = pa.record_batch({"event_id": ids, "n": pa.array(range(8))})
+    (kept,) = repeat_filter()(iter([batch]))
+    assert kept.column("n").to_pylist() == [0, 1, 2, 5, 6]
+
+
 def test_crash_after_the_write_then_replay(feed, monkeypatch):
     feed.arrive(event(1), event(2))
     upsert = EventTable.upsert
