@@ -58,25 +58,26 @@ def per_unit(amount: Column, units: Column) -> Column:
 
 
 def with_features(df: DataFrame, as_of_year: int) -> DataFrame:
-    """The 26 model inputs, the same for training and scoring; other columns stay."""
-    age = F.lit(as_of_year) - F.col("manufacture_year")
-    numeric = [name for name in REQUIRED_FIELDS if name not in CATEGORICAL]
-    return (
-        df.withColumns(
-            {
-                "vehicle_age_years": age.cast("double"),
-                "mileage_per_year": per_unit(F.col("mileage_km"), age),
-                "load_ratio": per_unit(F.col("weight_kg"), F.col("vehicle_capacity")),
-                "cost_per_km": per_unit(F.col("cost_usd"), F.col("distance_km")),
-            }
-        )
-        .withColumns(
-            {name: F.col(name).cast("int").cast("double") if name == "is_weekend"
-             else F.col(name).cast("double") for name in numeric}
-            | {name: F.coalesce(F.col(name).cast("string"), F.lit("None")) for name in CATEGORICAL}
-        )
-        .drop(*CONSUMED)
-    )
+    """The 26 model inputs, the same for training and scoring; other columns stay.
+
+    A missing category becomes a category of its own.
+    """
+    c = F.col
+    age = F.lit(as_of_year) - c("manufacture_year")
+    derived = {
+        "vehicle_age_years": age.cast("double"),
+        "mileage_per_year": per_unit(c("mileage_km"), age),
+        "load_ratio": per_unit(c("weight_kg"), c("vehicle_capacity")),
+        "cost_per_km": per_unit(c("cost_usd"), c("distance_km")),
+    }
+    text = {name: F.coalesce(c(name).cast("string"), F.lit("None")) for name in CATEGORICAL}
+    numbers = {
+        name: c(name).cast("double")
+        for name in REQUIRED_FIELDS
+        if name not in CATEGORICAL and name != "is_weekend"
+    }
+    weekend = {"is_weekend": c("is_weekend").cast("int").cast("double")}
+    return df.withColumns(derived).withColumns(text | numbers | weekend).drop(*CONSUMED)
 
 
 def risk_band(probability: Column) -> Column:

@@ -56,10 +56,10 @@ def enforced(raw: DataFrame) -> DataFrame:
     return raw.withColumns(checked)
 
 
-def explain_failure(raw: DataFrame, error: Exception) -> Exception:
-    """Turn a failed job into a full account of the broken rules, if there are any."""
-    broken = violations(raw) if "contract: " in str(error) else {}
-    return ContractError(f"raw records rejected: {broken}") if broken else error
+def require_contract(raw: DataFrame, failure: Exception) -> None:
+    """After a failed job: if a rule was broken, raise a full account of all broken rules."""
+    if "contract: " in str(failure):
+        raise ContractError(f"raw records rejected: {violations(raw)}") from failure
 
 
 def conform(df: DataFrame, types: dict[str, str]) -> DataFrame:

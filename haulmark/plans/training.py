@@ -208,8 +208,9 @@ def predictions(spark: SparkSession, root: str) -> DataFrame:
 
 def metrics_frame(spark: SparkSession, root: str) -> DataFrame:
     details = ModelStore(spark, root).details()
+    best = details["model_name"]
     rows = [
-        (m["model"], m["accuracy"], m["roc_auc"], m["cv_score"], m["model"] == details["model_name"])
+        (m["model"], m["accuracy"], m["roc_auc"], m["cv_score"], m["model"] == best)
         for m in details["all_metrics"]
     ]
     schema = "model string, accuracy double, roc_auc double, cv_score double, is_best boolean"
@@ -217,12 +218,10 @@ def metrics_frame(spark: SparkSession, root: str) -> DataFrame:
 
 
 def confusion(scored: DataFrame) -> DataFrame:
-    return (
-        scored.groupBy(F.col(LABEL).cast("int").alias("actual"),
-                       F.col("prediction").cast("int").alias("predicted"))
-        .agg(F.count("*").alias("shipments"))
-        .orderBy("actual", "predicted")
-    )
+    actual = F.col(LABEL).cast("int").alias("actual")
+    predicted = F.col("prediction").cast("int").alias("predicted")
+    counts = scored.groupBy(actual, predicted).agg(F.count("*").alias("shipments"))
+    return counts.orderBy("actual", "predicted")
 
 
 def roc_points(scored: DataFrame, steps: int = ROC_STEPS) -> DataFrame:

@@ -22,7 +22,7 @@ from haulmark.functions.calendar import calendar_columns
 from haulmark.operators.first_wins import first_attributes, first_rows
 from haulmark.operators.keyed import BROADCAST_ROWS, absent, sized
 from haulmark.operators.surrogate import numbered, stage_in_order
-from haulmark.plans.contract import conform, enforced, explain_failure
+from haulmark.plans.contract import conform, enforced, require_contract
 from haulmark.schemas import FACT_SHIPMENTS, SHIPMENT_KEYS, TABLES, ddl
 from haulmark.sources.objects import ObjectStore
 from haulmark.sources.raw import ORDER, TIE_BREAK
@@ -169,7 +169,8 @@ class Warehouse:
         try:
             return self._load(enforced(raw), runs or [])
         except (PySparkException, Py4JJavaError) as error:
-            raise explain_failure(raw, error) from error
+            require_contract(raw, error)
+            raise
 
     def loaded_runs(self) -> set[str]:
         """Raw keys named by all commits."""
@@ -253,6 +254,7 @@ class Warehouse:
             .hint("rebalance", "pickup_year")
             .sortWithinPartitions("pickup_year", "shipment_id")
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")  # also clears a failed load's years
             .partitionBy("pickup_year")
             .parquet(target)
         )

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import re
 
-RAW_COLUMNS = """source_shipment_id, company_name, industry, customer_country, customer_city, segment,
-  contract_type, driver_name, license_type, experience_years, driver_rating, driver_country,
-  plate_number, vehicle_type, capacity_kg, manufacture_year, mileage_km, origin_city,
+RAW_COLUMNS = """source_shipment_id, company_name, industry, customer_country, customer_city,
+  segment, contract_type, driver_name, license_type, experience_years, driver_rating,
+  driver_country, plate_number, vehicle_type, capacity_kg, manufacture_year, mileage_km,
+  origin_city,
   origin_country, destination_city, destination_country, distance_km, region, route_type,
   scheduled_pickup, actual_pickup, scheduled_delivery, actual_delivery, planned_duration_hrs,
   actual_duration_hrs, delay_minutes, is_delayed, status, weight_kg, cost_usd,
@@ -145,17 +146,20 @@ COMMON: dict[str, str] = {
       SELECT ROW_NUMBER() OVER (ORDER BY company_name) AS customer_id, *
       FROM (SELECT company_name, industry, customer_country AS country, customer_city AS city,
               segment, contract_type
-            FROM raw QUALIFY ROW_NUMBER() OVER (PARTITION BY company_name ORDER BY position) = 1)""",
+            FROM raw
+            QUALIFY ROW_NUMBER() OVER (PARTITION BY company_name ORDER BY position) = 1)""",
     "dim_driver": """
       SELECT ROW_NUMBER() OVER (ORDER BY full_name) AS driver_id, *, TRUE AS is_active
       FROM (SELECT driver_name AS full_name, license_type, experience_years,
               driver_rating AS rating, driver_country AS country
-            FROM raw QUALIFY ROW_NUMBER() OVER (PARTITION BY driver_name ORDER BY position) = 1)""",
+            FROM raw
+            QUALIFY ROW_NUMBER() OVER (PARTITION BY driver_name ORDER BY position) = 1)""",
     "dim_vehicle": """
       SELECT ROW_NUMBER() OVER (ORDER BY plate_number) AS vehicle_id, *,
         CAST(NULL AS DATE) AS last_service_date, TRUE AS is_active
       FROM (SELECT plate_number, vehicle_type, capacity_kg, manufacture_year, mileage_km
-            FROM raw QUALIFY ROW_NUMBER() OVER (PARTITION BY plate_number ORDER BY position) = 1)""",
+            FROM raw
+            QUALIFY ROW_NUMBER() OVER (PARTITION BY plate_number ORDER BY position) = 1)""",
     "dim_route": """
       SELECT ROW_NUMBER() OVER (ORDER BY origin_city, origin_country, destination_city,
         destination_country) AS route_id, *
@@ -193,7 +197,8 @@ COMMON: dict[str, str] = {
           CASE WHEN k = 3 THEN -1 ELSE cost_usd END AS cost_usd,
           CASE WHEN k = 4 THEN NOT is_delayed WHEN k <> 5 THEN is_delayed END AS is_delayed,
           CASE WHEN k = 7 THEN 999999999 ELSE date_id END AS date_id)
-      FROM (SELECT *, CAST(split_part(source_shipment_id, '-', 2) AS BIGINT) % 97 AS k FROM fact)""",
+      FROM (SELECT *, CAST(split_part(source_shipment_id, '-', 2) AS BIGINT) % 97 AS k
+            FROM fact)""",
     "dirty_driver": """
       SELECT * REPLACE (CASE WHEN driver_id = 7 THEN 5.50 ELSE rating END AS rating)
       FROM dim_driver""",
@@ -207,7 +212,9 @@ COMMON: dict[str, str] = {
         ['TRUCK', 'VAN', 'MOTORCYCLE', 'SHIP', 'PLANE'][CAST(event_id % 5 AS INT) + 1]
           AS vehicle_type,
         value AS weight_kg, CAST(event_id % 500 AS DOUBLE) AS distance_km,
-        CAST(ROUND(CAST(CAST(value * 10 AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE) AS revenue, event_id % 5 = 0 AS is_delayed,
+        CAST(ROUND(CAST(CAST(value * 10 AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE)
+          AS revenue,
+        event_id % 5 = 0 AS is_delayed,
         CAST(CASE WHEN event_id % 5 = 0 THEN 1 + event_id % 72 ELSE 0 END AS DOUBLE)
           AS delay_hours,
         CAST(1 + event_id % 5 AS DOUBLE) AS driver_rating,
@@ -243,9 +250,8 @@ def with_tables(sql: str) -> str:
     def add(text: str) -> None:
         for name, body in COMMON.items():
             if name not in needed and re.search(rf"\b{name}\b(?!\s*\()", text):
-                add_before = body
                 needed.append(name)
-                add(add_before)
+                add(body)
 
     add(sql)
     parts = [f"{name} AS ({COMMON[name].strip()})" for name in COMMON if name in needed]
