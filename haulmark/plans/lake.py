@@ -48,5 +48,7 @@ def row_count(records: DataFrame) -> DataFrame:
 
 
 def delay_rate(records: DataFrame) -> DataFrame:
+    """Share of late shipments in each run."""
     late = n_where(F.col("is_delayed"))
-    return records.agg(pct(late, F.count("is_delayed"), 1).alias("delay_rate_pct"))
+    rate = pct(late, F.count("is_delayed"), 1).alias("delay_rate_pct")
+    return records.groupBy("raw_file").agg(rate).orderBy("raw_file")

@@ -33,18 +33,17 @@ class ObjectStore:
         The listing is a frame, so a zone with millions of objects never becomes a
         driver-side list; the ``content`` column is pruned and no file is opened.
         """
-        folder, _, start = prefix.rpartition("/")
-        root = self.uri(folder)
+        folder = prefix.rpartition("/")[0]
         files = (
             self.spark.read.format("binaryFile")
             .option("recursiveFileLookup", True)
-            .load(root)
+            .load(self.uri(folder))
             .select("path", "length", "modificationTime")
         )
-        marker = "/" + folder + "/" if folder else self.base_uri.split(":", 1)[-1] + "/"
-        key = F.concat(F.lit(f"{folder}/" if folder else ""), F.substring_index("path", marker, -1))
+        base = "/" + self.base_uri.split(":", 1)[-1].strip("/") + "/"
+        start = F.instr("path", F.lit(base)) + len(base)
         return files.select(
-            key.alias("key"),
+            F.substring("path", start, F.length("path")).alias("key"),
             F.col("length").alias("bytes"),
             F.col("modificationTime").alias("modified_at"),
         ).filter(F.col("key").startswith(prefix))

@@ -106,14 +106,14 @@ def test_contract_stops_the_load(spark, frame, tmp_path, change, rule):
 def test_objects(spark, tmp_path):
     store = ObjectStore(spark, f"file:{tmp_path}")
     store.upload_bytes("raw/a.csv", b"one")
-    store.upload_bytes("raw/deep/b.csv", b"three")
+    store.upload_bytes("raw/deep/raw/b.csv", b"three")
     store.upload_bytes("other/c.csv", b"x")
     (tmp_path / "local.txt").write_bytes(b"local")
     store.upload_file("raw/from_disk.txt", str(tmp_path / "local.txt"))
     listed = {r["key"]: r["bytes"] for r in store.list_objects("raw/").collect()}
-    assert listed == {"raw/a.csv": 3, "raw/deep/b.csv": 5, "raw/from_disk.txt": 5}
+    assert listed == {"raw/a.csv": 3, "raw/deep/raw/b.csv": 5, "raw/from_disk.txt": 5}
     assert [r["key"] for r in store.list_objects("raw/a").collect()] == ["raw/a.csv"]
-    assert store.download_bytes("raw/deep/b.csv") == b"three"
+    assert store.download_bytes("raw/deep/raw/b.csv") == b"three"
     store.upload_bytes("raw/a.csv", b"replaced")
     assert store.download_bytes("raw/a.csv") == b"replaced"
     with pytest.raises(FileNotFoundError):

@@ -206,14 +206,14 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth event again with another revenue, a late one, a bad time, a broken line."""
-    again = events(spark, sf_dir).withColumn("_n", F.col("event_id").cast("bigint"))
-    first = again.orderBy("_n").limit(1)
-    repeated = again.filter(F.col("_n") % 10 == 0).withColumn("revenue", F.col("revenue") + 1)
+    """Every event again with another revenue; a late one, one with a bad time, broken lines."""
+    again = events(spark, sf_dir)
+    first = again.orderBy(F.col("event_id").cast("bigint")).limit(1)
+    repeated = again.withColumn("revenue", F.col("revenue") + 1)
     late = first.withColumns(
         {"event_id": F.lit("late-1"), "event_timestamp": F.lit("2020-01-01T00:00:00")}
     )
     odd = first.withColumns({"event_id": F.lit("odd-1"), "event_timestamp": F.lit("zzz")})
-    extra = repeated.unionByName(late).unionByName(odd).drop("_n")
-    broken = spark.range(1).select(F.lit("this is not JSON").alias("value"))
-    return _as_text(extra).unionByName(broken)
+    errors = again.filter(F.col("event_type") == "error")
+    broken = errors.select(F.concat(F.lit("broken "), "event_id").alias("value"))
+    return _as_text(repeated.unionByName(late).unionByName(odd)).unionByName(broken)

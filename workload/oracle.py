@@ -535,8 +535,8 @@ ORACLE: dict[str, str] = {
       FROM raw GROUP BY traffic_condition""",
     "lake_count": "SELECT COUNT(*) AS shipments FROM raw",
     "batch_delay_rate": f"""
-      SELECT {_pct("is_delayed", "COUNT(is_delayed)", 1)} AS delay_rate_pct
-      FROM raw WHERE raw_file = 'raw/shipments_19990101.parquet'""",
+      SELECT raw_file, {_pct("is_delayed", "COUNT(is_delayed)", 1)} AS delay_rate_pct
+      FROM raw GROUP BY raw_file""",
     "quality_report_clean": _quality("fact", "dim_driver"),
     "quality_report_dirty": _quality("dirty_fact", "dirty_driver"),
     "quality_summary_dirty": f"""
@@ -602,14 +602,14 @@ ORACLE: dict[str, str] = {
                 ELSE {_round("(user_id % 60)::DOUBLE / (user_id % 4 * 20)", 2)} END AS r
             FROM events)
           QUALIFY ROW_NUMBER() OVER (PARTITION BY city ORDER BY w, t, wind, r) = 1
-        ) s ON s.city = raw.origin_city
-        WHERE raw_file = 'raw/shipments_19990101.parquet')""",
+        ) s ON s.city = raw.origin_city)""",
     "stream_enrich": f"""
       SELECT {EVENT_COLUMNS}, cost_per_km, weather_risk FROM enriched
       WHERE event_id NOT IN ('late-1', 'odd-1')""",
     "event_publish_frame": f"SELECT shipment_id AS message_key, {EVENT_COLUMNS} FROM feed",
     "stream_quarantine": """
-      SELECT 'this is not JSON' AS message, 'no event_id' AS reason FROM events LIMIT 1""",
+      SELECT 'broken ' || event_id AS message, 'no event_id' AS reason
+      FROM events WHERE event_type = 'error'""",
     "features": f"""
       SELECT source_shipment_id, label, {", ".join(_CATEGORICAL)},
         {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NUMERIC)},

@@ -223,7 +223,7 @@ def lake_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_delay_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lake_plans.delay_rate(built.raw(spark, sf_dir, built.RECENT))
+    return lake_plans.delay_rate(built.raw(spark, sf_dir))
 
 
 # ---- quality -------------------------------------------------------------------------
@@ -366,7 +366,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def recent_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shipments = built.raw(spark, sf_dir, built.RECENT).select(
+    shipments = built.raw(spark, sf_dir).select(
         "source_shipment_id",
         "origin_city",
         "scheduled_pickup",
@@ -411,7 +411,7 @@ def stream_upsert_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each replay sets the broken message aside again; listed once per message."""
+    """Each replay sets the broken messages aside again; listed once per message."""
     return built.event_table(spark, sf_dir).quarantine().select("message", "reason").distinct()
 
 
