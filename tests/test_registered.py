@@ -7,6 +7,7 @@ from check import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
 from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -26,7 +27,7 @@ def test_matches_sql(spark, database, name):
 
 
 def test_only_model_results_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == {
+    assert set(QUERIES) - set(oracle_sql()) == {
         "model_metrics",
         "confusion",
         "roc_points",
@@ -37,4 +38,5 @@ def test_only_model_results_lack_sql():
 
 
 def test_names():
-    assert all(re.fullmatch(r"[a-z][a-z_]+", name) for name in queries())
+    assert all(re.fullmatch(r"[a-z][a-z_]+", name) for name in QUERIES)
+    assert set(QUERIES) <= set(queries())
