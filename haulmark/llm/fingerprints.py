@@ -288,5 +288,7 @@ def with_neighbours(prints: DataFrame, every: int = 50) -> DataFrame:
         .groupBy("query")
         .agg(F.sum("_documents").alias("n_near"))
     )
-    asked_bits = F.when(F.col("doc_id") % every == 0, F.col("bits"))
-    return held.join(counts, asked_bits == F.col("query"), "left").drop("query", "bits")
+    answered = asked.join(counts, F.col("bits") == F.col("query"), "left").drop("query")
+    others = held.filter(F.coalesce(F.col("doc_id") % every != 0, F.lit(True)))
+    none = F.lit(None).cast("bigint").alias("n_near")
+    return answered.unionByName(others.select("*", none)).drop("bits")

@@ -76,3 +76,21 @@ SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS
        row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard
 FROM dealt JOIN crcs USING (doc_id)
 """
+
+ORACLE["op9_top_k"] = r"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q, vectors c
+  WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER
+           AS rank, vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import fingerprints, mixing, sharding
+from haulmark.llm import fingerprints, language, mixing, quality, sharding, token_counts, topk
 from haulmark.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,14 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.train(docs)
+    rows = docs.withColumn("held_out", language.held_out(F.col("doc_id")))
+    return language.identify(rows, model, ["doc_id", "held_out"])
+
+
 @query
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -31,6 +39,24 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    rows = docs.withColumn("held_out", language.held_out(F.col("doc_id")))
+    return quality.score(rows, model, ["doc_id", "held_out"])
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fingerprints.fingerprints(read(spark, sf_dir, "documents"))
