@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haulmark.llm.tables import map_texts
 from haulmark.llm.text import codes, groups, letter_table, mix64, owners, spans
 
 UNKNOWN = "und"
@@ -204,35 +205,28 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFram
     lists. Only ``text`` is looked at; whole texts of any length are read.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select(*keep).schema
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def label(texts: list[str | None]) -> Iterator[tuple[int, int, list[pa.Array]]]:
         model = shipped.value
-        for batch in batches:
+        for start, group in groups(texts):
             names, scores, sets, shares = [], [], [], []
-            for _, group in groups(batch.column("text").to_pylist()):
-                for row in proportions(group, model):
-                    order = [i for i in np.argsort(-row, kind="stable") if row[i] > 0]
-                    names.append(model.languages[order[0]] if order else UNKNOWN)
-                    scores.append(min(1.0, float(row[order[0]])) if order else 0.0)
-                    sets.append([model.languages[i] for i in order])
-                    shares.append([float(row[i]) for i in order])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(f"_{i}") for i in range(len(keep))]
-                + [
-                    pa.array(names, pa.string()),
-                    pa.array(scores, pa.float64()),
-                    pa.array(sets, pa.list_(pa.string())),
-                    pa.array(shares, pa.list_(pa.float64())),
-                ],
-                names=[*keep, "lang_pred", "score", "languages", "shares"],
-            )
-
-    named = docs.select(
-        F.col("text").alias("text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]
-    )
-    return named.mapInArrow(
-        label,
-        f"{columns}, lang_pred string, score double, languages array<string>, shares array<double>",
-    )
+            for row in proportions(group, model):
+                order = [i for i in np.argsort(-row, kind="stable") if row[i] > 0]
+                names.append(model.languages[order[0]] if order else UNKNOWN)
+                scores.append(min(1.0, float(row[order[0]])) if order else 0.0)
+                sets.append([model.languages[i] for i in order])
+                shares.append([float(row[i]) for i in order])
+            yield start, len(group), [
+                pa.array(names, pa.string()),
+                pa.array(scores, pa.float64()),
+                pa.array(sets, pa.list_(pa.string())),
+                pa.array(shares, pa.list_(pa.float64())),
+            ]
+
+    added = {
+        "lang_pred": "string",
+        "score": "double",
+        "languages": "array<string>",
+        "shares": "array<double>",
+    }
+    return map_texts(docs, keep, added, label)

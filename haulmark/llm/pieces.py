@@ -22,6 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haulmark.llm.tables import map_texts
 from haulmark.llm.text import groups, owners, span_hashes
 
 MODEL = "piece_bpe_32k.model"
@@ -235,44 +236,32 @@ def _ship(spark: SparkSession, path: str | None):
 def encode(docs: DataFrame, keep: list[str], path: str | None = None) -> DataFrame:
     """``keep`` columns, ids, n_ids, n_fallback and same (decoding gives the text) of every row.
 
-    Null and empty texts have no ids. Whole texts of any length are read. The tokenizer file
-    is read by the driver; its pieces are sent to the tasks.
+    Null and empty texts have no ids, and are the same as the empty text. Whole texts of any
+    length are read. The tokenizer file is read by the driver; its pieces are sent to the tasks.
     """
     shipped = _ship(docs.sparkSession, path)
-    schema = docs.select(*keep).schema
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(texts: list[str | None]) -> Iterator[tuple[int, int, list[pa.Array]]]:
         vocabulary = _vocabulary(shipped)
         is_byte = np.zeros(len(vocabulary.bytes_of), bool)
         is_byte[list(vocabulary.byte_id.values())] = True
-        for batch in batches:
-            for start, texts in groups(batch.column("text").to_pylist()):
-                ids, n = vocabulary.encode(texts)
-                ends = np.cumsum(n)
-                bounds = zip((ends - n).tolist(), ends.tolist(), texts, strict=True)
-                listed = ids.tolist()
-                same = [vocabulary.decode(listed[a:b]) == text for a, b, text in bounds]
-                offsets = np.concatenate([[0], ends]).astype(np.int32)
-                fallback = np.concatenate([[0], np.cumsum(is_byte[ids])])
-                part = batch.slice(start, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(f"_{i}") for i in range(len(keep))]
-                    + [
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32())),
-                        pa.array(n, pa.int64()),
-                        pa.array(fallback[ends] - fallback[ends - n], pa.int64()),
-                        pa.array(same),
-                    ],
-                    names=[*keep, "ids", "n_ids", "n_fallback", "same"],
-                )
-
-    named = docs.select(
-        F.col("text").alias("text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]
-    )
-    return named.mapInArrow(
-        cut, f"{columns}, ids array<int>, n_ids bigint, n_fallback bigint, same boolean"
-    )
+        for start, group in groups(texts):
+            ids, n = vocabulary.encode(group)
+            ends = np.cumsum(n)
+            listed = ids.tolist()
+            bounds = zip((ends - n).tolist(), ends.tolist(), group, strict=True)
+            same = [vocabulary.decode(listed[a:b]) == text for a, b, text in bounds]
+            offsets = np.concatenate([[0], ends]).astype(np.int32)
+            fallback = np.concatenate([[0], np.cumsum(is_byte[ids])])
+            yield start, len(group), [
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32())),
+                pa.array(n, pa.int64()),
+                pa.array(fallback[ends] - fallback[ends - n], pa.int64()),
+                pa.array(same, pa.bool_()),
+            ]
+
+    added = {"ids": "array<int>", "n_ids": "bigint", "n_fallback": "bigint", "same": "boolean"}
+    return map_texts(docs, keep, added, cut)
 
 
 def decode(rows: DataFrame, keep: list[str], path: str | None = None) -> DataFrame:

@@ -18,7 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haulmark.llm.language import trained_on
-from haulmark.llm.text import codes, groups, mix64, owners, space_table, span_hashes, sums, word_table
+from haulmark.llm.tables import map_texts
+from haulmark.llm.text import (
+    codes,
+    groups,
+    mix64,
+    owners,
+    space_table,
+    span_hashes,
+    sums,
+    word_table,
+)
 
 THRESHOLD = 0.3
 
@@ -162,21 +172,13 @@ def score(docs: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
     scores 0.5. Only ``text`` is looked at.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select(*keep).schema
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shipped.value
-        for batch in batches:
-            parts = [scores(group, model) for _, group in groups(batch.column("text").to_pylist())]
-            found = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(f"_{i}") for i in range(len(keep))]
-                + [pa.array(found), pa.array((found >= THRESHOLD).astype(np.int32))],
-                names=[*keep, "score", "predicted"],
-            )
-
-    named = docs.select(
-        F.col("text").alias("text"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)]
-    )
-    return named.mapInArrow(rate, f"{columns}, score double, predicted int")
+
+    def rate(texts: list[str | None]) -> Iterator[tuple[int, int, list[pa.Array]]]:
+        for start, group in groups(texts):
+            found = scores(group, shipped.value)
+            yield start, len(group), [
+                pa.array(found, pa.float64()),
+                pa.array((found >= THRESHOLD).astype(np.int32)),
+            ]
+
+    return map_texts(docs, keep, {"score": "double", "predicted": "int"}, rate)

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulmark.llm import fingerprints, language, mixing, quality, sharding, token_counts, topk
+from haulmark.llm import (
+    fingerprints,
+    html_blocks,
+    language,
+    mixing,
+    near_dups,
+    pieces,
+    quality,
+    sharding,
+    token_counts,
+    topk,
+)
 from haulmark.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +30,16 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(read(spark, sf_dir, "documents"), ["doc_id"])
+
+
 @query
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
@@ -44,6 +65,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"))
 
 
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")

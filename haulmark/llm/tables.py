@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,3 +50,48 @@ def numbered(frame: DataFrame, order: list[Column], name: str = "position") -> D
         .withColumn(name, F.col("_start") + index)
         .drop("_part", "_start", "_slot")
     )
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """The name, with underscores appended until no kept column has it."""
+    known = {column.lower() for column in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
+def map_texts(
+    docs: DataFrame,
+    keep: list[str],
+    added: dict[str, str],
+    worker: Callable[[list[str | None]], Iterator[tuple[int, int, list[pa.Array]]]],
+) -> DataFrame:
+    """``keep`` columns and the added ones, worked out from the texts in Arrow batches.
+
+    ``worker`` gets a batch's texts and yields (first row, rows, arrays of the added columns).
+    ``added`` has their types by name; one that a kept column has gets underscores appended.
+    """
+    inner = [f"_k{i}" for i in range(len(keep))]
+    sent = [F.col("text").alias("_text")] + [
+        F.col(c).alias(n) for c, n in zip(keep, inner, strict=True) if c != "text"
+    ]
+    held = ["_text" if c == "text" else n for c, n in zip(keep, inner, strict=True)]
+    names = [f"_a{i}" for i in range(len(added))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, n, arrays in worker(batch.column("_text").to_pylist()):
+                part = batch.slice(start, n)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(h) for h in held] + arrays, names=inner + names
+                )
+
+    kinds = [docs.schema[c].dataType.simpleString() for c in keep]
+    schema = ", ".join(
+        f"`{n}` {k}" for n, k in zip(inner + names, kinds + list(added.values()), strict=True)
+    )
+    mapped = docs.select(*sent).mapInArrow(run, schema)
+    outer = [*keep, *[fresh(name, keep) for name in added]]
+    return mapped.select(
+        *[F.col(a).alias(b) for a, b in zip(inner + names, outer, strict=True)]
+    )
