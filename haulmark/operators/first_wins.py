@@ -11,8 +11,8 @@ def first_attributes(
 ) -> DataFrame:
     """One row per key with the attributes of its first record; for narrow attributes.
 
-    The first step collapses equal (key, attributes) pairs to their smallest position.
-    Its only buffer is a number (the last order column), so it is a hash aggregate that
+    The first step collapses equal (key, attributes) pairs of a file to their smallest
+    row. Its only buffer is a number (the last order column), so it is a hash aggregate that
     already shrinks the data before the shuffle, however often one key repeats. The second
     step picks the first version per key from what is left; at equal positions the
     smaller attributes win, so the result never depends on the order of arrival.

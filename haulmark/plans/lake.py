@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.functions.metrics import exact_ratio, n_where, pct
+from haulmark.sources.lake import quoted
 
 
 def delay_by_weather(spark: SparkSession, table: str = "raw") -> DataFrame:
@@ -15,7 +16,7 @@ def delay_by_weather(spark: SparkSession, table: str = "raw") -> DataFrame:
                count(*) AS shipments,
                CAST(round(CAST(100 * count_if(is_delayed) AS DECIMAL(20, 0)) / count(*), 2)
                     AS DOUBLE) AS delay_rate_pct
-        FROM {table}
+        FROM {quoted(table)}
         GROUP BY weather_condition
         ORDER BY delay_rate_pct DESC, weather_condition
         """

@@ -4,7 +4,7 @@ Every load writes its new rows of all tables under ``load_id=<n>`` and becomes v
 publishing one small commit record last. Readers see loads up to the newest commit, so a
 load shows up entirely or not at all, and a failed load is overwritten by the next one.
 Rows are never updated: a natural key that is already known keeps its first row.
-One writer at a time.
+One writer at a time: a commit that another writer published first is an error.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from haulmark.operators.surrogate import numbered, stage_in_order
 from haulmark.plans.contract import conform, enforced, require_contract
 from haulmark.schemas import FACT_SHIPMENTS, SHIPMENT_KEYS, TABLES, ddl
 from haulmark.sources.objects import ObjectStore
-from haulmark.sources.raw import ORDER, TIE_BREAK
+from haulmark.sources.raw import ORDER
 
 
 @dataclass(frozen=True)
@@ -127,7 +127,7 @@ class Warehouse:
 
     def _publish(self, commit: dict) -> None:
         name = f"{_COMMITS}/{commit['load_id']:010d}.json"
-        self.store.upload_bytes(name, json.dumps(commit).encode())
+        self.store.upload_bytes(name, json.dumps(commit).encode(), replace=False)
 
     # ---- reading -------------------------------------------------------------------
 
@@ -173,13 +173,20 @@ class Warehouse:
             raise
 
     def loaded_runs(self) -> set[str]:
-        """Raw keys named by all commits."""
-        return {run for commit in self._commits() for run in commit.get("runs", [])}
+        """Raw keys of all loads, listed in the newest commit."""
+        return set(self.commit().get("runs", []))
 
     def _load(self, raw: DataFrame, runs: list[str]) -> dict[str, int]:
         before = self.commit()
         load_id = before["load_id"] + 1
-        commit = {"load_id": load_id, "runs": runs, "rows": dict(before["rows"]), "last_id": {}}
+        known_runs = sorted({*before.get("runs", []), *runs})
+        commit = {
+            "load_id": load_id,
+            "runs": known_runs,
+            "rows": dict(before["rows"]),
+            "last_id": {},
+            "shipment_ids": dict(before.get("shipment_ids", {})),
+        }
 
         sources = {d.table: dimension_rows(raw, d) for d in DIMENSIONS}
         sources |= {"dim_date": date_rows(raw), KEYS_TABLE: key_rows(raw)}
@@ -237,7 +244,7 @@ class Warehouse:
         key = "source_shipment_id"
         if inserted <= BROADCAST_ROWS:  # few new shipments: drop the others before the shuffle
             raw = raw.join(F.broadcast(new_keys.select(key)), key, "left_semi")
-        facts = first_rows(raw, [key], ORDER + TIE_BREAK).join(new_keys, key)
+        facts = first_rows(raw, [key], ORDER).join(new_keys, key)
         facts = facts.withColumn("_day", F.to_date("scheduled_pickup"))
         for dimension in DIMENSIONS:
             facts = self._resolve(

@@ -5,11 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def quoted(table: str) -> str:
+    """A table name, each part as an identifier."""
+    return ".".join(f"`{part.replace('`', '``')}`" for part in table.split("."))
+
+
 def register_lake(spark: SparkSession, root: str, table: str = "raw") -> DataFrame:
-    """Make ``<root>/raw`` queryable by name and return it as a frame."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")  # drops the catalog entry only, never files
-    spark.sql(
-        f"CREATE TABLE {table} USING parquet "
-        f"OPTIONS (path '{root}/raw', recursiveFileLookup 'true', pathGlobFilter '*.parquet')"
-    )
-    return spark.table(table)
+    """Make ``<root>/raw`` queryable by name and return it as a frame.
+
+    A table of that name is refreshed if it is this very registration. Any other table is
+    left alone and is an error.
+    """
+    path = f"{root.rstrip('/')}/raw"
+    name = quoted(table)
+    if spark.catalog.tableExists(name):
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+        known = {row["col_name"]: row["data_type"] for row in described}
+        here = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(known.get("Location") or "none:/")
+        if known.get("Type") != "EXTERNAL" or files.makeQualified(here) != there:
+            raise ValueError(f"a table {table} that is not the lake at {path} exists already")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(
+            name, path, "parquet", recursiveFileLookup="true", pathGlobFilter="*.parquet"
+        )
+    return spark.table(name)

@@ -6,6 +6,9 @@ a laptop and a cloud bucket; credentials come from the Hadoop configuration.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,19 +51,32 @@ class ObjectStore:
             F.col("modificationTime").alias("modified_at"),
         ).filter(F.col("key").startswith(prefix))
 
-    def upload_bytes(self, key: str, data: bytes) -> None:
-        """Write one small object; readers see it whole or not at all."""
+    def upload_bytes(self, key: str, data: bytes, replace: bool = True) -> None:
+        """Write one small object; readers see it whole or not at all.
+
+        ``replace=False``: an object of that name is an error and stays as it is.
+        """
         target, files = self._path(key)
-        partial, _ = self._path(f"{key}.partial")
+        partial, _ = self._path(f"{key}.{uuid.uuid4().hex}.partial")
         stream = files.create(partial, True)
         try:
             stream.write(bytearray(data))
         finally:
             stream.close()
-        if files.exists(target):
-            files.delete(target, False)
-        if not files.rename(partial, target):
-            raise OSError(f"cannot publish {self.uri(key)}")
+        java = self.spark._jvm
+        rename = java.org.apache.hadoop.fs.Options.Rename
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE if replace else rename.NONE
+        context = java.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self._conf)
+        try:
+            context.rename(
+                context.makeQualified(partial), context.makeQualified(target), options
+            )
+        except Py4JJavaError as error:
+            files.delete(partial, False)
+            if not replace and files.exists(target):
+                raise FileExistsError(self.uri(key)) from error
+            raise
 
     def download_bytes(self, key: str) -> bytes:
         """Read one small object in the driver, without a job."""

@@ -6,6 +6,7 @@ wrote it, a folder of part files. Both are read the same way.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from fnmatch import fnmatch
 from functools import reduce
 
@@ -17,25 +18,27 @@ from haulmark.sources.objects import ObjectStore
 
 PREFIX = "raw/shipments_"
 FORMATS = ("csv", "parquet")
+FOOTERS_AT_ONCE = 16
 
-# Records compare by run key, then by position within the run. The tie break matters only
-# in runs with more part files, or files with more rows, than a position can tell apart.
-ORDER = ["raw_file", "_position"]
-TIE_BREAK = ["_file", "_row"]
-
-# Bits of a position: number of the part file, its counter (a writer that rolls files over
-# counts them), row within the file. Larger values count as the largest.
-_PART_BITS, _COUNTER_BITS, _ROW_BITS = 20, 5, 38
+# Records compare by run key, then by position within the run: number of the part file, its
+# counter (a writer that rolls files over counts them), its name where those are equal, row.
+ORDER = ["raw_file", "_part", "_counter", "_name", "_row"]
 
 
 def raw_key(run: str, fmt: str) -> str:
     return f"{PREFIX}{run}.{fmt}"
 
 
-def write_raw(records: DataFrame, root: str, run: str, fmt: str = "parquet") -> str:
-    """Write one run in record column order and return its key."""
+def write_raw(
+    records: DataFrame, root: str, run: str, fmt: str = "parquet", file_rows: int = 0
+) -> str:
+    """Write one run in record column order and return its key.
+
+    ``file_rows``: a task starts a new file after so many records (0: one file per task).
+    """
     key = raw_key(run, fmt)
     writer = records.select(*RAW_SCHEMA).write.mode("overwrite")
+    writer = writer.option("maxRecordsPerFile", file_rows)
     if fmt == "parquet":
         writer.option("compression", "snappy").parquet(f"{root}/{key}")
     elif fmt == "csv":
@@ -46,32 +49,25 @@ def write_raw(records: DataFrame, root: str, run: str, fmt: str = "parquet") ->
 
 
 def _lineage(row: Column) -> dict[str, Column]:
-    """Run key, file, and the position of a record within its run as one number.
+    """Run key and the position of a record within its run.
 
-    A number is a fixed-width aggregation buffer, so "first record" is a hash aggregate.
-    Part files are ordered by the number in their name; a run of one file has part 0.
+    The numbers are read in full from names such as ``part-00012-<id>-c1034.snappy.parquet``;
+    a file without them has 0 and goes by its name. All but the row are the same for a whole
+    file, so "first record" is a hash aggregate whose only buffer is the row.
     """
     path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
-    part = F.substring_index(F.substring_index(name, "-", 2), "-", -1)
-    counter = F.substring(F.substring_index(name, "-c", -1), 1, 3)
     run = F.substring_index(F.substring_index(path, f"/{PREFIX}", -1), "/", 1)
-    position = _bits(_number(part), _PART_BITS)
-    for value, width in ((_number(counter), _COUNTER_BITS), (row, _ROW_BITS)):
-        position = F.shiftleft(position, width).bitwiseOR(_bits(value, width))
     return {
         "raw_file": F.concat(F.lit(PREFIX), run),
-        "_file": F.xxhash64(path),
+        "_part": _number(F.regexp_extract(name, r"^part-(\d+)", 1)),
+        "_counter": _number(F.regexp_extract(name, r"-c(\d+)[^-]*$", 1)),
+        "_name": name,
         "_row": row,
-        "_position": position,
     }
 
 
-def _number(text: Column) -> Column:
-    return F.coalesce(text.try_cast("bigint"), F.lit(0).cast("bigint"))
-
-
-def _bits(value: Column, width: int) -> Column:
-    return F.least(value, F.lit((1 << width) - 1).cast("bigint"))
+def _number(digits: Column) -> Column:
+    return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _read_csv(spark: SparkSession, locations: list[str], multi_line: bool) -> DataFrame:
@@ -95,13 +91,24 @@ def _read_csv(spark: SparkSession, locations: list[str], multi_line: bool) -> Da
 
 
 def _read_parquet(spark: SparkSession, locations: list[str]) -> DataFrame:
-    records = spark.read.parquet(*locations)
-    missing = [name for name in RAW_SCHEMA if name not in records.columns]
-    if missing:
-        raise ValueError(f"raw files in {locations} lack columns {missing}")
+    """Runs of different writers: those of one schema are read and cast together.
+
+    A run has one writer, so one footer per run tells its schema; footers are read side by
+    side. A column that a run lacks is an error that names both.
+    """
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, locations))
+    alike: dict[str, list[str]] = {}
+    for path, schema in zip(locations, schemas, strict=True):
+        missing = [name for name in RAW_SCHEMA if name not in schema.fieldNames()]
+        if missing:
+            raise ValueError(f"raw run {path} lacks columns {missing}")
+        kinds = "|".join(f"{name} {schema[name].dataType.simpleString()}" for name in RAW_SCHEMA)
+        alike.setdefault(kinds, []).append(path)
     typed = [F.col(name).cast(kind).alias(name) for name, kind in RAW_SCHEMA.items()]
-    lineage = _lineage(F.col("_metadata.row_index"))
-    return records.select(*typed, *[column.alias(name) for name, column in lineage.items()])
+    lineage = [c.alias(name) for name, c in _lineage(F.col("_metadata.row_index")).items()]
+    frames = [spark.read.parquet(*paths).select(*typed, *lineage) for paths in alike.values()]
+    return reduce(DataFrame.unionByName, frames)
 
 
 def raw_keys(spark: SparkSession, root: str, formats: tuple[str, ...] = FORMATS) -> list[str]:

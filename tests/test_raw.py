@@ -10,7 +10,8 @@ from haulmark.plans.warehouse import Warehouse
 from haulmark.schemas import RAW_SCHEMA
 from haulmark.sources.lake import register_lake
 from haulmark.sources.objects import ObjectStore
-from haulmark.sources.raw import ORDER, raw_key, read_raw, write_raw
+from haulmark.operators.first_wins import first_attributes, first_rows
+from haulmark.sources.raw import ORDER, _lineage, raw_key, read_raw, write_raw
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
@@ -129,3 +130,76 @@ def test_lake_table_infers_its_schema(spark, frame, tmp_path):
     assert spark.sql("SELECT count(*) FROM raw_under_test").first()[0] == 3
     register_lake(spark, root, "raw_under_test")  # again, files untouched
     assert spark.table("raw_under_test").count() == 3
+
+
+def test_first_wins_over_rolled_files(spark, frame, tmp_path):
+    """Counters beyond three digits, in tasks that write a file for each record."""
+    root = f"file:{tmp_path}"
+    rows = [
+        record(n, company_name=f"C{n % 100}", plate_number=f"P{n:05d}", delay_minutes=n)
+        for n in range(1200)
+    ]
+    write_raw(frame(*rows), root, "a", file_rows=1)
+    found = read_raw(spark, root)
+    assert found.agg(F.max("_counter")).first()[0] == 1199
+    first = first_attributes(found, ["company_name"], ["plate_number", "delay_minutes"], ORDER)
+    expected = {(f"C{n}", f"P{n:05d}", n) for n in range(100)}
+    assert {tuple(r) for r in first.collect()} == expected
+    whole = first_rows(found, ["company_name"], ORDER)
+    assert {(r["company_name"], r["plate_number"], r["delay_minutes"]) for r in whole.collect()} == expected
+
+
+def test_positions_have_no_bounds(spark, tmp_path):
+    """Numbers in file names are taken as they are; other names go by their text."""
+    names = [
+        "part-00000-aa-c000.parquet", "part-00000-aa-c1000.parquet", "part-00000-bb-c1000.parquet",
+        "part-00001-a-c0-c000.parquet", "part-3000000-aa-c000.parquet",
+    ]
+    frame = spark.createDataFrame(
+        [(f"file:/x/raw/shipments_r/{n}", n) for n in reversed(names)], "p string, n string"
+    )
+    meta = frame.select(F.struct(F.col("p").alias("file_path"), F.col("n").alias("file_name")).alias("_metadata"))
+    placed = meta.select(
+        *[c.alias(k) for k, c in _lineage(F.lit(1 << 50)).items()]
+    )
+    assert [r["_name"] for r in placed.orderBy(*ORDER).collect()] == names
+    assert placed.select("_row").distinct().collect()[0][0] == 1 << 50
+
+
+def test_runs_of_two_writers(spark, frame, tmp_path):
+    root = f"file:{tmp_path}"
+    write_raw(frame(record(1)), root, "a")
+    loose = frame(record(2)).withColumns(
+        {"scheduled_pickup": F.date_format("scheduled_pickup", "yyyy-MM-dd'T'HH:mm:ss"),
+         "cost_usd": F.col("cost_usd").cast("double")}
+    )
+    loose.write.parquet(f"{root}/{raw_key('b', 'parquet')}")
+    found = read_raw(spark, root)
+    assert found.select(*RAW_SCHEMA).exceptAll(frame(record(1), record(2))).isEmpty()
+    frame(record(3)).drop("cost_usd").write.parquet(f"{root}/{raw_key('c', 'parquet')}")
+    with pytest.raises(ValueError, match="shipments_c.*cost_usd"):
+        read_raw(spark, root)
+
+
+def test_lake_leaves_other_tables_alone(spark, frame, tmp_path):
+    root = f"file:{tmp_path}"
+    write_raw(frame(record(1)), root, "a")
+    spark.sql("DROP TABLE IF EXISTS kept_by_a_user")
+    spark.sql("CREATE TABLE kept_by_a_user USING parquet AS SELECT 7 AS x")
+    with pytest.raises(ValueError, match="kept_by_a_user"):
+        register_lake(spark, root, "kept_by_a_user")
+    assert spark.table("kept_by_a_user").collect()[0][0] == 7
+    spark.sql("DROP TABLE kept_by_a_user")
+    register_lake(spark, root, "lake_elsewhere")
+    write_raw(frame(record(1)), f"{root}/other", "a")
+    with pytest.raises(ValueError, match="lake_elsewhere"):
+        register_lake(spark, f"{root}/other", "lake_elsewhere")
+
+
+def test_objects_without_replacement(spark, tmp_path):
+    store = ObjectStore(spark, f"file:{tmp_path}")
+    store.upload_bytes("c/1.json", b"one", replace=False)
+    with pytest.raises(FileExistsError):
+        store.upload_bytes("c/1.json", b"two", replace=False)
+    assert store.download_bytes("c/1.json") == b"one"
+    assert [n for n in store.names("c") if not n.startswith(".")] == ["1.json"]

@@ -17,7 +17,8 @@ from haulmark.plans.warehouse import Warehouse
 from haulmark.session import shared_dir, tune
 from haulmark.sources.events import read_event_files
 from haulmark.sources.lake import register_lake
-from haulmark.sources.raw import read_raw, write_raw
+from haulmark.schemas import RAW_SCHEMA
+from haulmark.sources.raw import raw_key, read_raw, write_raw
 from haulmark.streaming.sink import EventTable, start_ingest
 from workload import feed
 
@@ -66,6 +67,43 @@ def raw(spark: SparkSession, sf_dir: str, run: str = "*") -> DataFrame:
     return read_raw(spark, raw_root(spark, sf_dir), run, ("parquet",))
 
 
+def rolled_root(spark: SparkSession, sf_dir: str) -> str:
+    """The history run again, by tasks that start a new file after few records.
+
+    Some 300,000 records a task and 250 a file: over a thousand files a task once the
+    tables are large enough.
+    """
+
+    def build(root: str) -> str:
+        lines = feed.order_lines(spark, sf_dir)
+        tasks = 1 + feed.read(spark, sf_dir, "lineitem").count() // 300_000
+        ordered = lines.repartitionByRange(tasks, *feed.LINE_ORDER)
+        ordered = ordered.sortWithinPartitions(*feed.LINE_ORDER)
+        write_raw(feed.to_records(ordered), root, HISTORY, file_rows=250)
+        return root
+
+    return once(spark, sf_dir, "landing_rolled", build)
+
+
+def mixed_root(spark: SparkSession, sf_dir: str) -> str:
+    """The two runs by different writers: the second has times as text, numbers as doubles."""
+
+    def build(root: str) -> str:
+        records = raw(spark, sf_dir, HISTORY)
+        write_raw(records, root, HISTORY)
+        loose = {
+            name: F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss")
+            if kind == "timestamp"
+            else F.col(name).cast("double" if kind.startswith("decimal") else kind)
+            for name, kind in RAW_SCHEMA.items()
+        }
+        foreign = raw(spark, sf_dir, RECENT).select(*[c.alias(n) for n, c in loose.items()])
+        foreign.write.parquet(f"{root}/{raw_key(RECENT, 'parquet')}")
+        return root
+
+    return once(spark, sf_dir, "landing_mixed", build)
+
+
 def csv_root(spark: SparkSession, sf_dir: str) -> str:
     def build(root: str) -> str:
         write_raw(feed.to_records(feed.order_lines(spark, sf_dir)), root, HISTORY, "csv")

@@ -130,7 +130,10 @@ COMMON: dict[str, str] = {
              ELSE 'raw/shipments_19990101.parquet' END AS raw_file,
         ROW_NUMBER() OVER (ORDER BY o_orderdate >= DATE '1999-01-01', l_orderkey, l_linenumber,
           l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate, l_discount, l_tax,
-          l_returnflag, l_linestatus) AS position
+          l_returnflag, l_linestatus) AS position,
+        ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber,
+          l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate, l_discount, l_tax,
+          l_returnflag, l_linestatus) AS line_position
       FROM timed""",
     "first_records": """
       SELECT * FROM raw
@@ -169,7 +172,7 @@ COMMON: dict[str, str] = {
               destination_city, destination_country ORDER BY position) = 1)""",
     "fact": f"""
       SELECT {FACT} FROM (
-        SELECT f.* EXCLUDE (position), c.customer_id, d.driver_id, v.vehicle_id, r.route_id,
+        SELECT f.* EXCLUDE (position, line_position), c.customer_id, d.driver_id, v.vehicle_id, r.route_id,
           t.date_id, ROW_NUMBER() OVER (ORDER BY f.source_shipment_id) AS shipment_id
         FROM first_records f
         LEFT JOIN (SELECT customer_id, company_name FROM dim_customer) c USING (company_name)
@@ -421,6 +424,13 @@ ORACLE: dict[str, str] = {
     "first_wins_attributes": """
       SELECT company_name, plate_number, destination_city, origin_city, delay_minutes
       FROM raw QUALIFY ROW_NUMBER() OVER (PARTITION BY company_name ORDER BY position) = 1""",
+    "rolled_files_first_wins": f"""
+      SELECT {RAW_COLUMNS} FROM raw
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY source_shipment_id ORDER BY line_position) = 1""",
+    "rolled_files_attributes": """
+      SELECT company_name, plate_number, destination_city, origin_city, delay_minutes
+      FROM raw QUALIFY ROW_NUMBER() OVER (PARTITION BY company_name ORDER BY line_position) = 1""",
+    "mixed_writers": f"SELECT {RAW_COLUMNS}, raw_file FROM raw",
     "reload_idempotent": """
       SELECT CAST(n AS INT) AS load_number, table_name, CAST(CASE n WHEN 1 THEN early
           WHEN 2 THEN whole - early ELSE 0 END AS BIGINT) AS new_rows

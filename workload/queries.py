@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from haulmark.functions import conditions, schedule
 from haulmark.functions.features import CATEGORICAL, FEATURES, with_features
 from haulmark.operators.enrich import enrich_recent
-from haulmark.operators.first_wins import first_attributes
+from haulmark.operators.first_wins import first_attributes, first_rows
 from haulmark.operators.split import stratified_split
 from haulmark.plans import dashboard, kpis, quality, star, training
 from haulmark.plans import lake as lake_plans
@@ -111,6 +111,29 @@ def first_wins_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_attributes(records, ["company_name"], attributes, ORDER)
 
 
+def _rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_raw(spark, built.rolled_root(spark, sf_dir), formats=("parquet",))
+
+
+@query
+def rolled_files_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First whole record of each shipment in a run of very many files."""
+    return first_rows(_rolled(spark, sf_dir), ["source_shipment_id"], ORDER).select(*RAW_SCHEMA)
+
+
+@query
+def rolled_files_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    attributes = ["plate_number", "destination_city", "origin_city", "delay_minutes"]
+    return first_attributes(_rolled(spark, sf_dir), ["company_name"], attributes, ORDER)
+
+
+@query
+def mixed_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of two writers read as one."""
+    records = read_raw(spark, built.mixed_root(spark, sf_dir), formats=("parquet",))
+    return records.select(*RAW_SCHEMA, "raw_file")
+
+
 @query
 def reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New rows per table of three loads: early run, all runs, all runs again."""
