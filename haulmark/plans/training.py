@@ -5,20 +5,21 @@ from __future__ import annotations
 import json
 import logging
 import math
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from datetime import UTC, datetime
 from statistics import fmean
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, PipelineModel, Transformer
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from haulmark.functions.features import CATEGORICAL, FEATURES, REQUIRED_FIELDS, with_features
 from haulmark.functions.metrics import ratio
 from haulmark.operators.split import stratified_split, with_folds
+from haulmark.operators.surrogate import numbered, stage_in_order
 from haulmark.plans.star import star
 from haulmark.plans.warehouse import Warehouse
 from haulmark.sources.objects import ObjectStore
@@ -34,14 +36,16 @@ log = logging.getLogger(__name__)
 
 LABEL, KEY = "label", "source_shipment_id"
 TOP_FEATURES = 12
-ROC_STEPS = 1000
-# Category values are listed on the driver to number them; more than this is an error.
-MAX_CATEGORIES = 100_000
 
 
 @dataclass(frozen=True)
 class TrainingConfig:
-    """Sizes of the candidate models; the defaults are those of a full training run."""
+    """Sizes of the candidate models; the defaults are those of a full training run.
+
+    ``fit_rows`` bounds the labelled rows that candidates are fitted on (0: all). The bound
+    keeps the share of each class, takes rows by a hash of their key, and is recorded with
+    the model; the test set is never cut.
+    """
 
     as_of_year: int
     test_share: float = 0.2
@@ -52,6 +56,7 @@ class TrainingConfig:
     trees: int = 100
     forest_depth: int = 30
     rounds: int = 100
+    fit_rows: int = 0
 
 
 def training_set(wh: Warehouse) -> DataFrame:
@@ -62,24 +67,38 @@ def training_set(wh: Warehouse) -> DataFrame:
     return star(wh).select(KEY, c("is_delayed").cast("int").alias(LABEL), *fields)
 
 
-def encoder(rows: DataFrame) -> list[Transformer]:
-    """Alphabetical category numbers; a category not seen here becomes number 0."""
-    sizes = rows.agg(*[F.approx_count_distinct(name).alias(name) for name in CATEGORICAL]).first()
-    wide = {name: n for name, n in sizes.asDict().items() if n > MAX_CATEGORIES}
-    if wide:
-        raise ValueError(f"too many categories to number: {wide}")
-    codes = [f"{name}_code" for name in CATEGORICAL]
-    indexer = StringIndexer(
-        inputCols=CATEGORICAL,
-        outputCols=codes,
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    ).fit(rows)
-    known = [
-        f"IF({code} >= {len(labels)}, 0D, {code}) AS {name}_index"
-        for name, code, labels in zip(CATEGORICAL, codes, indexer.labelsArray, strict=True)
-    ]
-    return [indexer, SQLTransformer(statement=f"SELECT *, {', '.join(known)} FROM __THIS__")]
+def dictionary(rows: DataFrame, root: str) -> DataFrame:
+    """field, value, index: alphabetical numbers, from 0, of the values of each category.
+
+    Written to ``root`` and read from there, so it is a table of any size and not a list on
+    the driver. Values are numbered by one distributed sort of (field, value).
+    """
+    spark = rows.sparkSession
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).alias("value")) for n in CATEGORICAL])
+    )
+    values = rows.select(pairs.alias("_p")).select("_p.*").filter("value IS NOT NULL").distinct()
+    stage_in_order(values, ["field", "value"], f"{root}_staged")
+    numbers = numbered(spark, f"{root}_staged", "_number", 0)
+    first = numbers.groupBy("field").agg(F.min("_number").alias("_first"))  # a row per category
+    indexed = numbers.join(F.broadcast(first), "field")
+    index = (F.col("_number") - F.col("_first")).cast("double").alias("index")
+    indexed.select("field", "value", index).write.mode("overwrite").parquet(root)
+    return spark.read.parquet(root)
+
+
+def encode(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Adds ``<category>_index`` for each category; a value not in the dictionary becomes 0.
+
+    Each category is a left join with its part of the dictionary. Adaptive execution
+    broadcasts the small ones.
+    """
+    for name in CATEGORICAL:
+        part = known.filter(F.col("field") == name).select(
+            F.col("value").alias(f"_{name}"), F.col("index").alias(f"{name}_index")
+        )
+        rows = rows.join(part, F.col(name) == F.col(f"_{name}"), "left").drop(f"_{name}")
+    return rows.fillna({f"{name}_index": 0.0 for name in CATEGORICAL})
 
 
 def assembler() -> VectorAssembler:
@@ -117,7 +136,7 @@ def candidates(config: TrainingConfig, rows: int) -> dict[str, Estimator]:
 
 def _auc(column: str) -> BinaryClassificationEvaluator:
     return BinaryClassificationEvaluator(
-        labelCol=LABEL, rawPredictionCol=column, metricName="areaUnderROC"
+        labelCol=LABEL, rawPredictionCol=column, metricName="areaUnderROC", numBins=0
     )
 
 
@@ -147,17 +166,25 @@ def train(wh: Warehouse, root: str, config: TrainingConfig) -> DataFrame:
     split = spark.read.parquet(f"{root}/training")
     train_rows = split.filter(F.col("part") == "train")
 
-    encoding = encoder(train_rows)
-    encoded = PipelineModel(encoding + [assembler()])
+    store = ModelStore(spark, root)
+    version = store.new_version()
+    known = dictionary(train_rows, f"{version}/dictionary")
+    assembled = assembler()
     scaler = StandardScaler(
         inputCol="raw_features", outputCol="features", withMean=True, withStd=True
-    ).fit(encoded.transform(train_rows))
-    prepare = PipelineModel(encoded.stages + [scaler])
+    ).fit(assembled.transform(encode(train_rows, known)))
+    prepare = PipelineModel([assembled, scaler])
 
     def prepared(part: DataFrame) -> DataFrame:
-        return prepare.transform(part).select(KEY, LABEL, "features")
-
-    fitting = with_folds(prepared(train_rows), KEY, config.folds, config.seed)
+        return prepare.transform(encode(part, known)).select(KEY, LABEL, "features")
+
+    total = train_rows.count()
+    if 0 < config.fit_rows < total:
+        share = config.fit_rows / total
+        chosen = stratified_split(train_rows, LABEL, KEY, share, config.seed + 1)
+        train_rows = chosen.filter("is_test").drop("is_test")
+    folded = with_folds(train_rows.select(KEY, LABEL), LABEL, KEY, config.folds, f"{root}/folds")
+    fitting = prepared(train_rows).join(folded.select(KEY, "fold"), KEY)
     fitting = fitting.persist(StorageLevel.MEMORY_AND_DISK)
     testing = prepared(split.filter(F.col("part") == "test")).persist(StorageLevel.MEMORY_AND_DISK)
     n_train, n_test = fitting.count(), testing.count()
@@ -167,11 +194,10 @@ def train(wh: Warehouse, root: str, config: TrainingConfig) -> DataFrame:
             fitted[name] = estimator.fit(fitting)
             store_predictions(fitted[name].transform(testing), root, name)
             scored = predictions(spark, root).filter(F.col("model") == name)
-            right = scored.agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("int"))).first()[0]
             result = {
                 "model": name,
-                "accuracy": right,
-                "roc_auc": _auc("probability").evaluate(scored),
+                "accuracy": accuracy(scored).first()["accuracy"],
+                "roc_auc": roc_auc(scored, f"{root}/roc").first()["roc_auc"],
                 "cv_score": cross_validate(estimator, fitting, config),
             }
             log.info("%(model)s: accuracy %(accuracy).3f, ROC-AUC %(roc_auc).3f", result)
@@ -188,10 +214,10 @@ def train(wh: Warehouse, root: str, config: TrainingConfig) -> DataFrame:
         "metrics": {name: best[name] for name in ("accuracy", "roc_auc", "cv_score")},
         "all_metrics": metrics,
         "feature_names": FEATURES,
-        "rows": {"train": n_train, "test": n_test},
+        "rows": {"train": total, "fitted": n_train, "test": n_test},
         "config": asdict(config),
     }
-    ModelStore(spark, root).save(bundle, details)
+    store.save(bundle, details, version)
     return metrics_frame(spark, root)
 
 
@@ -224,24 +250,83 @@ def confusion(scored: DataFrame) -> DataFrame:
     return counts.orderBy("actual", "predicted")
 
 
-def roc_points(scored: DataFrame, steps: int = ROC_STEPS) -> DataFrame:
-    """False and true positive rates at up to ``steps`` probability thresholds per model.
+def accuracy(scored: DataFrame) -> DataFrame:
+    """Share of right predictions per model."""
+    right = F.avg((F.col("prediction") == F.col(LABEL)).cast("int"))
+    return scored.groupBy("model").agg(right.alias("accuracy"))
+
 
-    Rows are counted per threshold first; the running totals see at most that many.
+def _running(scored: DataFrame, root: str) -> DataFrame:
+    """Per model and distinct probability: rows of each class, and of all higher ones.
+
+    Exact for any number of thresholds: they are sorted by range, summed up in their
+    partitions, and the totals of the partitions before are added.
     """
-    c = F.col
-    step = F.least(F.floor(c("probability") * steps), F.lit(steps - 1)).cast("int")
-    counts = scored.groupBy("model", step.alias("step")).agg(
-        F.sum(c(LABEL)).alias("positives"), F.sum(1 - c(LABEL)).alias("negatives")
+    spark, c = scored.sparkSession, F.col
+    counts = scored.groupBy("model", "probability").agg(
+        F.sum(c(LABEL)).alias("p"), F.sum(1 - c(LABEL)).alias("n")
     )
-    whole = Window.partitionBy("model")
-    downwards = whole.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
-    return counts.select(
+    order = [c("model"), c("probability").desc()]
+    path = f"{root}-{uuid.uuid4().hex}"
+    dealt = counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    dealt.write.parquet(path)
+    held = spark.read.parquet(path)
+    totals = held.groupBy("model", "_part").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    before = Window.partitionBy("model").orderBy("_part")
+    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(
         "model",
-        (c("step") / steps).alias("threshold"),
-        ratio(F.sum("negatives").over(downwards), F.sum("negatives").over(whole)).alias("fpr"),
-        ratio(F.sum("positives").over(downwards), F.sum("positives").over(whole)).alias("tpr"),
-    ).orderBy("model", F.desc("threshold"))
+        "_part",
+        *[F.coalesce(F.sum(x).over(earlier), F.lit(0)).alias(f"{x}_before") for x in "pn"],
+        *[F.sum(x).over(Window.partitionBy("model")).alias(f"{x}_all") for x in "pn"],
+    )  # a row per partition and model
+    inside = Window.partitionBy("model", "_part").orderBy(F.desc("probability"))
+    inside = inside.rowsBetween(Window.unboundedPreceding, 0)
+    return held.join(F.broadcast(starts), ["model", "_part"]).select(
+        "model",
+        "probability",
+        "p",
+        "n",
+        "p_all",
+        "n_all",
+        *[(c(f"{x}_before") + F.sum(x).over(inside)).alias(f"{x}_upto") for x in "pn"],
+    )
+
+
+def roc_points(scored: DataFrame, root: str) -> DataFrame:
+    """False and true positive rates at every probability that occurs, from (0, 0) on.
+
+    The first point has a threshold above all probabilities.
+    """
+    running = _running(scored, root)
+    points = running.select(
+        "model",
+        F.col("probability").alias("threshold"),
+        ratio(F.col("n_upto"), F.col("n_all")).alias("fpr"),
+        ratio(F.col("p_upto"), F.col("p_all")).alias("tpr"),
+    )
+    zero, above = F.lit(0.0), F.lit(float("inf"))
+    origin = running.groupBy("model").agg(
+        above.alias("threshold"), zero.alias("fpr"), zero.alias("tpr")
+    )
+    return origin.unionByName(points)
+
+
+def roc_auc(scored: DataFrame, root: str) -> DataFrame:
+    """Exact area under the curve: pairs ranked right, equal scores counting a half.
+
+    Twice the area is a whole number of pairs, so the sum does not depend on its order.
+    """
+    c = F.col
+    wide = {x: c(x).cast("decimal(38,0)") for x in ("p", "n", "p_upto", "p_all", "n_all")}
+    won = wide["n"] * (2 * (wide["p_upto"] - wide["p"]) + wide["p"])
+    sums = _running(scored, root).groupBy("model").agg(
+        F.sum(won.cast("decimal(38,0)")).alias("won"),
+        F.max(c("p_all")).alias("p_all"),
+        F.max(c("n_all")).alias("n_all"),
+    )
+    pairs = 2.0 * c("p_all") * c("n_all")
+    return sums.select("model", F.try_divide(c("won").cast("double"), pairs).alias("roc_auc"))
 
 
 def feature_importance(spark: SparkSession, root: str, top: int = TOP_FEATURES) -> DataFrame:
@@ -257,31 +342,56 @@ def feature_importance(spark: SparkSession, root: str, top: int = TOP_FEATURES)
 
 
 class ModelStore:
-    """Current model, one previous model, and what is known about them."""
+    """Versions of the model; one small pointer names the current and the previous one."""
+
+    POINTER = "models.json"
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.files = ObjectStore(spark, self.root)
 
-    def save(self, model: PipelineModel, details: dict) -> None:
-        """Replace the current model, always; a worse one is reported, the old one kept."""
-        model.write().overwrite().save(f"{self.root}/candidate/model")
-        self.files.upload_bytes("candidate/details.json", json.dumps(details).encode())
-        if self.files.exists("current"):
+    def new_version(self) -> str:
+        """A folder of its own for the next model and what belongs to it."""
+        return f"{self.root}/versions/{uuid.uuid4().hex}"
+
+    def _pointer(self) -> dict:
+        if not self.files.exists(self.POINTER):
+            return {}
+        return json.loads(self.files.download_bytes(self.POINTER))
+
+    def save(self, model: PipelineModel, details: dict, version: str | None = None) -> None:
+        """Make this the current model, always; a worse one is reported, the old one kept.
+
+        Readers see the old model until the pointer is replaced. Versions older than the
+        previous one are removed.
+        """
+        version = version or self.new_version()
+        name = version.rpartition("/")[2]
+        model.write().overwrite().save(f"{version}/model")
+        self.files.upload_bytes(f"versions/{name}/details.json", json.dumps(details).encode())
+        pointer = self._pointer()
+        if pointer:
             old = self.details()["metrics"]["roc_auc"]
             new = details["metrics"]["roc_auc"]
             if new < old:
                 log.warning("new model is worse: ROC-AUC %.3f after %.3f; saved anyway", new, old)
-            if self.files.exists("previous"):
-                self.files.remove("previous")
-            self.files.move("current", "previous")
-        self.files.move("candidate", "current")
+        following = {"current": name, "previous": pointer.get("current")}
+        self.files.upload_bytes(self.POINTER, json.dumps(following).encode())
+        if pointer.get("previous"):
+            self.files.remove(f"versions/{pointer['previous']}")
+
+    def _version(self, which: str) -> str:
+        name = self._pointer().get(which)
+        if not name:
+            raise FileNotFoundError(f"no {which} model in {self.root}, train one first")
+        return f"versions/{name}"
 
     def load(self, which: str = "current") -> PipelineModel:
-        if not self.files.exists(f"{which}/details.json"):
-            raise FileNotFoundError(f"no model in {self.root}, train one first")
-        return PipelineModel.load(f"{self.root}/{which}/model")
+        return PipelineModel.load(f"{self.root}/{self._version(which)}/model")
+
+    def dictionary(self, which: str = "current") -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{self._version(which)}/dictionary")
 
     def details(self, which: str = "current") -> dict:
-        return json.loads(self.files.download_bytes(f"{which}/details.json"))
+        return json.loads(self.files.download_bytes(f"{self._version(which)}/details.json"))

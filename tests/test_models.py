@@ -16,7 +16,7 @@ from haulmark.plans.warehouse import Warehouse
 from haulmark.sources.raw import write_raw
 
 SMALL = TrainingConfig(
-    as_of_year=2026, folds=2, iterations=20, trees=3, forest_depth=3, rounds=3
+    as_of_year=2026, folds=2, iterations=20, trees=3, forest_depth=3, rounds=3, fit_rows=300
 )
 
 
@@ -46,10 +46,13 @@ def test_split_with_equal_hashes_and_tiny_classes(spark):
     assert sum(r["is_test"] for r in found if r["label"] == 0) == 0
 
 
-def test_folds_are_even(spark):
-    rows = with_folds(spark.range(5000).selectExpr("concat('s', id) AS k"), "k", 5)
-    sizes = [r["count"] for r in rows.groupBy("fold").count().collect()]
-    assert len(sizes) == 5 and min(sizes) > 850
+def test_folds_are_even_in_each_class(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("concat('s', id) AS k", "int(id % 7 = 0) AS label")
+    dealt = with_folds(rows, "label", "k", 5, f"file:{tmp_path}/folds")
+    sizes = dealt.groupBy("label").pivot("fold").count().collect()
+    for row in sizes:
+        counts = [row[str(i)] for i in range(5)]
+        assert max(counts) - min(counts) <= 1
 
 
 def shipment(**changes):
@@ -82,24 +85,40 @@ def test_features(spark):
     assert (made["is_weekend"], made["weekday"]) == (1.0, "None")
 
 
-def test_unseen_category_becomes_the_first(spark):
+def test_unseen_category_becomes_the_first(spark, tmp_path):
     known = with_features(
         shipments(spark, shipment(region="b"), shipment(region="c"), shipment(region="a")), 2026
     )
-    stages = training.encoder(known)
+    table = training.dictionary(known, f"file:{tmp_path}/dictionary")
     unseen = with_features(
         shipments(spark, *[shipment(region=r) for r in ("a", "b", "c", "z", None)]), 2026
     )
-    for stage in stages:
-        unseen = stage.transform(unseen)
-    assert [r["region_index"] for r in unseen.collect()] == [0.0, 1.0, 2.0, 0.0, 0.0]
-
-
-def test_too_many_categories(spark, monkeypatch):
-    monkeypatch.setattr(training, "MAX_CATEGORIES", 1)
-    rows = with_features(shipments(spark, shipment(), shipment(region="b")), 2026)
-    with pytest.raises(ValueError, match="region"):
-        training.encoder(rows)
+    found = training.encode(unseen, table).select("region", "region_index").collect()
+    assert {r["region"]: r["region_index"] for r in found} == {
+        "a": 0.0, "b": 1.0, "c": 2.0, "z": 0.0, "None": 0.0
+    }
+
+
+def test_evaluation_is_exact(spark, tmp_path):
+    """Many thresholds and ties, next to counting all pairs."""
+    import random
+
+    generator = random.Random(6)
+    data = [
+        ("m", generator.randint(0, 1), generator.randint(0, 400) / 400) for _ in range(900)
+    ] + [("one class", 1, 0.5)]
+    scored = spark.createDataFrame(data, "model string, label int, probability double")
+    positive = [p for m, y, p in data if m == "m" and y]
+    negative = [p for m, y, p in data if m == "m" and not y]
+    won = sum((a > b) + (a == b) / 2 for a in positive for b in negative)
+    found = {r["model"]: r["roc_auc"] for r in training.roc_auc(scored, f"file:{tmp_path}/a").collect()}
+    assert found["m"] == pytest.approx(won / len(positive) / len(negative), abs=1e-12)
+    assert found["one class"] is None
+    points = training.roc_points(scored, f"file:{tmp_path}/b").filter("model = 'm'").collect()
+    assert len(points) == 1 + len({p for m, _, p in data if m == "m"})
+    for r in points:
+        assert r["tpr"] == pytest.approx(sum(p >= r["threshold"] for p in positive) / len(positive))
+        assert r["fpr"] == pytest.approx(sum(p >= r["threshold"] for p in negative) / len(negative))
 
 
 @pytest.fixture(scope="module")
@@ -139,7 +158,7 @@ def test_daily_job(spark, trained):
     assert sum(r["is_best"] for r in metrics) == 1
     details = ModelStore(spark, f"{root}/models").details()
     assert details["feature_names"] == FEATURES
-    assert details["rows"] == {"train": 480, "test": 120}
+    assert details["rows"] == {"train": 480, "fitted": 300, "test": 120}
 
 
 def test_evaluation_frames(spark, trained):
@@ -147,7 +166,9 @@ def test_evaluation_frames(spark, trained):
     scored = training.predictions(spark, f"{root}/models")
     one = scored.filter("model = 'Logistic Regression'")
     assert sum(r["shipments"] for r in training.confusion(one).collect()) == 120
-    points = training.roc_points(scored).filter("model = 'Random Forest'").collect()
+    points = training.roc_points(scored, f"{root}/models/roc").filter("model = 'Random Forest'")
+    points = points.orderBy(F.desc("threshold")).collect()
+    assert (points[0]["fpr"], points[0]["tpr"]) == (0.0, 0.0)
     assert (points[-1]["fpr"], points[-1]["tpr"]) == (1.0, 1.0)
     assert all(a["tpr"] <= b["tpr"] for a, b in zip(points, points[1:], strict=False))
 

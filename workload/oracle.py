@@ -404,6 +404,58 @@ _NORMAL = """CASE {code} WHEN 'Clouds' THEN 'Cloudy' WHEN 'Rain' THEN 'Rain' WHE
           WHEN 'Drizzle' THEN 'Rain' WHEN 'Haze' THEN 'Fog' ELSE 'Clear' END"""
 _CLASS = "CASE WHEN {r} >= 0.8 THEN 'LOW' WHEN {r} >= 0.5 THEN 'MEDIUM' ELSE 'HIGH' END"
 
+_RISK = """
+      SELECT source_shipment_id, ROUND(LEAST(0.95,
+        0.10 + CASE weather_condition WHEN 'Clear' THEN 0.0 WHEN 'Cloudy' THEN 0.02
+            WHEN 'Rain' THEN 0.10 WHEN 'Heavy Rain' THEN 0.20 WHEN 'Fog' THEN 0.15
+            WHEN 'Snow' THEN 0.25 ELSE 0.05 END
+        + CASE traffic_condition WHEN 'LOW' THEN 0.0 WHEN 'MEDIUM' THEN 0.08
+            WHEN 'HIGH' THEN 0.18 ELSE 0.05 END
+        + CASE WHEN driver_rating < 3 THEN 0.15 WHEN driver_rating < 4 THEN 0.05 ELSE 0.0 END
+        + CASE WHEN 2026 - manufacture_year > 10 AND mileage_km > 200000 THEN 0.15
+            WHEN 2026 - manufacture_year > 5 THEN 0.05 ELSE 0.0 END
+        + CASE WHEN distance_km > 2000 THEN 0.10 WHEN distance_km > 1000 THEN 0.05
+            ELSE 0.0 END)::DOUBLE, 2) AS delay_risk
+      FROM star"""
+
+# The delay risk taken as a prediction, for two groups of shipments.
+_RATED = f"""
+      WITH risks AS ({_RISK}),
+      rated AS (
+        SELECT source_shipment_id, CASE WHEN right(source_shipment_id, 1) IN ('1', '2')
+            THEN 'odd' ELSE 'even' END AS model,
+          CAST(is_delayed AS INT) AS late, delay_risk AS p
+        FROM star JOIN risks USING (source_shipment_id)),
+      steps AS (
+        SELECT model, p, SUM(late) AS pos, SUM(1 - late) AS neg FROM rated GROUP BY model, p),
+      running AS (
+        SELECT model, p, pos, neg,
+          SUM(pos) OVER (PARTITION BY model ORDER BY p DESC) AS pos_upto,
+          SUM(neg) OVER (PARTITION BY model ORDER BY p DESC) AS neg_upto,
+          SUM(pos) OVER (PARTITION BY model) AS pos_all,
+          SUM(neg) OVER (PARTITION BY model) AS neg_all
+        FROM steps)"""
+
+_RULE = {
+    "rule_accuracy": f"""SELECT * FROM ({_RATED}
+      SELECT model, ROUND(AVG(CAST((p >= 0.3) = (late = 1) AS INT)), 9) AS accuracy
+      FROM rated GROUP BY model)""",
+    "rule_auc": f"""SELECT * FROM ({_RATED}
+      SELECT model, ROUND(SUM(neg * (2 * (pos_upto - pos) + pos))::DOUBLE
+          / (2.0::DOUBLE * MAX(pos_all) * MAX(neg_all)), 9) AS roc_auc
+      FROM running GROUP BY model)""",
+    "rule_roc": f"""SELECT * FROM ({_RATED}
+      SELECT model, p AS threshold, ROUND(neg_upto::DOUBLE / neg_all, 9) AS fpr,
+        ROUND(pos_upto::DOUBLE / pos_all, 9) AS tpr FROM running
+      UNION ALL SELECT DISTINCT model, 'infinity'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM running)""",
+    "rule_confusion": f"""SELECT * FROM ({_RATED}
+      SELECT late AS actual, CAST(p >= 0.3 AS INT) AS predicted, COUNT(*) AS shipments
+      FROM rated GROUP BY ALL)""",
+    "rule_risk_band": f"""SELECT * FROM ({_RATED}
+      SELECT source_shipment_id, CASE WHEN p >= 0.7 THEN 'HIGH' WHEN p >= 0.4 THEN 'MEDIUM'
+          ELSE 'LOW' END AS risk_level, ROUND(p * 100, 1) AS delay_probability FROM rated)""",
+}
+
 ORACLE: dict[str, str] = {
     "raw_scan_lineage": f"SELECT {RAW_COLUMNS}, raw_file FROM raw",
     "raw_csv_scan": f"SELECT {RAW_COLUMNS}, 'raw/shipments_19950101.csv' AS raw_file FROM raw",
@@ -561,19 +613,8 @@ ORACLE: dict[str, str] = {
     "duplicate_shipments": """
       SELECT customer_id, scheduled_pickup, COUNT(*) AS shipments
       FROM fact GROUP BY customer_id, scheduled_pickup HAVING COUNT(*) > 1""",
-    "delay_risk": """
-      SELECT source_shipment_id, ROUND(LEAST(0.95,
-        0.10 + CASE weather_condition WHEN 'Clear' THEN 0.0 WHEN 'Cloudy' THEN 0.02
-            WHEN 'Rain' THEN 0.10 WHEN 'Heavy Rain' THEN 0.20 WHEN 'Fog' THEN 0.15
-            WHEN 'Snow' THEN 0.25 ELSE 0.05 END
-        + CASE traffic_condition WHEN 'LOW' THEN 0.0 WHEN 'MEDIUM' THEN 0.08
-            WHEN 'HIGH' THEN 0.18 ELSE 0.05 END
-        + CASE WHEN driver_rating < 3 THEN 0.15 WHEN driver_rating < 4 THEN 0.05 ELSE 0.0 END
-        + CASE WHEN 2026 - manufacture_year > 10 AND mileage_km > 200000 THEN 0.15
-            WHEN 2026 - manufacture_year > 5 THEN 0.05 ELSE 0.0 END
-        + CASE WHEN distance_km > 2000 THEN 0.10 WHEN distance_km > 1000 THEN 0.05
-            ELSE 0.0 END)::DOUBLE, 2) AS delay_risk
-      FROM star""",
+    "delay_risk": _RISK,
+    **_RULE,
     "congestion_class": f"""
       SELECT event_id, ratio, {_CLASS.format(r="ratio")} AS traffic_condition
       FROM (SELECT event_id, CASE WHEN user_id % 5 = 0 THEN 1.0::DOUBLE

@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.functions import conditions, schedule
-from haulmark.functions.features import CATEGORICAL, FEATURES, with_features
+from haulmark.functions.features import (
+    CATEGORICAL,
+    FEATURES,
+    probability_pct,
+    risk_band,
+    with_features,
+)
 from haulmark.operators.enrich import enrich_recent
 from haulmark.operators.first_wins import first_attributes, first_rows
 from haulmark.operators.split import stratified_split
@@ -454,9 +460,10 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _features(spark, sf_dir)
-    for stage in training.encoder(rows):
-        rows = stage.transform(rows)
-    return rows.select(
+    known = built.once(
+        spark, sf_dir, "dictionary", lambda root: training.dictionary(rows, root)
+    )
+    return training.encode(rows, known).select(
         training.KEY, *[F.col(f"{name}_index").cast("int").alias(name) for name in CATEGORICAL]
     )
 
@@ -468,6 +475,69 @@ def stratified_test_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.select(training.KEY, training.LABEL, "is_test")
 
 
+def _rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of a rule instead of a model: the delay risk, late from 0.3 on."""
+    c = F.col
+    facts = star.star(built.warehouse(spark, sf_dir))
+    risk = conditions.delay_risk(
+        c("weather_condition"),
+        c("traffic_condition"),
+        c("driver_rating"),
+        c("manufacture_year"),
+        c("mileage_km"),
+        c("distance_km"),
+        built.FEATURE_YEAR,
+    )
+    rated = facts.select(
+        training.KEY, c("is_delayed").cast("int").alias(training.LABEL), F.round(risk, 2).alias("r")
+    )
+    model = F.when(F.substring(training.KEY, -1, 1).isin("1", "2"), "odd").otherwise("even")
+    return rated.select(
+        model.alias("model"),
+        training.KEY,
+        training.LABEL,
+        (c("r") >= 0.3).cast("double").alias("prediction"),
+        c("r").alias("probability"),
+    )
+
+
+@query
+def rule_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    right = training.accuracy(_rated(spark, sf_dir))
+    return right.select("model", F.round("accuracy", 9).alias("accuracy"))
+
+
+@query
+def rule_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = _rated(spark, sf_dir)
+    return built.once(
+        spark, sf_dir, "rule_auc", lambda root: training.roc_auc(rated, root)
+    ).select("model", F.round("roc_auc", 9).alias("roc_auc"))
+
+
+@query
+def rule_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = _rated(spark, sf_dir)
+    points = built.once(spark, sf_dir, "rule_roc", lambda root: training.roc_points(rated, root))
+    rounded = [F.round(name, 9).alias(name) for name in ("fpr", "tpr")]
+    return points.select("model", "threshold", *rounded)
+
+
+@query
+def rule_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training.confusion(_rated(spark, sf_dir))
+
+
+@query
+def rule_risk_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probability = F.col("probability")
+    return _rated(spark, sf_dir).select(
+        training.KEY,
+        risk_band(probability).alias("risk_level"),
+        probability_pct(probability).alias("delay_probability"),
+    )
+
+
 @query
 def model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.metrics_frame(spark, built.models(spark, sf_dir))
@@ -483,7 +553,8 @@ def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.roc_points(training.predictions(spark, built.models(spark, sf_dir)))
+    root = built.models(spark, sf_dir)
+    return training.roc_points(training.predictions(spark, root), f"{root}/roc")
 
 
 @query
