@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Columns that say where a message stood: at the broker, or in files by time of arrival.
+BROKER_POSITION = ["partition", "offset"]
+FILE_POSITION = ["source_time", "source_file", "source_start"]
+
+
 def read_kafka(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """Needs the Kafka connector package on the class path."""
     settings = {
@@ -18,12 +23,22 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, **options: str) ->
 
 
 def read_event_files(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """The same ``value`` column from JSON-lines files that land in a folder."""
-    return (
+    """The same ``value`` column from JSON-lines files that land in a folder.
+
+    A micro-batch may hold several files, which Spark reads by size and not by age; so each
+    message carries the time and name of its file, and the block it stands in.
+    """
+    lines = (
         spark.readStream.format("text")
         .option("maxFilesPerTrigger", files_per_trigger)
         .load(folder)
     )
+    return lines.select(
+        "value",
+        F.col("_metadata.file_modification_time").alias("source_time"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("source_start"),
+    )
 
 
 def publish_frame(events: DataFrame) -> DataFrame:

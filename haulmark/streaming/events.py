@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from haulmark.functions import events as measures
 from haulmark.functions.calendar import iso_timestamp
 from haulmark.schemas import EVENT_SCHEMA, ddl
+from haulmark.sources.events import BROKER_POSITION, FILE_POSITION
 
 
 def decode(messages: DataFrame) -> DataFrame:
     """Event fields plus the message text; what cannot be parsed becomes NULL.
 
-    Broker position columns, where present, are kept to order events by arrival.
+    Position columns, where present, are kept to order events by arrival.
     """
     text = F.col("value").cast("string")
-    position = [name for name in ("partition", "offset") if name in messages.columns]
+    known = BROKER_POSITION + FILE_POSITION
+    position = [name for name in known if name in messages.columns]
     event = F.from_json(text, ddl(EVENT_SCHEMA), {"mode": "PERMISSIVE"})
     return messages.select(event.alias("event"), text.alias("message"), *position).select(
         "event.*", "message", *position

@@ -12,16 +12,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from functools import reduce
 
-import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from haulmark.operators.first_wins import first_rows
 from haulmark.operators.keyed import absent
 from haulmark.schemas import REALTIME_TYPES, ddl
+from haulmark.sources.events import BROKER_POSITION, FILE_POSITION
 from haulmark.sources.objects import ObjectStore
 from haulmark.streaming.events import decode, enrich
 
@@ -36,6 +37,7 @@ MAX_EVENT_TEXT = {
     "vehicle_type": 20,
 }
 TRIGGER = "10 seconds"
+QUARANTINE = {"message": "string", "reason": "string", "message_key": "string"}
 _PARTITIONS = {"query_id": "string", "batch_id": "bigint"}
 
 
@@ -78,8 +80,7 @@ class EventTable:
         return self._read("events", schema, self._queries("events"))
 
     def quarantine(self) -> DataFrame:
-        schema = {"message": "string", "reason": "string"}
-        return self._read("quarantine", schema, self._queries("quarantine"))
+        return self._read("quarantine", QUARANTINE, self._queries("quarantine"))
 
     def _known_ids(self, query_id: str, batch_id: int, unique_in_query: bool) -> DataFrame:
         """Ids stored by anything but this very batch; folders without any are not listed."""
@@ -98,23 +99,47 @@ class EventTable:
         ``unique_in_query``: the stream itself already dropped repeated ids, so only what
         other queries wrote has to be searched.
         """
-        arrival = [name for name in ("partition", "offset") if name in batch.columns]
-        if not arrival:
-            batch = batch.withColumn("_arrival", F.monotonically_increasing_id())
-            arrival = ["_arrival"]
+        if "source_row" not in batch.columns:
+            in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+            batch = batch.withColumn("source_row", in_task)
+        arrival = arrival_order(batch)
         batch = batch.withColumn("reason", _problem()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             total, bad = batch.agg(F.count("*"), F.count("reason")).first()
-            folder = f"query_id={query_id}/batch_id={batch_id}"
             if total > bad:
                 good = batch.filter(F.col("reason").isNull())
                 self._store_new(good, arrival, query_id, batch_id, unique_in_query, total - bad)
             if bad:
-                rejected = batch.filter(F.col("reason").isNotNull()).select("message", "reason")
-                rejected.write.mode("overwrite").parquet(f"{self.root}/quarantine/{folder}")
+                rejected = batch.filter(F.col("reason").isNotNull())
+                self._set_aside(rejected, arrival, query_id, batch_id, bad)
         finally:
             batch.unpersist()
 
+    def _set_aside(
+        self, rejected: DataFrame, arrival: list[str], query_id: str, batch_id: int, rows: int
+    ) -> None:
+        """Keep unusable messages, each once, however often it is replayed.
+
+        A message is known by its place at the broker; in a file by its text and by how many
+        of that text stand before it, as line numbers differ with the way files are read. A
+        query meets no place twice, so only what other queries set aside is searched.
+        """
+        if "offset" in arrival:
+            place = F.concat_ws("|", *arrival)
+        else:
+            file = [name for name in ("source_file",) if name in arrival]
+            alike = Window.partitionBy(*file, "message").orderBy(*arrival)
+            ordinal = F.row_number().over(alike).cast("string")
+            place = F.concat_ws("|", *file, ordinal, "message")
+        keyed = rejected.select("message", "reason", F.sha2(place, 256).alias("message_key"))
+        folders = [f for f in self._queries("quarantine") if f != f"query_id={query_id}"]
+        known = self._read("quarantine", QUARANTINE, folders).select("message_key")
+        new = absent(keyed, known, ["message_key"], rows) if folders else keyed
+        folder = f"query_id={query_id}/batch_id={batch_id}"
+        new.select(*QUARANTINE).write.mode("overwrite").parquet(
+            f"{self.root}/quarantine/{folder}"
+        )
+
     def _store_new(
         self,
         good: DataFrame,
@@ -133,47 +158,77 @@ class EventTable:
         ).parquet(f"{self.root}/events/query_id={query_id}/batch_id={batch_id}")
 
 
-def repeat_filter() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Drops repeated ids within each Arrow batch; rows without an id all stay.
+def arrival_order(batch: DataFrame) -> list[str]:
+    """Columns that order messages by arrival, as far as their source tells."""
+    if "offset" in batch.columns:
+        return BROKER_POSITION
+    return [name for name in FILE_POSITION if name in batch.columns] + ["source_row"]
+
+
+def row_numbers() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds ``source_row``: the number of a row within its task, in reading order.
 
     Made inside a function, so that it travels to the executors by value.
     """
 
-    def without_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = 0
         for batch in batches:
-            ids = batch.column("event_id")
-            codes = ids.dictionary_encode().indices
-            keep = ids.is_null().to_numpy(zero_copy_only=False)
-            known = np.flatnonzero(~keep)
-            first = np.unique(codes.drop_null().to_numpy(), return_index=True)[1]
-            keep[known[first]] = True
-            yield batch.filter(pa.array(keep))
+            numbers = pa.array(range(rows, rows + batch.num_rows), pa.int64())
+            rows += batch.num_rows
+            yield batch.append_column("source_row", numbers)
 
-    return without_repeats
+    return numbered
+
+
+def first_of_each_id(events: DataFrame) -> DataFrame:
+    """Of a stream: the first event of each id, when its id is met first; and unusable ones.
+
+    The state store keeps one event per id (exact, unbounded, on disk with RocksDB), so a
+    batch costs the same however large the table has become. Copies are reduced in each task
+    before the shuffle, so an id that owns a third of a batch is a few rows. A later copy
+    does change its id's newest batch time, by which it is told from a new id. Unusable
+    messages, also those without an id, leave no state.
+    """
+    schema = StructType([*events.schema.fields, StructField("source_row", LongType())])
+    events = events.mapInArrow(row_numbers(), schema).withColumn("_problem", _problem())
+    usable = events.filter(F.col("_problem").isNull())
+    place = F.struct(*arrival_order(events))
+    kept = [F.col(name) for name in events.columns if name not in ("message", "_problem")]
+    now = F.col("_now")
+    first = (
+        usable.withColumn("_now", F.current_timestamp())  # of the micro-batch
+        .groupBy(F.col("event_id").alias("_id"))
+        .agg(
+            F.min_by(F.struct(*kept), place).alias("_first"),
+            F.min(now).alias("_since"),
+            F.max(now).alias("_last"),
+        )
+        .filter(F.col("_since") == F.col("_last"))
+        .select("_first.*")
+        .withColumn("message", F.lit(None).cast("string"))
+    )
+    unusable = events.filter(F.col("_problem").isNotNull()).drop("_problem")
+    return first.unionByName(unusable)
 
 
 def start_ingest(
     messages: DataFrame,
     table: EventTable,
     checkpoint: str,
-    stateful: bool = False,
+    stateful: bool = True,
     **trigger: object,
 ) -> StreamingQuery:
     """Decode, enrich and upsert a stream of messages.
 
-    By default the sink searches the whole table for the ids of each micro-batch.
-    ``stateful`` also keeps seen ids in the query's state store (exact, unbounded, on
-    disk with RocksDB), which makes the cost of a batch independent of the table's size.
-    Streaming deduplication has no map side, so repeats are first dropped per Arrow batch:
-    an id that owns a third of the input reaches its task as a few rows. Messages without
-    an id get an identity of their own, so none of them is dropped.
+    By default seen ids are kept in the query's state store and the table is not searched for
+    them. ``stateful=False`` keeps no state and searches the whole table for the ids of each
+    micro-batch instead: for tables that stay small, or are read rarely. Both keep the copy
+    that arrived first.
     """
     events = enrich(decode(messages))
     if stateful:
-        events = events.mapInArrow(repeat_filter(), events.schema)
-        identity = F.coalesce(F.col("event_id"), F.concat(F.lit("?"), F.expr("uuid()")))
-        events = events.withColumn("_identity", identity).dropDuplicates(["_identity"])
-        events = events.drop("_identity")
+        events = first_of_each_id(events)
     spark = table.spark
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -182,6 +237,7 @@ def start_ingest(
 
     return (
         events.writeStream.foreachBatch(write)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": TRIGGER}))
         .start()

@@ -1,6 +1,7 @@
 """Event stream: first event kept, replays harmless, unusable messages set aside."""
 
 import json
+import time
 from datetime import datetime
 
 import pyarrow as pa
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from haulmark.schemas import EVENT_SCHEMA, ddl
 from haulmark.sources.events import publish_frame, read_event_files
 from haulmark.streaming.events import decode, enrich
-from haulmark.streaming.sink import EventTable, repeat_filter, start_ingest
+from haulmark.streaming.sink import EventTable, row_numbers, start_ingest
 
 BASE = {
     "event_type": "STATUS_UPDATE",
@@ -70,12 +71,7 @@ def test_first_event_is_kept_across_batches_and_restarts(feed, stateful):
     feed.run(stateful=stateful)
     feed.arrive(event(3, revenue=33.0), event(4, event_timestamp="2020-01-01T00:00:00"))
     feed.run(stateful=stateful)
-    expected = {"1": 10.0, "2": 10.0, "3": 10.0, "4": 10.0}
-    if stateful:  # within one batch any of the copies may come first
-        assert feed.stored().keys() == expected.keys()
-        assert {k: v for k, v in feed.stored().items() if k != "1"} == {"2": 10, "3": 10, "4": 10}
-    else:
-        assert feed.stored() == expected
+    assert feed.stored() == {"1": 10.0, "2": 10.0, "3": 10.0, "4": 10.0}
     before = feed.stored()
     feed.run("lost-checkpoint", stateful=stateful)  # everything arrives once more
     assert feed.stored() == before
@@ -89,11 +85,48 @@ def test_one_id_owns_a_third_of_a_batch(feed, stateful):
     assert feed.stored() == {"hot": 0.0} | {str(n): float(n) for n in range(900) if n % 3}
 
 
-def test_repeats_are_dropped_before_the_shuffle():
-    ids = pa.array(["a", None, "b", "a", "b", None, "c", "a"])
-    batch = pa.record_batch({"event_id": ids, "n": pa.array(range(8))})
-    (kept,) = repeat_filter()(iter([batch]))
-    assert kept.column("n").to_pylist() == [0, 1, 2, 5, 6]
+@pytest.mark.parametrize("stateful", [False, True])
+def test_first_copy_of_several_files_in_one_batch(feed, stateful):
+    """Changed copies in newer and much larger files, which Spark reads first."""
+    feed.arrive(*[event(n) for n in range(200)])
+    time.sleep(0.05)
+    feed.arrive(*[event(n, revenue=99.0, note="x" * 4000) for n in range(200)])
+    feed.run(stateful=stateful, files_per_trigger=10)
+    assert feed.stored() == {str(n): 10.0 for n in range(200)}
+
+
+def test_rows_are_numbered_across_batches():
+    parts = [pa.record_batch({"n": pa.array(range(k))}) for k in (2, 0, 3)]
+    found = [b.column("source_row").to_pylist() for b in row_numbers()(iter(parts))]
+    assert found == [[0, 1], [], [2, 3, 4]]
+
+
+def test_lookups_do_not_grow_with_the_table(feed, monkeypatch):
+    """Known ids are in the state, so the query's own folders are never read."""
+    searched = []
+    read = EventTable._read
+
+    def watch(self, name, schema, folders):
+        searched.append(folders)
+        return read(self, name, schema, folders)
+
+    monkeypatch.setattr(EventTable, "_read", watch)
+    for n in range(4):
+        feed.arrive(event(n), event(0, revenue=77.0), "broken")
+    feed.run(stateful=True)
+    assert searched and not any(searched)
+    assert feed.stored() == {str(n): 10.0 for n in range(4)}
+
+
+@pytest.mark.parametrize("stateful", [False, True])
+def test_quarantine_is_the_same_after_a_replay(feed, stateful):
+    feed.arrive("broken", "broken", event(1), "other")
+    feed.arrive("broken", event(2, event_id=None))
+    feed.run(stateful=stateful)
+    before = sorted(r["message"] for r in feed.table.quarantine().collect())
+    assert len(before) == 5
+    feed.run("lost", stateful=stateful, files_per_trigger=5)
+    assert sorted(r["message"] for r in feed.table.quarantine().collect()) == before
 
 
 def test_crash_after_the_write_then_replay(feed, monkeypatch):

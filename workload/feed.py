@@ -205,9 +205,19 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(events(spark, sf_dir))
 
 
-def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event again with another revenue; a late one, one with a bad time, broken lines."""
+def later_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event once more, changed."""
     again = events(spark, sf_dir)
+    return _as_text(again.withColumn("revenue", F.col("revenue") + 2))
+
+
+def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event again with another revenue; a late one, one with a bad time, broken lines.
+
+    Each message also has a field that nobody reads, so that these files are larger than
+    those of the first copies.
+    """
+    again = events(spark, sf_dir).withColumn("note", F.repeat(F.lit("again "), 60))
     first = again.orderBy(F.col("event_id").cast("bigint")).limit(1)
     repeated = again.withColumn("revenue", F.col("revenue") + 1)
     late = first.withColumns(

@@ -146,7 +146,10 @@ def grown_warehouse(spark: SparkSession, sf_dir: str) -> tuple[Warehouse, list[d
 
 
 def _ingest(spark: SparkSession, sf_dir: str, root: str, stateful: bool) -> EventTable:
-    """Events arrive, some arrive again changed, the query restarts, all is replayed."""
+    """Events and changed copies arrive in one micro-batch, more copies later; then all again.
+
+    The copies stand in newer and larger files. The replay is that of a lost checkpoint.
+    """
     inbox = f"{root}/inbox"
     table = EventTable(spark, f"{root}/table")
 
@@ -156,9 +159,10 @@ def _ingest(spark: SparkSession, sf_dir: str, root: str, stateful: bool) -> Even
         query.awaitTermination()
 
     feed.event_messages(spark, sf_dir).write.text(inbox)
-    consume("checkpoint")
     feed.repeated_messages(spark, sf_dir).write.mode("append").text(inbox)
     consume("checkpoint")
+    feed.later_messages(spark, sf_dir).write.mode("append").text(inbox)
+    consume("checkpoint")
     consume("checkpoint-lost")
     return table
 
