@@ -5,19 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest number of rows of a lookup table that is sent to every executor. Beyond it the
-# join has no hint and adaptive execution shuffles both sides, splitting skewed keys.
-BROADCAST_ROWS = 500_000
+# Largest lookup table that is sent to every executor. Beyond it the join has no hint and
+# adaptive execution shuffles both sides, splitting skewed keys.
+BROADCAST_BYTES = 64 << 20
+_WIDTH = {"string": 100, "binary": 100, "boolean": 1, "int": 4, "float": 4, "date": 4}
 
 
-def sized(table: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup table for broadcast if its known row count allows it."""
-    return F.broadcast(table) if rows <= limit else table
+def row_bytes(table: DataFrame) -> int:
+    """Bytes a row takes in memory; texts are taken to be long."""
+    return 16 + sum(_WIDTH.get(kind, 16) for _, kind in table.dtypes)
 
 
-def counted(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """As :func:`sized` for a table of unknown size: counts at most ``limit + 1`` rows."""
-    return sized(table, table.limit(limit + 1).count(), limit)
+def fits(table: DataFrame, rows: int) -> bool:
+    return rows * row_bytes(table) <= BROADCAST_BYTES
+
+
+def sized(table: DataFrame, rows: int) -> DataFrame:
+    """Mark a lookup table of a known number of rows for broadcast if its size allows it."""
+    return F.broadcast(table) if fits(table, rows) else table
+
+
+def counted(table: DataFrame) -> DataFrame:
+    """As :func:`sized` for a table of unknown size; counts no more rows than would fit."""
+    most = BROADCAST_BYTES // row_bytes(table) + 1
+    return sized(table, table.limit(max(1, most)).count())
 
 
 def absent(candidates: DataFrame, existing: DataFrame, keys: list[str], rows: int) -> DataFrame:

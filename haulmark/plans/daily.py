@@ -24,7 +24,8 @@ def load_step(
     fresh = [key for key in found if key not in known]
     if not fresh:
         return {}
-    return warehouse.load(read_keys(spark, lake_root, fresh), fresh)
+    text = any(key.endswith(".csv") for key in fresh)
+    return warehouse.load(read_keys(spark, lake_root, fresh), fresh, stage=text)
 
 
 def check_step(spark: SparkSession, warehouse_root: str, report_path: str) -> dict[str, bool]:

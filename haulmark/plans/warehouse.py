@@ -12,6 +12,8 @@ from __future__ import annotations
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from haulmark.functions.calendar import calendar_columns
 from haulmark.operators.first_wins import first_attributes, first_rows
-from haulmark.operators.keyed import BROADCAST_ROWS, absent, sized
+from haulmark.operators.keyed import absent, fits, sized
 from haulmark.operators.surrogate import numbered, stage_in_order
 from haulmark.plans.contract import conform, enforced, require_contract
 from haulmark.schemas import FACT_SHIPMENTS, SHIPMENT_KEYS, TABLES, ddl
@@ -86,6 +88,8 @@ _ID_COLUMNS = {d.table: d.id_column for d in DIMENSIONS} | {
     "dim_date": "date_id",
     KEYS_TABLE: "shipment_id",
 }
+REFERENCES = [*(d.id_column for d in DIMENSIONS), "date_id"]
+FILE_ROWS = 1_000_000  # ids a task writes, in a file for each year
 _COMMITS = "_commits"
 _STAGING = "_staging"
 
@@ -149,6 +153,28 @@ class Warehouse:
         """Committed rows of one table; the fact also shows its ``pickup_year`` partition."""
         return self._committed(name, self.commit()["load_id"])
 
+    def spans(self) -> list[dict]:
+        """Per load: its number, first and last shipment id, and rows listed by status.
+
+        A row is listed if all its references are known; the status NULL counts as "".
+        """
+        return self.commit().get("spans", [])
+
+    def facts_between(self, low: int, high: int) -> DataFrame:
+        """Committed facts of an id range, read from the loads that hold such ids alone."""
+        loads = [s["load_id"] for s in self.spans() if s["first"] <= high and s["last"] >= low]
+        ids = F.col("shipment_id")
+        name, last_load = "fact_shipments", self.commit()["load_id"]
+        if not loads:
+            return self.table(name).filter(F.lit(False))
+        schema = ddl(_SCHEMAS[name] | {"load_id": "int", "pickup_year": "int"})
+        if ("fact files", last_load) not in self._frames:
+            files = self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+            self._frames["fact files", last_load] = files
+        files = self._frames["fact files", last_load]
+        wanted = files.filter(F.col("load_id").isin(loads) & (ids >= low) & (ids <= high))
+        return wanted.drop("load_id")
+
     def dimension(self, name: str) -> DataFrame:
         """A dimension for joining, marked for broadcast if its committed size allows."""
         commit = self.commit()
@@ -160,13 +186,18 @@ class Warehouse:
 
     # ---- loading -------------------------------------------------------------------
 
-    def load(self, raw: DataFrame, runs: list[str] | None = None) -> dict[str, int]:
+    def load(
+        self, raw: DataFrame, runs: list[str] | None = None, stage: bool = False
+    ) -> dict[str, int]:
         """Insert what is new in ``raw`` and return the number of new rows per table.
 
         ``runs`` are the raw keys read, kept in the commit so that a later job can skip
-        them; loading a run again is harmless, only wasted work.
+        them; loading a run again is harmless, only wasted work. ``stage``: parse the
+        records once and keep them in columns for the tables of this load; for text formats.
         """
         try:
+            if stage:
+                raw = self._staged(enforced(raw))
             return self._load(enforced(raw), runs or [])
         except (PySparkException, Py4JJavaError) as error:
             require_contract(raw, error)
@@ -176,6 +207,11 @@ class Warehouse:
         """Raw keys of all loads, listed in the newest commit."""
         return set(self.commit().get("runs", []))
 
+    def _staged(self, raw: DataFrame) -> DataFrame:
+        path = f"{self.root}/{_STAGING}/load_id={self.commit()['load_id'] + 1}/_raw"
+        raw.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(raw.schema).parquet(path)
+
     def _load(self, raw: DataFrame, runs: list[str]) -> dict[str, int]:
         before = self.commit()
         load_id = before["load_id"] + 1
@@ -185,7 +221,7 @@ class Warehouse:
             "runs": known_runs,
             "rows": dict(before["rows"]),
             "last_id": {},
-            "shipment_ids": dict(before.get("shipment_ids", {})),
+            "spans": list(before.get("spans", [])),
         }
 
         sources = {d.table: dimension_rows(raw, d) for d in DIMENSIONS}
@@ -203,9 +239,13 @@ class Warehouse:
         for name, n in new.items():
             commit["rows"][name] = commit["rows"].get(name, 0) + n
 
-        new["fact_shipments"] = self._insert_facts(
-            raw, load_id, commit["rows"], new[KEYS_TABLE]
+        first, last = before["last_id"].get(KEYS_TABLE, 0) + 1, commit["last_id"][KEYS_TABLE]
+        new["fact_shipments"], listed = self._insert_facts(
+            raw, load_id, commit["rows"], first, last
         )
+        if last >= first:
+            span = {"load_id": load_id, "first": first, "last": last, "listed": listed}
+            commit["spans"].append(span)
         total = commit["rows"].get("fact_shipments", 0) + new["fact_shipments"]
         commit["rows"]["fact_shipments"] = total
         self._publish(commit)
@@ -217,32 +257,38 @@ class Warehouse:
     ) -> tuple[int, int]:
         """Insert rows with unknown natural keys; returns (new rows, last used number).
 
-        Numbers are given before known keys are dropped, as a database sequence does:
-        ids ascend and stay unique, and a repeated key leaves a gap.
+        Known keys are dropped before anything is sorted and numbered, so a load that finds
+        nothing new writes nothing but its candidates, and numbers have no gaps.
         """
         load_id = last_load + 1
-        staged = f"{self.root}/{_STAGING}/load_id={load_id}/{name}"
+        staging = f"{self.root}/{_STAGING}/load_id={load_id}/{name}"
         keys = _NATURAL_KEYS[name]
-        stage_in_order(rows, keys, staged)
-        count = self.spark.read.parquet(staged).count()  # from file footers
-        candidates = numbered(self.spark, staged, _ID_COLUMNS[name], last_id)
         if last_load:
-            candidates = absent(candidates, self._read(name, last_load), keys, count)
+            rows.write.mode("overwrite").parquet(f"{staging}_found")
+            found = self.spark.read.schema(rows.schema).parquet(f"{staging}_found")
+            known = self._read(name, last_load)
+            rows = absent(found, known, keys, found.count())  # counted from file footers
+        stage_in_order(rows, keys, staging)
+        count = self.spark.read.parquet(staging).count()
+        numbers = numbered(self.spark, staging, _ID_COLUMNS[name], last_id)
         target = f"{self.root}/{name}/load_id={load_id}"
-        conform(candidates, _SCHEMAS[name]).write.mode("overwrite").parquet(target)
-        inserted = self.spark.read.schema(ddl(_SCHEMAS[name])).parquet(target).count()
-        return inserted, last_id + count
+        conform(numbers, _SCHEMAS[name]).write.mode("overwrite").parquet(target)
+        return count, last_id + count
 
     def _insert_facts(
-        self, raw: DataFrame, load_id: int, rows: dict[str, int], inserted: int
-    ) -> int:
-        """One wide shuffle by shipment, whose new keys filter and number in one join, and one
-        by year for the files."""
+        self, raw: DataFrame, load_id: int, rows: dict[str, int], first: int, last: int
+    ) -> tuple[int, dict[str, int]]:
+        """New facts of the shipments numbered ``first`` to ``last``; rows, and rows by status.
+
+        One wide shuffle by shipment, whose new keys filter and number in one join, and one
+        that gives each task a range of ids, so that a file's ids lie close together.
+        """
+        inserted = last - first + 1
         new_keys = self.spark.read.schema(ddl(SHIPMENT_KEYS)).parquet(
             f"{self.root}/{KEYS_TABLE}/load_id={load_id}"
         )
         key = "source_shipment_id"
-        if inserted <= BROADCAST_ROWS:  # few new shipments: drop the others before the shuffle
+        if fits(new_keys, inserted):  # few new shipments: drop the others before the shuffle
             raw = raw.join(F.broadcast(new_keys.select(key)), key, "left_semi")
         facts = first_rows(raw, [key], ORDER).join(new_keys, key)
         facts = facts.withColumn("_day", F.to_date("scheduled_pickup"))
@@ -254,11 +300,12 @@ class Warehouse:
         year = F.year("scheduled_pickup").alias("pickup_year")
         typed = [F.col(name).cast(kind).alias(name) for name, kind in FACT_SHIPMENTS.items()]
         target = f"{self.root}/fact_shipments/load_id={load_id}"
-        # Rebalancing groups rows of a year into files of the advisory size: small years are
-        # merged, a year that holds a large share of the rows is split.
+        files = max(1, -(-inserted // FILE_ROWS))
+        # Ids are dense, so equal ranges of ids are equal numbers of rows, whatever the years.
+        place = F.expr(f"cast((shipment_id - {first}) * {files} div {max(1, inserted)} as int)")
         (
             facts.select(*typed, year)
-            .hint("rebalance", "pickup_year")
+            .repartitionById(files, place)
             .sortWithinPartitions("pickup_year", "shipment_id")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")  # also clears a failed load's years
@@ -266,7 +313,13 @@ class Warehouse:
             .parquet(target)
         )
         schema = ddl(FACT_SHIPMENTS | {"pickup_year": "int"})
-        return self.spark.read.schema(schema).parquet(target).count()
+        stored = self.spark.read.schema(schema).parquet(target)
+        known = reduce(and_, [F.col(key).isNotNull() for key in REFERENCES])
+        by_status = stored.groupBy(F.coalesce("status", F.lit("")).alias("status")).agg(
+            F.count("*").alias("rows"), F.count(F.when(known, 1)).alias("listed")
+        ).collect()  # a row per status, of which there are few
+        listed = {r["status"]: r["listed"] for r in by_status}
+        return sum(r["rows"] for r in by_status), listed
 
     def _resolve(
         self,

@@ -98,13 +98,32 @@ def test_pages_cover_everything_once(wh):
     assert seen == ids
 
 
-def test_deep_pages_equal_plain_ones(wh, monkeypatch):
-    plain = [star.shipment_page(wh, 7, offset, "on_time").collect() for offset in (0, 3, 9, 13, 99)]
-    monkeypatch.setattr(star, "DEEP_OFFSET", -1)
-    skip = star._skip_ranges
-    monkeypatch.setattr(star, "_skip_ranges", lambda rows, offset: skip(rows, offset, bits=2))
-    deep = [star.shipment_page(wh, 7, offset, "on_time").collect() for offset in (0, 3, 9, 13, 99)]
-    assert deep == plain
+def test_pages_by_counts_equal_plain_ones(wh, monkeypatch):
+    """Whole rows of the star sorted and cut, next to pages found by narrowing id ranges."""
+    rows = star.star(wh).filter("status = 'on_time'").select(*star.LISTING)
+    everything = rows.orderBy("shipment_id").collect()
+    monkeypatch.setattr(star, "FEW_ROWS", 2)
+    for parts in (2, 4096):
+        monkeypatch.setattr(star, "RANGE_PARTS", parts)
+        for offset in (0, 3, 9, 13, 99):
+            page = star.shipment_page(wh, 7, offset, "on_time").collect()
+            assert page == everything[offset : offset + 7]
+        last = everything[4]["shipment_id"]
+        assert star.shipments_after(wh, last, 3, "on_time").collect() == everything[5:8]
+
+
+def test_only_the_page_is_joined(wh, monkeypatch):
+    joined = []
+    inner = star.star
+
+    def watch(wh, fact=None):
+        joined.append(fact.count())
+        return inner(wh, fact)
+
+    monkeypatch.setattr(star, "star", watch)
+    star.shipment_page(wh, 5, 10)
+    star.shipments_after(wh, 3, 4)
+    assert joined == [5, 4]
 
 
 def test_detail(wh):

@@ -1,5 +1,6 @@
 """Warehouse load: first wins, idempotency, incremental loads, atomicity."""
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -11,7 +12,7 @@ from haulmark.operators import keyed
 from haulmark.operators.first_wins import first_attributes, first_rows
 from haulmark.operators.surrogate import numbered, stage_in_order
 from haulmark.plans import warehouse as module
-from haulmark.plans.star import star
+from haulmark.plans.star import shipment_detail, star
 from haulmark.plans.warehouse import Warehouse
 from haulmark.schemas import TABLES
 from haulmark.sources.raw import read_raw, write_raw
@@ -171,9 +172,7 @@ def test_joins_without_broadcast_give_the_same_tables(spark, frame, tmp_path, mo
     plain, shuffled = Warehouse(spark, f"{root}/plain"), Warehouse(spark, f"{root}/shuffled")
     for run in ("a", "*"):
         load(spark, root, plain, run)
-    monkeypatch.setattr(keyed, "BROADCAST_ROWS", -1)
-    monkeypatch.setattr(keyed.sized, "__defaults__", (-1,))
-    monkeypatch.setattr(module, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(keyed, "BROADCAST_BYTES", -1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for run in ("a", "*"):
@@ -224,3 +223,65 @@ def test_views(spark, frame, tmp_path):
         args={"status": "on_time"},
     )
     assert counted.first()[0] == 1
+
+
+def test_a_lookup_reads_the_files_of_one_load(spark, frame, tmp_path, monkeypatch):
+    root = f"file:{tmp_path}"
+    monkeypatch.setattr(module, "FILE_ROWS", 10)
+    wh = Warehouse(spark, f"{root}/wh")
+    for run in range(3):
+        rows = [record(100 * run + n, company_name=f"C{run}") for n in range(40)]
+        write_raw(frame(*rows), root, str(run))
+        load(spark, root, wh, str(run))
+    spans = wh.spans()
+    assert [(s["first"], s["last"]) for s in spans] == [(1, 40), (41, 80), (81, 120)]
+    assert [sum(s["listed"].values()) for s in spans] == [40, 40, 40]
+    plan = wh.facts_between(55, 55)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*\(load_id#\d+ = 2\)", plan)
+    assert "GreaterThanOrEqual(shipment_id,55)" in plan
+    per_file = wh.table("fact_shipments").groupBy("_metadata.file_path").agg(
+        F.min("shipment_id").alias("low"), F.max("shipment_id").alias("high")
+    ).collect()
+    assert all(r["high"] - r["low"] < 10 for r in per_file)
+    assert shipment_detail(wh, 55).first()["company_name"] == "C1"
+
+
+def test_reload_sorts_and_numbers_nothing(spark, frame, tmp_path):
+    root = f"file:{tmp_path}"
+    write_raw(frame(record(1), record(2)), root, "a", "csv")
+    wh = Warehouse(spark, f"{root}/wh")
+    wh.load(read_raw(spark, root), stage=True)
+    before = wh.commit()
+    assert set(wh.load(read_raw(spark, root), stage=True).values()) == {0}
+    after = wh.commit()
+    assert after["last_id"] == before["last_id"] and after["spans"] == before["spans"]
+    write_raw(frame(record(3)), root, "b", "csv")
+    wh.load(read_raw(spark, root), stage=True)
+    ids = sorted(r[0] for r in wh.table("fact_shipments").select("shipment_id").collect())
+    assert ids == [1, 2, 3]
+
+
+def test_text_is_parsed_once(spark, frame, tmp_path, monkeypatch):
+    root = f"file:{tmp_path}"
+    write_raw(frame(record(1), record(2)), root, "a", "csv")
+    wh = Warehouse(spark, f"{root}/wh")
+    seen = []
+    inner = Warehouse._load
+
+    def watch(self, raw, runs):
+        seen.extend(raw.inputFiles())
+        return inner(self, raw, runs)
+
+    monkeypatch.setattr(Warehouse, "_load", watch)
+    wh.load(read_raw(spark, root), stage=True)
+    assert seen and all("/_staging/" in f and f.endswith(".parquet") for f in seen)
+
+
+def test_second_writer_of_a_commit_fails(spark, frame, tmp_path):
+    root = f"file:{tmp_path}"
+    write_raw(frame(record(1)), root, "a")
+    wh = Warehouse(spark, f"{root}/wh")
+    load(spark, root, wh)
+    with pytest.raises(FileExistsError):
+        wh._publish(wh.commit())
+    assert wh.table("fact_shipments").count() == 1
