@@ -23,6 +23,7 @@ ONCE = {
     "land_raw": built.raw_root,
     "load_warehouse": built.warehouse,
     "stream_ingest": built.event_table,
+    "stream_ingest_stateful": built.stateful_event_table,
 }
 HEADLINE = [
     "raw_scan_lineage",
@@ -57,6 +58,13 @@ HEADLINE = [
     "stream_enrich",
     "features",
     "stratified_test_set",
+    "label_encode",
+    "filter_options",
+    "first_wins_attributes",
+    "recent_enrichment",
+    "raw_csv_scan",
+    "orphans",
+    "rule_auc",
 ]
 
 

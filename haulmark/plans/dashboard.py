@@ -24,6 +24,15 @@ def options(rows: DataFrame, column: str) -> DataFrame:
     return rows.select(column).distinct().orderBy(column)
 
 
+def all_options(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """filter, value (as text): what several filters offer, in one scan."""
+    entries = [
+        F.struct(F.lit(name).alias("filter"), F.col(name).cast("string").alias("value"))
+        for name in columns
+    ]
+    return rows.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*").distinct()
+
+
 def _one_of(column: str, values: list | None) -> Column:
     if values is None:
         return F.lit(True)

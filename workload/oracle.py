@@ -404,6 +404,38 @@ _NORMAL = """CASE {code} WHEN 'Clouds' THEN 'Cloudy' WHEN 'Rain' THEN 'Rain' WHE
           WHEN 'Drizzle' THEN 'Rain' WHEN 'Haze' THEN 'Fog' ELSE 'Clear' END"""
 _CLASS = "CASE WHEN {r} >= 0.8 THEN 'LOW' WHEN {r} >= 0.5 THEN 'MEDIUM' ELSE 'HIGH' END"
 
+# The tables with gaps: one idle driver and route, unknown references and values.
+COMMON |= {
+    "gap_fact": """
+      SELECT * REPLACE (
+          CASE WHEN k <> 1 THEN driver_id END AS driver_id,
+          CASE WHEN k <> 2 THEN route_id END AS route_id,
+          CASE WHEN k <> 6 THEN status END AS status,
+          CASE WHEN k <> 8 THEN delay_minutes END AS delay_minutes,
+          CASE WHEN k % 10 <> 0 THEN weather_condition END AS weather_condition,
+          CASE WHEN k % 7 <> 0 THEN traffic_condition END AS traffic_condition)
+      FROM (SELECT *, CAST(split_part(source_shipment_id, '-', 2) AS BIGINT) % 97 AS k
+            FROM fact)""",
+    "gap_driver": """
+      SELECT * FROM dim_driver
+      UNION ALL SELECT 0, 'Idle Driver', 'C', 3, 4.20, 'NOWHERE', TRUE""",
+    "gap_route": """
+      SELECT * FROM dim_route
+      UNION ALL SELECT 0, 'A-HUB', 'A', 'B-HUB', 'B', 700, 'NOWHERE', 'Road'""",
+}
+_GAP_NAMES = {"fact": "gap_fact", "dim_driver": "gap_driver", "dim_route": "gap_route",
+              "star": "gap_star", "inputs": "gap_inputs"}
+
+
+def _gaps(sql: str) -> str:
+    """The same SQL over the tables with gaps."""
+    for name, other in _GAP_NAMES.items():
+        sql = re.sub(rf"\b{name}\b", other, sql)
+    return sql
+
+
+COMMON |= {"gap_star": _gaps(COMMON["star"]), "gap_inputs": _gaps(COMMON["inputs"])}
+
 _RISK = """
       SELECT source_shipment_id, ROUND(LEAST(0.95,
         0.10 + CASE weather_condition WHEN 'Clear' THEN 0.0 WHEN 'Cloudy' THEN 0.02
@@ -696,5 +728,47 @@ ORACLE["stream_upsert_dedup"] = _STORED_EVENTS
 ORACLE["stream_upsert_stateful"] = _STORED_EVENTS
 
 
+for _name in (
+    "kpi_summary",
+    "kpi_by_region",
+    "driver_scorecard",
+    "route_scorecard",
+    "weather_impact",
+    "status_mix",
+    "weather_delay",
+    "traffic_delay",
+    "star_extract",
+    "features",
+):
+    ORACLE[f"{_name}_gaps"] = _gaps(ORACLE[_name])
+ORACLE["status_mix_gaps"] = (
+    "SELECT status, COUNT(*) AS shipments FROM gap_star WHERE status IS NOT NULL GROUP BY status"
+)
+ORACLE["features_gaps"] = f"""
+  SELECT * REPLACE (coalesce(weather_condition, 'None') AS weather_condition,
+    coalesce(traffic_condition, 'None') AS traffic_condition)
+  FROM ({ORACLE["features_gaps"]})"""
+ORACLE["quality_row_counts"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS rows FROM {sql}"
+    for name, sql in {
+        "dim_date": "dim_date",
+        "dim_customer": "dim_customer",
+        "dim_driver": "dim_driver",
+        "dim_vehicle": "dim_vehicle",
+        "dim_route": "dim_route",
+        "fact_shipments": "fact",
+    }.items()
+)
+ORACLE["failed_load_invisible"] = f"""
+  SELECT table_name, new_rows AS rows FROM ({ORACLE["reload_idempotent"]}) WHERE load_number = 1"""
+ORACLE["quality_gate"] = " UNION ALL ".join(
+    f"""
+  SELECT '{variant}' AS variant, COUNT(*) > 0 AS stopped, COUNT(*) AS failed_critical
+  FROM (SELECT check_name FROM ({ORACLE[f"quality_report_{variant}"]})
+    WHERE critical GROUP BY check_name HAVING NOT bool_and(passed))"""
+    for variant in ("clean", "dirty")
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_tables(sql) for name, sql in ORACLE.items()}

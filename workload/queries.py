@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -192,6 +193,64 @@ for _plan in (
 ):
     _on_warehouse(_plan.__name__, _plan)
 
+# ---- gaps: idle drivers and routes, unknown references and values -----------------------
+
+
+class GappyWarehouse:
+    """The loaded tables with one idle driver and route, and facts with unknown values."""
+
+    def __init__(self, wh) -> None:
+        self.wh, self.spark = wh, wh.spark
+
+    def table(self, name: str) -> DataFrame:
+        rows = self.wh.table(name)
+        if name == "dim_driver":
+            idle = (0, "Idle Driver", "C", 3, Decimal("4.20"), "NOWHERE", True)
+            return rows.unionByName(self.spark.createDataFrame([idle], rows.schema))
+        if name == "dim_route":
+            idle = (0, "A-HUB", "A", "B-HUB", "B", 700, "NOWHERE", "Road")
+            return rows.unionByName(self.spark.createDataFrame([idle], rows.schema))
+        if name != "fact_shipments":
+            return rows
+        k = F.split_part("source_shipment_id", F.lit("-"), F.lit(2)).cast("bigint") % 97
+        gaps = {
+            "driver_id": k == 1,
+            "route_id": k == 2,
+            "status": k == 6,
+            "delay_minutes": k == 8,
+            "weather_condition": k % 10 == 0,
+            "traffic_condition": k % 7 == 0,
+        }
+        return rows.withColumns({n: F.when(~gap, F.col(n)) for n, gap in gaps.items()})
+
+    def dimension(self, name: str) -> DataFrame:
+        return self.table(name)
+
+
+def _with_gaps(name: str, plan: Callable[..., DataFrame]) -> None:
+    QUERIES[f"{name}_gaps"] = lambda spark, sf_dir: plan(
+        GappyWarehouse(built.warehouse(spark, sf_dir))
+    )
+
+
+for _plan in (
+    kpis.kpi_summary,
+    kpis.kpi_by_region,
+    kpis.driver_scorecard,
+    kpis.route_scorecard,
+    kpis.weather_impact,
+):
+    _with_gaps(_plan.__name__, _plan)
+for _plan in (dashboard.status_mix, dashboard.weather_delay, dashboard.traffic_delay):
+    _with_gaps(_plan.__name__, lambda wh, plan=_plan: plan(star.extract(wh)))
+_with_gaps("star_extract", lambda wh: star.extract(wh).select(*star.EXTRACT))
+_with_gaps(
+    "features",
+    lambda wh: with_features(training.training_set(wh), built.FEATURE_YEAR).select(
+        training.KEY, training.LABEL, *FEATURES
+    ),
+)
+
 # ---- dashboard -----------------------------------------------------------------------
 
 CHOICE = {"years": [1996, 1997], "statuses": ["on_time", "failed"], "regions": ["ASIA", "EUROPE"]}
@@ -206,13 +265,7 @@ def panel_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = star.extract(built.warehouse(spark, sf_dir))
-    offered = [
-        dashboard.options(rows, column).select(
-            F.lit(column).alias("filter"), F.col(column).cast("string").alias("value")
-        )
-        for column in ("year", "status", "region")
-    ]
-    return offered[0].unionByName(offered[1]).unionByName(offered[2])
+    return dashboard.all_options(rows, ["year", "status", "region"])
 
 
 for _plan in (
@@ -295,17 +348,36 @@ def quality_summary_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(quality.details(_dirty(spark, sf_dir)))
 
 
+@query
+def quality_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.row_counts(quality.warehouse_tables(built.warehouse(spark, sf_dir)))
+
+
+@query
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the gate stops the pipeline, and over how many critical checks."""
+    clean = quality.warehouse_tables(built.warehouse(spark, sf_dir))
+    rows = []
+    for variant, tables in (("clean", clean), ("dirty", _dirty(spark, sf_dir))):
+        try:
+            passed = quality.gate(quality.details(tables))
+            rows.append((variant, False, sum(not passed[name] for name in quality.CRITICAL)))
+        except quality.CriticalCheckFailed as stop:
+            rows.append((variant, True, sum(name in str(stop) for name in quality.CRITICAL)))
+    return spark.createDataFrame(rows, "variant string, stopped boolean, failed_critical bigint")
+
+
+@query
+def failed_load_invisible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table after a good load and one that broke the contract."""
+    return quality.row_counts(quality.warehouse_tables(built.interrupted(spark, sf_dir)))
+
+
 @query
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lost references per foreign key."""
-    tables = _dirty(spark, sf_dir)
-    counts = [
-        quality.orphans(tables["fact_shipments"], tables[name], key).select(
-            F.lit(key).alias("foreign_key"), F.col("n").alias("shipments")
-        )
-        for key, name in quality.ORPHAN_CHECKED.items()
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    lost = quality.lost_references(_dirty(spark, sf_dir))
+    return lost.select("foreign_key", F.col("n").alias("shipments"))
 
 
 @query
