@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.tables import written
+from haulmark.llm.tables import slices, written
 from haulmark.llm.text import codes, groups, mix64, owners, span_hashes, spans
 
 _WHITE = " \t\n\x0b\x0c\r"
@@ -34,6 +34,8 @@ class DedupConfig:
     similarity: float = 0.8
     bands: int = 25  # a pair at 0.8 misses all bands with probability 5e-5
     rows: int = 5
+    pair_members: int = 48  # a bucket of more is compared in blocks, not pair by pair
+    block_members: int = 256
 
 
 def normal(text: Column) -> Column:
@@ -148,7 +150,7 @@ def _sign(docs: DataFrame, config: DedupConfig) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             parts = [
                 band_keys(signatures(group, config), config)
                 for _, group in groups(batch.column("plain").to_pylist())
@@ -173,7 +175,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, config: DedupConfig) -> DataFr
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept = []
             one, other = batch.column("_one").to_pylist(), batch.column("_other").to_pylist()
             woven = [text for pair in zip(one, other, strict=True) for text in pair]
@@ -194,6 +196,112 @@ def _verified(pairs: DataFrame, texts: DataFrame, config: DedupConfig) -> DataFr
     return both.mapInArrow(compare, "a binary, b binary")
 
 
+def _common(
+    element: np.ndarray, share: np.ndarray, owner: np.ndarray, one: np.ndarray, other: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text of ``one`` and of ``other``: number of common elements, and the share of
+    each text's weight that they hold. Only elements of several texts matter; their columns
+    are multiplied a few thousand at a time, so memory is bounded however long texts are.
+    """
+    known, column, times = np.unique(element, return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    wanted = shared[column]
+    column, owner, share = number[column[wanted]], owner[wanted], share[wanted]
+    order = np.argsort(column, kind="stable")
+    column, owner, share = column[order], owner[order], share[order]
+    shape, n = (len(one), len(other)), int(max(one.max(), other.max())) + 1
+    inter, left, right = np.zeros(shape), np.zeros(shape), np.zeros(shape)
+    for start in range(0, int(shared.sum()), 4096):
+        a, b = np.searchsorted(column, [start, start + 4096])
+        has, weight = np.zeros((n, 4096), np.float32), np.zeros((n, 4096), np.float32)
+        has[owner[a:b], column[a:b] - start] = 1
+        weight[owner[a:b], column[a:b] - start] = share[a:b]
+        inter += has[one] @ has[other].T
+        left += weight[one] @ has[other].T
+        right += has[one] @ weight[other].T
+    return inter, left, right
+
+
+def links_between(
+    texts: list[str], label: np.ndarray, one: np.ndarray, other: np.ndarray, config: DedupConfig
+) -> list[tuple[int, int]]:
+    """Pairs of a text of ``one`` and one of ``other`` that are alike and differ in label.
+
+    The weight that common elements hold in either text bounds the similarity from above.
+    Where no shingle repeats it is the Jaccard index, known from the number of common ones;
+    other pairs within the bound are compared one by one.
+    """
+    element, count, owner = weighted(texts, config.words)
+    if not len(element):
+        return []
+    size = np.bincount(owner, minlength=len(texts))
+    total = np.bincount(owner, count, len(texts))
+    inter, left, right = _common(element, count / total[owner], owner, one, other)
+    plain = size == total
+    both = plain[one][:, None] & plain[other][None, :]
+    union = size[one][:, None] + size[other][None, :] - inter
+    jaccard = inter / np.maximum(union, 1)
+    differ = label[one][:, None] != label[other][None, :]
+    alike = differ & both & (jaccard >= config.similarity)
+    found = [(int(one[i]), int(other[j])) for i, j in np.argwhere(alike)]
+    near = differ & ~both & (np.minimum(left, right) >= config.similarity - 1e-3)
+    bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+    for i, j in np.argwhere(near):
+        x, y = int(one[i]), int(other[j])
+        a, b = slice(bounds[x], bounds[x + 1]), slice(bounds[y], bounds[y + 1])
+        if similarity(element[a], count[a], element[b], count[b]) >= config.similarity:
+            found.append((x, y))
+    return found
+
+
+def _in_blocks(members: DataFrame, texts: DataFrame, config: DedupConfig) -> DataFrame:
+    """Links (a, b) between members (bucket, node, label) of different classes in a bucket.
+
+    A bucket is cut into blocks by a hash; two blocks of a bucket, or one with itself, are a
+    group of bounded size. Only links leave a group.
+    """
+    sizes = members.groupBy("bucket").agg(
+        F.ceil(F.count("*") / config.block_members).cast("int").alias("_blocks")
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
+    placed = (
+        members.join(sizes, "bucket")
+        .withColumn("_own", own)
+        .join(texts.withColumnRenamed("key", "node"), "node")
+        .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .select(
+            "bucket",
+            F.least("_own", "_with").alias("_first"),
+            F.greatest("_own", "_with").alias("_second"),
+            "_own",
+            "node",
+            "label",
+            "plain",
+        )
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        nodes, labels = group["node"].to_pylist(), group["label"].to_pylist()
+        names = {name: i for i, name in enumerate(sorted(set(labels)))}
+        label = np.array([names[name] for name in labels])
+        own = np.asarray(group["_own"].combine_chunks())
+        first, second = group["_first"][0].as_py(), group["_second"][0].as_py()
+        one, other = np.flatnonzero(own == first), np.flatnonzero(own == second)
+        found = []
+        if len(names) > 1 and len(one) and len(other):
+            found = links_between(group["plain"].to_pylist(), label, one, other, config)
+        ends = [sorted((nodes[i], nodes[j])) for i, j in found]
+        return pa.table(
+            {
+                "a": pa.array([x for x, _ in ends], pa.binary()),
+                "b": pa.array([y for _, y in ends], pa.binary()),
+            }
+        )
+
+    return placed.groupBy("bucket", "_first", "_second").applyInArrow(compare, "a binary, b binary")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node of each node's connected component.
 
@@ -238,9 +346,9 @@ def _classes(docs: DataFrame, config: DedupConfig) -> tuple[DataFrame, DataFrame
 
     In each bucket the smallest node is compared with all others, then, where more than one
     class is left, the largest node with those of other classes, and at last all pairs of
-    different classes that were not compared yet. So no pair of a bucket is passed over
-    unless its two are in one class already, and a large group of copies, which falls into one
-    class at once, costs a comparison per member and not per pair.
+    different classes that are left; in large buckets in blocks, inside tasks. So no pair of a
+    bucket is passed over unless its two are in one class already, and a group of copies that
+    falls into one class costs a comparison per member and not per pair.
     """
     signed = written(_sign(docs, config), "signed")
     members = signed.select(F.explode("bands").alias("bucket"), F.col("key").alias("node"))
@@ -301,19 +409,19 @@ def _classes(docs: DataFrame, config: DedupConfig) -> tuple[DataFrame, DataFrame
         .filter((F.col("label") != F.col("_label")) & (F.col("node") != F.col("low")))
         .select(F.col("high").alias("a"), F.col("node").alias("b"))
     )
-    left = written(
-        labelled().filter((F.col("node") != F.col("low")) & (F.col("node") != F.col("high"))),
-        "open",
-    )
-    other = left.select("bucket", F.col("node").alias("_node"), F.col("label").alias("_label"))
+    left = labelled().filter((F.col("node") != F.col("low")) & (F.col("node") != F.col("high")))
+    left = written(left.select("bucket", "node", "label"), "open")
+    members = left.groupBy("bucket").agg(F.count("*").alias("_members"))
+    counted = left.join(members, "bucket")
+    small = counted.filter(F.col("_members") <= config.pair_members)
+    other = small.select("bucket", F.col("node").alias("_node"), F.col("label").alias("_label"))
     check(
-        left.join(
-            other,
-            "bucket",
-        )
+        small.join(other, "bucket")
         .filter((F.col("label") != F.col("_label")) & (F.col("node") < F.col("_node")))
         .select(F.col("node").alias("a"), F.col("_node").alias("b"))
     )
+    large = counted.filter(F.col("_members") > config.pair_members).drop("_members")
+    links.append(written(_in_blocks(large, texts, config).distinct(), "links"))
     final = components(all_links())
     return signed, final.select("node", F.col("label").alias("class_key"))
 

@@ -60,16 +60,25 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut small, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_texts(
     docs: DataFrame,
     keep: list[str],
     added: dict[str, str],
     worker: Callable[[list[str | None]], Iterator[tuple[int, int, list[pa.Array]]]],
+    finish: Callable[[], None] = lambda: None,
 ) -> DataFrame:
     """``keep`` columns and the added ones, worked out from the texts in Arrow batches.
 
     ``worker`` gets a batch's texts and yields (first row, rows, arrays of the added columns).
     ``added`` has their types by name; one that a kept column has gets underscores appended.
+    ``finish`` is called at the end of each task, to give back what it remembered.
     """
     inner = [f"_k{i}" for i in range(len(keep))]
     sent = [F.col("text").alias("_text")] + [
@@ -79,12 +88,15 @@ def map_texts(
     names = [f"_a{i}" for i in range(len(added))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, n, arrays in worker(batch.column("_text").to_pylist()):
-                part = batch.slice(start, n)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(h) for h in held] + arrays, names=inner + names
-                )
+        try:
+            for batch in slices(batches):
+                for start, n, arrays in worker(batch.column("_text").to_pylist()):
+                    part = batch.slice(start, n)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(h) for h in held] + arrays, names=inner + names
+                    )
+        finally:
+            finish()
 
     kinds = [docs.schema[c].dataType.simpleString() for c in keep]
     schema = ", ".join(
