@@ -27,7 +27,7 @@ from haulmark.llm.text import groups, owners, span_hashes
 
 MODEL = "piece_bpe_32k.model"
 MARKER = "▁"
-MOST_STRETCHES = 300_000  # remembered per worker
+MOST_STRETCHES = 150_000  # remembered by a task
 _UNKNOWN_COST = 10.0  # below the lowest score, for each character without a piece
 _RAW_MARKER = 0x110000  # stands for a marker character of the text itself, which has no piece
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -62,8 +62,7 @@ class Vocabulary:
             at = self.code[list(spelling)]
             self.joined[at[:-1], at[1:]] = True
         self._build([(tuple(self.code[list(s)].tolist()), i) for s, i in entries])
-        self.known: dict[int, int] = {}
-        self._forget()
+        self.forget()
 
     def _build(self, entries: list[tuple[tuple[int, ...], int]]) -> None:
         """Double array: the child of node n by code c is base[n] + c if check there is n."""
@@ -116,9 +115,9 @@ class Vocabulary:
                 check[place[child]] = here
         self.base, self.check, self.leaf = base, check, leaf
 
-    def _forget(self) -> None:
-        self.known.clear()
-        self.ids: list[np.ndarray] = []
+    def forget(self) -> None:
+        """Stretches met so far, and their ids as the bytes of 32-bit numbers."""
+        self.known: dict[int, bytes] = {}
 
     def segment(self, codes: list[int], points: list[int]) -> list[int]:
         """Ids of the best segmentation; among equals the one whose last pieces are longest."""
@@ -182,19 +181,17 @@ class Vocabulary:
             span_hashes(points, starts, stops), return_index=True, return_inverse=True
         )
         if len(self.known) > MOST_STRETCHES:
-            self._forget()
-        places = np.empty(len(keys), np.int64)
-        for i, (key, j) in enumerate(zip(keys.tolist(), first.tolist(), strict=True)):
-            at = self.known.get(key)
-            if at is None:
+            self.forget()
+        found: list[bytes] = []
+        for key, j in zip(keys.tolist(), first.tolist(), strict=True):
+            ids = self.known.get(key)
+            if ids is None:
                 a, b = starts[j], stops[j]
-                at = self.known[key] = len(self.ids)
-                found = self.segment(codes[a:b].tolist(), points[a:b].tolist())
-                self.ids.append(np.array(found, np.int32))
-            places[i] = at
-        pieces = [self.ids[p] for p in places.tolist()]
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
+                own = self.segment(codes[a:b].tolist(), points[a:b].tolist())
+                ids = self.known[key] = np.array(own, np.int32).tobytes()
+            found.append(ids)
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), np.int32)
         offsets = np.cumsum(lengths) - lengths
         owner = owners(starts, text_starts)
         wanted = ~empty[owner]
@@ -261,7 +258,7 @@ def encode(docs: DataFrame, keep: list[str], path: str | None = None) -> DataFra
             ]
 
     added = {"ids": "array<int>", "n_ids": "bigint", "n_fallback": "bigint", "same": "boolean"}
-    return map_texts(docs, keep, added, cut)
+    return map_texts(docs, keep, added, cut, lambda: _vocabulary(shipped).forget())
 
 
 def decode(rows: DataFrame, keep: list[str], path: str | None = None) -> DataFrame:

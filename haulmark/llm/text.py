@@ -11,7 +11,7 @@ from functools import cache
 
 import numpy as np
 
-GROUP_CHARS = 1_000_000  # a group's arrays take some 60 bytes a character
+GROUP_CHARS = 400_000  # a group's arrays take some 60 bytes a character
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
