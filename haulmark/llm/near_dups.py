@@ -48,6 +48,11 @@ def content_key(plain: Column) -> Column:
     return F.unhex(F.md5(plain))
 
 
+def has_words(text: Column) -> Column:
+    """The same as a normal form that is not null, without making it."""
+    return F.coalesce(F.length(F.btrim(text, F.lit(_WHITE))) > 0, F.lit(False))
+
+
 def shingles(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each run of words and the text it is in; shorter texts are one run."""
     points, text_starts = codes(texts)
@@ -144,9 +149,14 @@ def similarity(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> fl
 
 
 def _sign(docs: DataFrame, config: DedupConfig) -> DataFrame:
-    """doc_id, key, bands of every document that has words."""
-    plain = docs.select("doc_id", normal(F.col("text")).alias("plain")).filter("plain is not null")
-    rows = plain.select("doc_id", content_key(F.col("plain")).alias("key"), "plain")
+    """doc_id, mark, key, bands of every document that has words.
+
+    With doc_id the mark, a plain hash of the text, finds the row again without making its
+    normal form.
+    """
+    mark, plain = F.xxhash64("text").alias("mark"), normal(F.col("text")).alias("plain")
+    normalised = docs.filter(has_words(F.col("text"))).select("doc_id", mark, plain)
+    rows = normalised.select("doc_id", "mark", content_key(F.col("plain")).alias("key"), "plain")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,11 +169,11 @@ def _sign(docs: DataFrame, config: DedupConfig) -> DataFrame:
             offsets = np.arange(0, keys.size + 1, config.bands, dtype=np.int32)
             bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), bands],
-                names=["doc_id", "key", "bands"],
+                [batch.column("doc_id"), batch.column("mark"), batch.column("key"), bands],
+                names=["doc_id", "mark", "key", "bands"],
             )
 
-    return rows.mapInArrow(sign, f"doc_id {kind}, key binary, bands array<bigint>")
+    return rows.mapInArrow(sign, f"doc_id {kind}, mark bigint, key binary, bands array<bigint>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, config: DedupConfig) -> DataFrame:
@@ -361,13 +371,18 @@ def _classes(docs: DataFrame, config: DedupConfig) -> tuple[DataFrame, DataFrame
         held.join(sizes.filter(F.col("low") != F.col("high")), "bucket"), "shared"
     )
     nodes = shared.select("node").distinct()
-    firsts = signed.groupBy("key").agg(F.min("doc_id").alias("_id"))
-    wanted = nodes.join(firsts, nodes["node"] == firsts["key"]).select("key", "_id")
-    plain = docs.select("doc_id", normal(F.col("text")).alias("plain"))
+    firsts = signed.groupBy("key").agg(
+        F.min("doc_id").alias("_id"),
+        F.coalesce(F.min_by("mark", "doc_id"), F.min("mark")).alias("_mark"),  # no id: any row
+    )
+    wanted = nodes.join(firsts, nodes["node"] == firsts["key"]).select("key", "_id", "_mark")
+    marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     texts = written(
-        wanted.join(plain, F.col("_id").eqNullSafe(F.col("doc_id")))
-        .filter(content_key(F.col("plain")) == F.col("key"))
-        .select("key", "plain"),
+        marked.join(
+            wanted,
+            F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_mark") == F.col("mark")),
+        )
+        .select("key", normal(F.col("text")).alias("plain")),
         "texts",
     )
     links: list[DataFrame] = []
@@ -427,12 +442,12 @@ def _classes(docs: DataFrame, config: DedupConfig) -> tuple[DataFrame, DataFrame
 
 
 def _keyed(docs: DataFrame, config: DedupConfig) -> DataFrame:
-    """doc_id, key, class_key of every document that has words."""
+    """doc_id, mark, class_key of every document that has words."""
     signed, classes = _classes(docs, config)
-    rows = signed.select("doc_id", "key")
+    rows = signed.select("doc_id", "mark", "key")
     known = rows.join(classes, F.col("key") == F.col("node"), "left")
     return written(
-        known.select("doc_id", "key", F.coalesce("class_key", "key").alias("class_key")), "classes"
+        known.select("doc_id", "mark", F.coalesce("class_key", "key").alias("class_key")), "classes"
     )
 
 
@@ -451,7 +466,7 @@ def near_duplicates(docs: DataFrame, config: DedupConfig = DedupConfig()) -> Dat
     )
     # One row per class; the hot class is on the other side, which adaptive execution splits.
     found = known.join(classes, "class_key").select("doc_id", "class_id", "class_size")
-    wordless = docs.filter(normal(F.col("text")).isNull()).select(
+    wordless = docs.filter(~has_words(F.col("text"))).select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("bigint").alias("class_size")
     )
     return found.unionByName(wordless).withColumn(
@@ -466,20 +481,23 @@ def deduplicated(docs: DataFrame, config: DedupConfig = DedupConfig()) -> DataFr
     """
     known = _keyed(docs, config)
     order = F.struct(
-        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("key").alias("key")
+        F.col("doc_id").isNull().alias("none"),
+        F.col("doc_id").alias("id"),
+        F.col("mark").alias("mark"),
     )
     first = known.groupBy("class_key").agg(F.min(order).alias("_first"))
-    counts = known.groupBy("doc_id", "key").agg(F.count("*").alias("_rows"))
-    kept = first.select(
-        F.col("_first.id").alias("_id"), F.col("_first.key").alias("_key")
-    ).join(
-        counts,
-        F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("key")),
-    ).select("_id", "_key", "_rows")
-    own = content_key(normal(F.col("text")))
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_key")))
+    counts = known.groupBy("doc_id", "mark").agg(F.count("*").alias("_rows"))
+    kept = (
+        first.select(F.col("_first.id").alias("_id"), F.col("_first.mark").alias("_mark"))
+        .join(
+            counts, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_mark") == F.col("mark"))
+        )
+        .select("_id", "_mark", "_rows")
+    )
+    own = F.xxhash64(docs["text"])
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (own == kept["_mark"]))
     single = rows.filter("_rows = 1")
-    twins = rows.filter("_rows > 1").dropDuplicates(["_id", "_key"])
-    wordless = docs.filter(normal(F.col("text")).isNull())
+    twins = rows.filter("_rows > 1").dropDuplicates(["_id", "_mark"])
+    wordless = docs.filter(~has_words(docs["text"]))
     columns = docs.columns
     return single.select(*columns).unionByName(twins.select(*columns)).unionByName(wordless)

@@ -242,3 +242,35 @@ def test_pipeline_odd_cases(spark, odd, empty):
             assert n is None or found.count() == n
             assert set(docs.columns) <= set(found.columns)
             found.count()
+
+
+def test_large_buckets_are_compared_in_blocks(spark):
+    """Many copies of one text with edits of their own: few are alike to the first of all."""
+    import random
+
+    generator = random.Random(9)
+    base = [f"w{i}" for i in range(80)]
+    texts = {}
+    for i in range(90):
+        words = list(base)
+        for place in generator.sample(range(80), generator.randint(0, 3)):
+            words[place] = f"e{generator.randint(0, 40)}"
+        texts[i] = " ".join(words * (1 + (i % 9 == 0)))
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    expected = brute_classes(texts)
+    assert len(set(expected.values())) > 5
+    for config in (
+        near_dups.DedupConfig(pair_members=2, block_members=7),
+        near_dups.DedupConfig(),
+    ):
+        found = rows(near_dups.near_duplicates(frame, config))
+        assert {r["doc_id"]: r["class_id"] for r in found} == expected
+
+
+def test_documents_without_an_id(spark):
+    words = [f"w{i}" for i in range(60)]
+    data = [(None, " ".join(words)), (None, " ".join(words[:-2] + ["x", "y"])), (3, "other text")]
+    frame = spark.createDataFrame(data, "doc_id bigint, text string")
+    found = sorted(r["class_size"] for r in rows(near_dups.near_duplicates(frame)))
+    assert found == [1, 2, 2]
+    assert near_dups.deduplicated(frame).count() == 2
