@@ -36,8 +36,8 @@ THRESHOLD = 0.3
 @dataclass(frozen=True)
 class QualityConfig:
     slots: int = 1 << 18
-    sample_rows: int = 6_000  # labelled documents of each class that the model is fitted on
-    shards: int = 8  # learners whose weights are averaged
+    sample_rows: int = 2_000  # labelled documents of each class that the model is fitted on
+    shards: int = 4  # learners whose weights are averaged; each sees all of the rarer class
     epochs: int = 3
     alpha: float = 0.5  # learning rate of follow-the-regularised-leader
     beta: float = 1.0
@@ -86,15 +86,17 @@ def fit(texts: list[str], labels: list[int], config: QualityConfig) -> tuple[np.
     Both classes weigh the same in all, however rare one of them is.
     """
     z, n = np.zeros(config.slots + 1), np.zeros(config.slots + 1)
-    slot, owner, _ = features(texts, config.slots)
-    bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
     sizes = np.maximum(np.bincount(labels, minlength=2), 1)
     class_weight = len(labels) / 2 / sizes
     rows = []
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        at, count = np.unique(slot[a:b], return_counts=True)
-        # The last slot is the bias, which is not regularised towards 0.
-        rows.append((np.append(at, config.slots), np.append(count / np.sqrt(max(1, b - a)), 1.0)))
+    for _, group in groups(texts):
+        slot, owner, _ = features(group, config.slots)
+        bounds = np.searchsorted(owner, np.arange(len(group) + 1))
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            at, count = np.unique(slot[a:b], return_counts=True)
+            # The last slot is the bias, which is not regularised towards 0.
+            value = np.append(count / np.sqrt(max(1, b - a)), 1.0)
+            rows.append((np.append(at, config.slots).astype(np.int32), value.astype(np.float32)))
 
     def weights(at: np.ndarray) -> np.ndarray:
         strength = np.where(at == config.slots, 0.0, config.l1)
@@ -118,8 +120,9 @@ def train(
     """Average of the learners, each fitted to its share of the labelled sample.
 
     Rows with a label, of documents not held out; at most ``sample_rows`` of each class, by
-    a hash of their id. A document with several labels has their mean, rounded. Each learner
-    sees at most its bounded share; its non-zero weights come back as rows.
+    a hash of their id. A document with several labels has their mean, rounded. The rarer
+    class goes to every learner, as marks that few documents bear would be thinned out by
+    averaging; the other is dealt out. A learner's non-zero weights come back as rows.
     """
     once = (
         labels.filter(F.col("quality").isNotNull() & trained_on(F.col("doc_id")))
@@ -134,7 +137,11 @@ def train(
         sample = own if sample is None else sample.unionByName(own)
     # Bounded by twice sample_rows narrow rows, whatever the tables hold.
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    shard = F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(config.shards)).cast("int")
+    counts = {row["_label"]: row["count"] for row in sample.groupBy("_label").count().collect()}
+    rarer = min((0, 1), key=lambda label: counts.get(label, 0))
+    dealt = F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(config.shards)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(config.shards - 1))
+    shard = F.explode(F.when(F.col("_label") == rarer, every).otherwise(F.array(dealt)))
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["order", "doc_id", "text"], kind="stable")

@@ -339,10 +339,10 @@ def test_training_step_by_step():
     for _ in range(2):
         for text, label in zip(texts, labels, strict=True):
             x, w = dense(text), current()
-            g = (1 / (1 + np.exp(-w @ x)) - label) * x
+            g = (1 / (1 + np.exp(-w @ x)) - label) * x  # both classes weigh 1 here
             z += g - (np.sqrt(n + g * g) - np.sqrt(n)) / config.alpha * w
             n += g * g
-    assert np.allclose(np.append(weights, bias), current())
+    assert np.allclose(np.append(weights, bias), current(), atol=1e-5)
 
 
 def test_quality_odd_cases(spark, odd, empty):
