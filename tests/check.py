@@ -17,7 +17,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 from haulmark.session import build_session  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events"
+    " documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
