@@ -3,7 +3,7 @@
 import hashlib
 
 import pytest
-from conftest import record
+from records import record
 from pyspark.sql import functions as F
 
 from haulmark.functions.features import CATEGORICAL, FEATURES, REQUIRED_FIELDS, with_features

@@ -3,7 +3,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import record
+from records import record
 from pyspark.sql import functions as F
 
 from haulmark.plans.daily import check_step, load_step

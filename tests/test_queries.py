@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from conftest import record
+from records import record
 from pyspark.sql import functions as F
 
 from haulmark.operators.enrich import enrich_recent

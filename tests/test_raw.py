@@ -1,7 +1,7 @@
 """Raw zone: formats, lineage, order, and what makes a read fail."""
 
 import pytest
-from conftest import record
+from records import record
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import re
 from decimal import Decimal
 
 import pytest
-from conftest import record
+from records import record
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
