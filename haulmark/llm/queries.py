@@ -15,6 +15,7 @@ from haulmark.llm import (
     near_dups,
     pieces,
     quality,
+    runs,
     sharding,
     token_counts,
     topk,
@@ -87,3 +88,8 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fingerprints.fingerprints(read(spark, sf_dir, "documents"))
     return fingerprints.with_neighbours(prints)
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_report(read(spark, sf_dir, "documents"))
