@@ -13,6 +13,7 @@ from haulmark.llm import (
     language,
     mixing,
     near_dups,
+    packing,
     pieces,
     quality,
     runs,
@@ -93,3 +94,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op12_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
