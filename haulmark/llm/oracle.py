@@ -94,3 +94,41 @@ ranked AS (
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+ORACLE["op13_ranked_search"] = r"""
+WITH terms AS (
+  SELECT doc_id, row_number() OVER () AS row_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS found
+  FROM documents),
+corpus AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(found))::BIGINT AS n_terms
+  FROM terms WHERE len(found) > 0),
+damped AS (
+  SELECT doc_id, row_id, found,
+         50 + (50 * len(found)::BIGINT * n_docs) // n_terms AS m
+  FROM terms, corpus WHERE len(found) > 0),
+counted AS (
+  SELECT doc_id, row_id, m, term, count(*)::BIGINT AS tf
+  FROM (SELECT doc_id, row_id, m, unnest(found) AS term FROM damped)
+  GROUP BY doc_id, row_id, m, term),
+weighed AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, corpus GROUP BY term, n_docs),
+asked AS (
+  SELECT item_id, item, unnest(found) AS term
+  FROM (SELECT item_id, row_number() OVER () AS item, list_distinct(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS found
+        FROM benchmark)),
+scored AS (
+  SELECT item, item_id, row_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN weighed USING (term) JOIN counted USING (term)
+  GROUP BY item, item_id, row_id, doc_id),
+placed AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank,
+         doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 50
+"""

@@ -11,6 +11,7 @@ from haulmark.llm import (
     fingerprints,
     html_blocks,
     language,
+    lexical,
     mixing,
     near_dups,
     packing,
@@ -99,3 +100,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
