@@ -14,10 +14,13 @@ pieces are numbered in that order by a distributed sort and each looks its place
 
 from __future__ import annotations
 
+import json
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -32,9 +35,28 @@ from haulmark.llm.text import groups
 TOKENIZER = "word_bpe_49k.json"
 END = 1  # id that closes a document
 _WORD = re.compile("[^ \t\n\x0b\x0c\r]+")
-MOST_WORDS = 300_000  # remembered in a task, of up to LONGEST_WORD characters
+MOST_WORDS = 400_000  # remembered in a task, of up to LONGEST_WORD characters
 MOST_IDS = 4_000_000
 LONGEST_WORD = 40
+TOGETHER = 1_024  # pieces in one call of the library
+
+# How the tokenizer file cuts texts. In texts of Latin characters only, which
+# lowering and composing leave alone but for case, the pieces can be cut out beforehand.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+STEPS = ["NFC", "Replace", "Lowercase"]
+# What lowering or composing could change otherwise, or what may be a special token.
+_OTHER = re.compile("[\u0130\u0180-\u200f\u2028-\u202f\u205f-\U0010ffff]|<\\|")
+
+
+def _latin_pieces() -> re.Pattern:
+    """SPLIT for lowered texts without _OTHER; letters first, as no other piece begins so."""
+    kinds: dict[str, list[str]] = {"L": [], "N": [], "Z": list("\t\n\x0b\x0c\r\x85")}
+    for char in map(chr, range(0x180)):
+        kinds.setdefault(unicodedata.category(char)[0], []).append(char)
+    letters, numbers, white = (re.escape("".join(kinds[k])) for k in "LNZ")
+    return re.compile(
+        f"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{white}{letters}{numbers}]+"
+    )
 
 
 @dataclass(frozen=True)
@@ -44,16 +66,23 @@ class PackConfig:
 
 
 class Encoder:
-    """Token ids of whole texts as the library gives them, word by word.
+    """Token ids of whole texts as the library gives them, piece by piece.
 
-    The tokenizer file cuts texts at white space before anything else looks across it, so the
-    ids of a text are those of its words. Words met before are not encoded again.
+    The tokenizer file cuts a text into pieces (words, digits, signs) before anything looks
+    across them, so the ids of a text are those of its pieces. Pieces met before are not
+    encoded again; new ones are encoded together. Texts with other than Latin characters are
+    cut at white space only. A file that cuts otherwise encodes whole texts.
     """
 
     def __init__(self, tokenizer: str = TOKENIZER) -> None:
         self._library = Tokenizer.from_file(public_tokenizers.path(tokenizer))
         self._library.no_truncation()
         self._library.no_padding()
+        made = json.loads(self._library.to_str())
+        steps = (made["normalizer"] or {}).get("normalizers", [])
+        cuts = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+        self._cuts = [s["type"] for s in steps] == STEPS and cuts.get("pattern") == {"Regex": SPLIT}
+        self._latin = _latin_pieces()
         self.forget()
 
     def forget(self) -> None:
@@ -64,41 +93,64 @@ class Encoder:
         self._used = 0  # of _ids
         self._words = 0
 
-    def _learn(self, found: list[str]) -> None:
-        for encoding in self._library.encode_batch(found, add_special_tokens=False):
-            ids = np.array(encoding.ids, np.uint32)
-            while self._used + len(ids) > len(self._ids):
-                self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
-            if self._words == len(self._starts):
-                self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
-                self._lengths = np.concatenate([self._lengths, np.zeros_like(self._lengths)])
-            self._ids[self._used : self._used + len(ids)] = ids
-            self._starts[self._words], self._lengths[self._words] = self._used, len(ids)
-            self._used += len(ids)
-            self._words += 1
+    def _keep(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        while self._used + len(ids) > len(self._ids):
+            self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
+        while self._words + len(lengths) > len(self._starts):
+            self._starts = np.concatenate([self._starts, np.zeros_like(self._starts)])
+            self._lengths = np.concatenate([self._lengths, np.zeros_like(self._lengths)])
+        self._ids[self._used : self._used + len(ids)] = ids
+        new = slice(self._words, self._words + len(lengths))
+        self._starts[new], self._lengths[new] = self._used + np.cumsum(lengths) - lengths, lengths
+        self._used += len(ids)
+        self._words += len(lengths)
+
+    def _learn(self, pieces: list[str], words: list[str]) -> None:
+        """Numbers and ids of new pieces, which are encoded together, and new words."""
+        for start in range(0, len(pieces), TOGETHER):
+            part = pieces[start : start + TOGETHER]
+            encoding = self._library.encode(" ".join(part), add_special_tokens=False)
+            lengths = np.bincount(np.array(encoding.word_ids, np.int64), minlength=len(part))
+            if len(lengths) != len(part):
+                raise ValueError("the tokenizer joins or splits pieces")
+            self._number.update(zip(part, range(self._words, self._words + len(part)), strict=True))
+            self._keep(np.array(encoding.ids, np.uint32), lengths)
+        for word in words:
+            ids = self._library.encode(word, add_special_tokens=False).ids
+            self._number[word] = self._words
+            self._keep(np.array(ids, np.uint32), np.array([len(ids)]))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, without special tokens of the encoder's own."""
+        if not self._cuts:
+            found = self._library.encode_batch(texts, add_special_tokens=False)
+            return [np.array(encoding.ids, np.uint32) for encoding in found]
         if self._words > MOST_WORDS or self._used > MOST_IDS:
             self.forget()
-        per_text = [_WORD.findall(text) for text in texts]
-        counts = [len(found) for found in per_text]
-        fresh = dict.fromkeys(w for found in per_text for w in found if w not in self._number)
-        first = self._words
-        self._learn(list(fresh))
-        self._number.update(zip(fresh, range(first, self._words), strict=True))
-        look = self._number.__getitem__
-        at = np.fromiter((look(w) for found in per_text for w in found), np.int64, sum(counts))
-        for word in fresh:  # long ones would fill the memory with what does not come again
+        known = self._number
+        latin = [_OTHER.search(text) is None for text in texts]
+        cuts = [
+            self._latin.findall(text.lower()) if plain else _WORD.findall(text)
+            for text, plain in zip(texts, latin, strict=True)
+        ]
+        counts = np.array([len(cut) for cut in cuts], np.int64)
+        parts = list(chain.from_iterable(cuts))
+        at = np.fromiter(map(known.get, parts, repeat(-1)), np.int64, len(parts))
+        new = np.flatnonzero(at < 0)
+        plain = np.repeat(np.array(latin), counts)[new].tolist()
+        pieces = {parts[i] for i, p in zip(new.tolist(), plain, strict=True) if p}
+        words = {parts[i] for i, p in zip(new.tolist(), plain, strict=True) if not p} - pieces
+        self._learn(sorted(pieces), sorted(words))
+        at[new] = [known[parts[i]] for i in new.tolist()]
+        for word in chain(pieces, words):  # long ones would fill the memory and hardly come again
             if len(word) > LONGEST_WORD:
-                del self._number[word]
+                del known[word]
         lengths = self._lengths[at]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        place = np.arange(total) - np.repeat(ends - lengths, lengths)
-        ids = self._ids[np.repeat(self._starts[at], lengths) + place]
-        word_ends = np.cumsum(np.array(counts, np.int64))
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], word_ends])]
+        shift = self._starts[at] - (ends - lengths)
+        ids = self._ids[np.repeat(shift, lengths) + np.arange(total)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 

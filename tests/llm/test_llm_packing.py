@@ -51,6 +51,23 @@ def test_ids_of_any_texts(library, texts):
         same_ids(library, texts)
 
 
+LATIN = st.characters(max_codepoint=0x24F, exclude_categories=["Cs"])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(LATIN, st.sampled_from("'stdlrevm“”’—…⁄\u2028 ½²³\xa0\x85\x1cIİß"))), min_size=1, max_size=4))
+def test_ids_of_latin_texts(library, texts):
+    same_ids(library, texts)
+
+
+def test_file_that_cuts_otherwise():
+    """A tokenizer of another kind encodes whole texts."""
+    name = "byte_bpe_50k.json"
+    other = Tokenizer.from_file(public_tokenizers.path(name))
+    text = "It's  one text,\n of 2 lines "
+    assert packing.Encoder(name).encode([text])[0].tolist() == other.encode(text).ids
+
+
 def test_forgetting_changes_nothing(library, monkeypatch):
     monkeypatch.setattr(packing, "MOST_WORDS", 3)
     encoder = packing.Encoder()
