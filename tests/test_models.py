@@ -152,7 +152,7 @@ def test_daily_job(spark, trained):
         "Logistic Regression",
         "Random Forest",
         "Gradient Boosting",
-        "Deep Gradient Boosting",
+        "Second-Order Boosting",
     ]
     assert all(r["roc_auc"] > 0.8 and r["accuracy"] > 0.8 for r in metrics)
     assert sum(r["is_best"] for r in metrics) == 1
