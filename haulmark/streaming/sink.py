@@ -9,14 +9,18 @@ what an earlier one wrote. One writer per table.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
 from haulmark.operators.first_wins import first_rows
@@ -38,6 +42,7 @@ MAX_EVENT_TEXT = {
 }
 TRIGGER = "10 seconds"
 QUARANTINE = {"message": "string", "reason": "string", "message_key": "string"}
+_SHARES = 64  # that equal messages are counted in
 _PARTITIONS = {"query_id": "string", "batch_id": "bigint"}
 
 
@@ -128,9 +133,8 @@ class EventTable:
             place = F.concat_ws("|", *arrival)
         else:
             file = [name for name in ("source_file",) if name in arrival]
-            alike = Window.partitionBy(*file, "message").orderBy(*arrival)
-            ordinal = F.row_number().over(alike).cast("string")
-            place = F.concat_ws("|", *file, ordinal, "message")
+            rejected = each_alike(rejected, [*file, "message", "reason"])
+            place = F.concat_ws("|", *file, F.col("_ordinal").cast("string"), "message")
         keyed = rejected.select("message", "reason", F.sha2(place, 256).alias("message_key"))
         folders = [f for f in self._queries("quarantine") if f != f"query_id={query_id}"]
         known = self._read("quarantine", QUARANTINE, folders).select("message_key")
@@ -158,6 +162,18 @@ class EventTable:
         ).parquet(f"{self.root}/events/query_id={query_id}/batch_id={batch_id}")
 
 
+def each_alike(rows: DataFrame, key: list[str]) -> DataFrame:
+    """The key columns and ``_ordinal``, from 1, of every row: equal rows are counted, not
+    sorted, and given back from their counts, a share of each key by a task of its own."""
+    share = F.pmod(F.monotonically_increasing_id(), F.lit(_SHARES)).cast("int").alias("_share")
+    counts = rows.select(*key, share).groupBy(*key, "_share").agg(F.count("*").alias("_rows"))
+    before = Window.partitionBy(*key).orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_rows").over(before), F.lit(0))  # of at most _SHARES rows
+    dealt = counts.withColumn("_start", start).repartition(*key, "_share")
+    ordinals = F.sequence(F.col("_start") + 1, F.col("_start") + F.col("_rows"))
+    return dealt.select(*key, F.explode(ordinals).alias("_ordinal"))
+
+
 def arrival_order(batch: DataFrame) -> list[str]:
     """Columns that order messages by arrival, as far as their source tells."""
     if "offset" in batch.columns:
@@ -181,32 +197,75 @@ def row_numbers() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return numbered
 
 
+def first_in_batch(
+    order: list[str],
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of each Arrow batch the first message of each id, so that a hot id is few rows."""
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [(name, "ascending") for name in ("event_id", *order)]
+            ranked = batch.take(pc.sort_indices(batch, sort_keys=keys))
+            ids = ranked.column("event_id")
+            if len(ids):
+                new = pc.not_equal(ids[1:], ids[:-1])
+                ranked = ranked.filter(pa.array([True, *new.to_pylist()]))
+            yield ranked
+
+    return reduce
+
+
+def first_seen(order: list[str]) -> Callable:
+    """Gives an id's first message of a micro-batch, if the id was never met before.
+
+    The state of an id is the time it was met.
+    """
+
+    def step(
+        key: tuple, parts: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            return
+        first = None
+        for part in parts:
+            if first is not None:
+                part = pd.concat([first, part])
+            if len(part) > 1:
+                part = part.sort_values(order, kind="stable").iloc[:1]
+            first = part
+        state.update((time.time_ns() // 1000,))
+        yield first[["message"]]
+
+    return step
+
+
 def first_of_each_id(events: DataFrame) -> DataFrame:
     """Of a stream: the first event of each id, when its id is met first; and unusable ones.
 
-    The state store keeps one event per id (exact, unbounded, on disk with RocksDB), so a
-    batch costs the same however large the table has become. Copies are reduced in each task
-    before the shuffle, so an id that owns a third of a batch is a few rows. A later copy
-    does change its id's newest batch time, by which it is told from a new id. Unusable
-    messages, also those without an id, leave no state.
+    The state store keeps an id and the time it was met, whatever the width of an event
+    (exact, unbounded, on disk with RocksDB), so a batch costs the same however large the
+    table has become. Only the message travels to its id; it is decoded again behind the
+    state. Copies are reduced in each task before the shuffle. Unusable messages, also those
+    without an id, leave no state.
     """
     schema = StructType([*events.schema.fields, StructField("source_row", LongType())])
+    columns = schema.names
     events = events.mapInArrow(row_numbers(), schema).withColumn("_problem", _problem())
-    usable = events.filter(F.col("_problem").isNull())
-    place = F.struct(*arrival_order(events))
-    kept = [F.col(name) for name in events.columns if name not in ("message", "_problem")]
-    now = F.col("_now")
+    order = arrival_order(events)
+    narrow = events.filter(F.col("_problem").isNull()).select("event_id", "message", *order)
     first = (
-        usable.withColumn("_now", F.current_timestamp())  # of the micro-batch
-        .groupBy(F.col("event_id").alias("_id"))
-        .agg(
-            F.min_by(F.struct(*kept), place).alias("_first"),
-            F.min(now).alias("_since"),
-            F.max(now).alias("_last"),
+        narrow.mapInArrow(first_in_batch(order), narrow.schema)
+        .groupBy("event_id")
+        .applyInPandasWithState(
+            first_seen(order), "message string", "met bigint", "update", GroupStateTimeout.NoTimeout
         )
-        .filter(F.col("_since") == F.col("_last"))
-        .select("_first.*")
-        .withColumn("message", F.lit(None).cast("string"))
+    )
+    decoded = enrich(decode(first.withColumnRenamed("message", "value"))).drop("message")
+    first = decoded.select(
+        *[
+            F.col(name) if name in decoded.columns else F.lit(None).cast(schema[name].dataType).alias(name)
+            for name in columns
+        ]
     )
     unusable = events.filter(F.col("_problem").isNotNull()).drop("_problem")
     return first.unionByName(unusable)

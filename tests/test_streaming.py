@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from haulmark.schemas import EVENT_SCHEMA, ddl
 from haulmark.sources.events import publish_frame, read_event_files
 from haulmark.streaming.events import decode, enrich
-from haulmark.streaming.sink import EventTable, row_numbers, start_ingest
+from haulmark.streaming.sink import (
+    EventTable,
+    each_alike,
+    first_in_batch,
+    row_numbers,
+    start_ingest,
+)
 
 BASE = {
     "event_type": "STATUS_UPDATE",
@@ -129,6 +135,37 @@ def test_quarantine_is_the_same_after_a_replay(feed, stateful):
     assert sorted(r["message"] for r in feed.table.quarantine().collect()) == before
 
 
+def test_equal_messages_are_numbered_from_counts(spark):
+    rows = spark.range(5_000).selectExpr("if(id % 3 = 0, 'hot', cast(id % 5 as string)) AS message", "'f' AS source_file")
+    found = each_alike(rows, ["source_file", "message"]).collect()
+    wanted = {r["message"]: r["count"] for r in rows.groupBy("message").count().collect()}
+    numbers = {}
+    for r in found:
+        numbers.setdefault(r["message"], []).append(r["_ordinal"])
+    assert {m: sorted(n) for m, n in numbers.items()} == {m: [*range(1, n + 1)] for m, n in wanted.items()}
+
+
+def test_state_does_not_hold_events(spark, feed):
+    """An id's state is one number, however wide its event is."""
+    feed.arrive(*[event(n, note="x" * 10_000 * (n % 2)) for n in range(20)])
+    feed.run(stateful=True)
+    state = spark.read.format("statestore").load(f"file:{feed.root}/checkpoint")
+    sizes = {len(json.dumps(json.loads(r[0]))) for r in state.select(F.to_json("value")).collect()}
+    assert state.count() == 20 and max(sizes) < 120
+    assert max(sizes) - min(sizes) <= 2
+    assert feed.stored() == {str(n): 10.0 for n in range(20)}
+
+
+def test_first_of_each_id_in_an_arrow_batch():
+    batch = pa.record_batch(
+        {"event_id": ["b", "a", "b", "a"], "message": ["1", "2", "3", "4"], "offset": [9, 5, 3, 7]}
+    )
+    (found,) = first_in_batch(["offset"])(iter([batch]))
+    assert found.to_pydict() == {"event_id": ["a", "b"], "message": ["2", "3"], "offset": [5, 3]}
+    (none,) = first_in_batch(["offset"])(iter([batch.slice(0, 0)]))
+    assert none.num_rows == 0
+
+
 def test_crash_after_the_write_then_replay(feed, monkeypatch):
     feed.arrive(event(1), event(2))
     upsert = EventTable.upsert
