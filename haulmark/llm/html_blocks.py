@@ -1,9 +1,11 @@
 """Main text of web pages: flat text blocks classified by a small decision tree.
 
 A page is cut into blocks at its block-level tags. A block is described by its number of
-words and its link density, by those of the blocks before and after it, and by what it stands
-in (an article; a menu, form, advert and the like). A decision tree over these numbers,
-trained on a small table of labelled blocks, says which blocks are main text.
+words and its link density, by those of the blocks before and after it, by whether it ends as
+a sentence does and is a heading, and, as weaker hints, by what its elements say it stands in.
+A decision tree over these numbers, trained on a small table of labelled blocks, says which
+blocks are main text. Pages that name no part of theirs are decided by words, links and
+neighbours alone.
 """
 
 from __future__ import annotations
@@ -47,6 +49,12 @@ PART_WORDS = frozenset(
     discussion share sharing social related recommended widget toolbar search searchbox form
     copyright pagination pager skip banner""".split()
 )
+# Words that may stand beside them in a name, without naming a subject of their own.
+PLAIN_WORDS = frozenset(
+    """area author bar block body bottom box buttons container content group header icons inner
+    item items left links list meta notice outer page panel post posts primary right secondary
+    section site text thread title top unit wrap wrapper js is has""".split()
+)
 BODY_WORDS = frozenset("article post entry story content main maincontent body text".split())
 # Elements whose end tag may be left out: the start of another of the group ends them.
 CLOSERS = {
@@ -66,6 +74,7 @@ _ATTRIBUTE = re.compile(
     r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I
 )
 _WORD = re.compile(r"[^\W_]+")
+_ENDS = frozenset(".!?…。！？")
 NEUTRAL, BODY, PART = 0, 1, 2
 
 
@@ -77,6 +86,21 @@ class Block:
     place: int  # NEUTRAL, BODY or PART: the nearest element that says so
     heading: bool
     in_body: bool  # anywhere inside an article or main element
+    sentence: bool  # ends with a sign that ends sentences
+
+
+def _names_part(value: str) -> bool:
+    """Whether one of the names says advert, menu, comments and the like, and nothing else.
+
+    "comment-list" does; "share-price", "form-factor" and "search-results" do not.
+    """
+    for name in value.split():
+        words = [w for w in re.split(r"[^a-z]+", name) if w]
+        if any(w in PART_WORDS for w in words) and all(
+            w in PART_WORDS or w in PLAIN_WORDS for w in words
+        ):
+            return True
+    return False
 
 
 def _place(name: str, attributes: str, inside: int) -> int:
@@ -86,7 +110,8 @@ def _place(name: str, attributes: str, inside: int) -> int:
     if name in PARTS:
         # An article's own header holds its title.
         return NEUTRAL if name == "header" and inside == BODY else PART
-    place = BODY if name in BODIES else NEUTRAL
+    # An article among the comments is a comment.
+    place = BODY if name in BODIES and inside != PART else NEUTRAL
     if "=" not in attributes:
         return place
     for found in _ATTRIBUTE.finditer(attributes):
@@ -94,13 +119,12 @@ def _place(name: str, attributes: str, inside: int) -> int:
         if found[1].lower() == "role":
             if value in ROLES:
                 return PART
-            if value in ("main", "article"):
+            if value in ("main", "article") and inside != PART:
                 place = BODY
             continue
-        words = set(re.split(r"[^a-z]+", value))
-        if words & PART_WORDS and name not in BODIES:
+        if _names_part(value):
             return PART
-        if words & BODY_WORDS:
+        if set(re.split(r"[^a-z]+", value)) & BODY_WORDS and inside != PART:
             place = BODY
     return place
 
@@ -124,7 +148,8 @@ def blocks(page: str) -> list[Block]:
                     parts = [t for t, x in zip(texts, linked, strict=True) if x]
                     in_links = len(html.unescape(" ".join(parts)).split())
                 inside = any(p == BODY for _, p in stack)
-                found.append(Block(text, n, min(1.0, in_links / n), place, heading, inside))
+                ends = text.rstrip("\"'”’»)")[-1:] in _ENDS
+                found.append(Block(text, n, min(1.0, in_links / n), place, heading, inside, ends))
             texts.clear()
             linked.clear()
 
@@ -199,8 +224,9 @@ def blocks(page: str) -> list[Block]:
 
 FEATURES = (
     "words", "link density", "words before", "link density before", "words after",
-    "link density after", "in a part", "in a body", "page has a body", "heading",
+    "link density after", "sentence", "heading", "in a part", "in a body", "page has a body",
 )
+HINTS = 8  # the first feature that tells what elements say
 
 
 def describe(found: list[Block]) -> np.ndarray:
@@ -209,7 +235,7 @@ def describe(found: list[Block]) -> np.ndarray:
     own = [(min(b.n_words, 200), b.link_density) for b in found]
     edge = [(0, 0.0)]
     rows = [
-        (*now, *before, *after, b.place == PART, b.place == BODY, has_body, b.heading)
+        (*now, *before, *after, b.sentence, b.heading, b.place == PART, b.place == BODY, has_body)
         for b, now, before, after in zip(
             found, own, edge + own[:-1], own[1:] + edge, strict=True
         )
@@ -244,10 +270,13 @@ class Tree:
         return np.array(self.label)[node]
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, least: int = 2, depth: int = 6) -> Tree:
-    """A binary tree by the largest drop of Gini impurity; ties go to the later feature.
+def grow(
+    rows: np.ndarray, labels: np.ndarray, least: int = 1, depth: int = 12, hint: float = 0.6
+) -> Tree:
+    """A binary tree by the largest drop of Gini impurity; ties go to the earlier feature.
 
-    The later features say what a block stands in, which pages state on purpose.
+    Features from HINTS on count for the share ``hint`` of what they gain, so that what a text
+    is like comes before what its elements are called.
     """
     nodes: list[list] = []
 
@@ -269,7 +298,8 @@ def grow(rows: np.ndarray, labels: np.ndarray, least: int = 2, depth: int = 6) -
                     gain = impurity(labels[index]) - (
                         impurity(labels[index][low]) + impurity(labels[index][~low])
                     )
-                    if gain >= best[0] + (0 if f != best[1] else 1e-9):
+                    gain *= hint if f >= HINTS else 1.0
+                    if gain > best[0] + 1e-9:
                         best = (gain, f, cut)
         if best[1] >= 0:
             low = rows[index, best[1]] <= best[2]
@@ -282,63 +312,80 @@ def grow(rows: np.ndarray, labels: np.ndarray, least: int = 2, depth: int = 6) -
     return Tree(*(tuple(column) for column in zip(*nodes, strict=True)))
 
 
-# The labelled table: blocks as (words, link density, place, in a body, heading, main text),
-# in page order, with a line for each page.
-_N, _B, _P = NEUTRAL, BODY, PART
-LABELLED: tuple[tuple[tuple[int, float, int, bool, bool, int], ...], ...] = (
-    # menu, title and text in an article, footer
-    ((6, 1.0, _P, False, False, 0), (9, 0.0, _P, False, False, 0), (8, 0.0, _B, True, True, 1),
-     (60, 0.0, _B, True, False, 1), (1, 0.0, _B, True, False, 1), (35, 0.1, _B, True, False, 1),
-     (2, 0.0, _B, True, False, 1), (120, 0.0, _B, True, False, 1), (10, 0.0, _P, False, False, 0)),
-    # menu items one by one, advert, article with a link list and a comment section
-    ((1, 1.0, _P, False, False, 0), (1, 1.0, _P, False, False, 0), (1, 1.0, _P, False, False, 0),
-     (40, 0.0, _P, False, False, 0), (5, 0.0, _B, True, True, 1), (44, 0.0, _B, True, False, 1),
-     (3, 0.0, _B, True, False, 1), (4, 1.0, _B, True, False, 1), (16, 0.0, _B, True, False, 1),
-     (12, 0.0, _P, True, False, 0), (45, 0.0, _P, True, False, 0), (3, 0.0, _P, True, True, 0),
-     (6, 0.3, _P, False, False, 0)),
+# The labelled table: blocks as (words, link density, marks, main text), in page order, with
+# a line or two for each page. Marks: a what is in an article, p in another named part, h a
+# heading, s ends as a sentence.
+LABELLED: tuple[tuple[tuple[int, float, str, int], ...], ...] = (
+    # menu, title and text in an article, advert, footer
+    ((6, 1.0, "p", 0), (9, 0.0, "ps", 0), (8, 0.0, "ahs", 1), (60, 0.0, "as", 1), (1, 0.0, "as", 1),
+     (35, 0.1, "as", 1), (2, 0.0, "as", 1), (120, 0.0, "as", 1), (3, 0.0, "a", 1), (10, 0.0, "ps", 0)),
+    ((1, 1.0, "p", 0), (1, 1.0, "p", 0), (1, 1.0, "p", 0), (40, 0.0, "ps", 0), (5, 0.0, "ah", 1),
+     (44, 0.0, "as", 1), (3, 0.0, "a", 1), (4, 1.0, "a", 1), (16, 0.0, "as", 1), (12, 0.0, "ps", 0),
+     (45, 0.0, "ps", 0), (3, 0.0, "ph", 0), (6, 0.3, "p", 0)),
+    # comments below an article, as long as its text
+    ((2, 0.0, "ah", 1), (70, 0.0, "as", 1), (90, 0.02, "as", 1), (2, 0.0, "ph", 0), (55, 0.0, "ps", 0),
+     (80, 0.0, "ps", 0), (2, 1.0, "p", 0), (64, 0.05, "ps", 0), (3, 0.0, "p", 0)),
     # short article, long notices around it
-    ((30, 0.1, _P, False, False, 0), (80, 0.0, _P, False, False, 0), (4, 0.0, _B, True, True, 1),
-     (7, 0.0, _B, True, False, 1), (70, 0.0, _P, False, False, 0), (25, 0.2, _P, False, False, 0)),
+    ((30, 0.1, "ps", 0), (80, 0.0, "ps", 0), (4, 0.0, "ah", 1), (7, 0.0, "as", 1), (70, 0.0, "ps", 0),
+     (25, 0.2, "p", 0)),
     # text beside an article, unmarked
-    ((2, 0.0, _N, False, False, 0), (14, 0.0, _N, False, False, 0), (6, 0.0, _B, True, True, 1),
-     (90, 0.0, _B, True, False, 1), (12, 0.0, _B, True, False, 1), (20, 0.0, _N, False, False, 0),
-     (33, 0.0, _N, False, False, 0)),
+    ((2, 0.0, "", 0), (14, 0.0, "s", 0), (6, 0.0, "ah", 1), (90, 0.0, "as", 1), (12, 0.0, "as", 1),
+     (20, 0.0, "s", 0), (33, 0.0, "s", 0)),
+    ((30, 0.0, "s", 0), (2, 0.0, "a", 1), (8, 0.75, "a", 1), (1, 0.0, "as", 1), (40, 0.0, "s", 0),
+     (25, 0.0, "s", 0)),
     # an article full of links, short lines and lists
-    ((1, 1.0, _P, False, False, 0), (3, 0.0, _B, True, True, 1), (5, 0.4, _B, True, False, 1),
-     (1, 1.0, _B, True, False, 1), (2, 1.0, _B, True, False, 1), (3, 0.35, _B, True, False, 1),
-     (30, 0.6, _B, True, False, 1), (1, 0.0, _B, True, False, 1), (6, 1.0, _B, True, False, 1),
-     (12, 0.5, _B, True, False, 1), (1, 0.0, _B, True, False, 1), (2, 0.0, _B, True, False, 1),
-     (9, 1.0, _P, True, False, 0), (20, 0.4, _B, True, False, 1), (4, 0.0, _N, False, False, 0)),
-    ((30, 0.0, _N, False, False, 0), (2, 0.0, _B, True, False, 1), (8, 0.75, _B, True, False, 1),
-     (1, 0.0, _B, True, False, 1), (40, 0.0, _N, False, False, 0), (25, 0.0, _N, False, False, 0)),
+    ((1, 1.0, "p", 0), (3, 0.0, "ah", 1), (5, 0.4, "a", 1), (1, 1.0, "a", 1), (2, 1.0, "a", 1),
+     (3, 0.35, "a", 1), (30, 0.6, "as", 1), (1, 0.0, "a", 1), (6, 1.0, "a", 1), (12, 0.5, "as", 1),
+     (1, 0.0, "a", 1), (2, 1.0, "a", 1), (9, 1.0, "p", 0), (20, 0.4, "as", 1), (4, 0.0, "", 0)),
+    # no article element: menu, title, text, links to more of it
+    ((1, 1.0, "", 0), (2, 1.0, "", 0), (2, 1.0, "", 0), (7, 0.0, "h", 1), (55, 0.0, "s", 1),
+     (48, 0.05, "s", 1), (15, 0.0, "s", 1), (70, 0.0, "s", 1), (3, 1.0, "", 0), (4, 0.5, "", 0)),
+    # a menu of plain words, title, text, line of rights
+    ((1, 0.0, "", 0), (1, 0.0, "", 0), (2, 0.0, "", 0), (5, 0.0, "h", 1), (38, 0.0, "s", 1),
+     (61, 0.0, "s", 1), (27, 0.04, "s", 1), (6, 0.0, "", 0)),
+    ((1, 0.0, "", 0), (1, 0.0, "", 0), (1, 0.0, "", 0), (1, 0.0, "", 0)),
+    ((2, 0.0, "", 0), (1, 0.0, "", 0), (3, 0.0, "", 0), (2, 0.0, "", 0), (42, 0.0, "s", 1),
+     (88, 0.0, "s", 1), (8, 0.0, "s", 1), (51, 0.1, "s", 1), (5, 0.0, "", 0), (9, 0.0, "", 0)),
+    # paragraphs of one sentence
+    ((1, 0.0, "", 0), (1, 0.0, "", 0), (1, 0.0, "", 0), (5, 0.0, "h", 1), (19, 0.0, "s", 1),
+     (21, 0.0, "s", 1), (17, 0.0, "s", 1), (4, 0.0, "", 0)),
+    ((20, 0.0, "s", 1), (6, 0.0, "", 0), (18, 0.0, "s", 1), (3, 1.0, "", 0)),
+    ((4, 0.0, "h", 1), (16, 0.0, "s", 1), (23, 0.05, "s", 1), (15, 0.0, "s", 1), (6, 0.0, "", 0)),
+    # an advert between paragraphs, a list in the text
+    ((6, 0.0, "h", 1), (45, 0.0, "s", 1), (7, 0.0, "", 0), (33, 0.0, "s", 1), (5, 0.6, "", 0),
+     (52, 0.0, "s", 1), (9, 0.0, "s", 1), (12, 0.0, "s", 1), (40, 0.0, "s", 1), (7, 0.0, "", 0)),
+    ((3, 1.0, "p", 0), (5, 0.0, "h", 1), (25, 0.0, "s", 1), (4, 0.0, "s", 1), (31, 0.0, "s", 1),
+     (8, 0.0, "p", 0)),
+    ((40, 0.0, "ps", 0), (6, 0.0, "h", 1), (50, 0.0, "s", 1), (75, 0.0, "ps", 0), (28, 0.0, "s", 1),
+     (18, 0.0, "ps", 0), (26, 0.0, "ps", 0)),
+    ((4, 0.8, "", 0), (6, 1.0, "", 0), (9, 0.7, "", 0), (40, 0.0, "s", 1), (65, 0.0, "s", 1),
+     (5, 0.6, "", 0), (22, 0.9, "", 0), (18, 0.7, "s", 0), (24, 0.55, "", 0)),
+    # headings of link lists, of a text
+    ((3, 0.0, "h", 0), (2, 1.0, "", 0), (3, 1.0, "", 0), (4, 0.0, "h", 1), (36, 0.0, "s", 1),
+     (3, 0.0, "h", 1), (58, 0.0, "s", 1), (2, 0.0, "h", 0), (5, 1.0, "", 0), (4, 1.0, "", 0)),
     # a page of one block
-    ((2, 0.0, _N, False, False, 1),),
-    ((45, 0.0, _N, False, False, 1),),
-    ((2, 1.0, _N, False, False, 0),),
-    # no article element: long blocks without links
-    ((1, 1.0, _N, False, False, 0), (2, 1.0, _N, False, False, 0), (2, 1.0, _N, False, False, 0),
-     (7, 0.0, _N, False, True, 1), (55, 0.0, _N, False, False, 1), (48, 0.05, _N, False, False, 1),
-     (15, 0.0, _N, False, False, 1), (70, 0.0, _N, False, False, 1), (3, 1.0, _N, False, False, 0),
-     (4, 0.5, _N, False, False, 0)),
-    ((3, 1.0, _P, False, False, 0), (5, 0.0, _N, False, True, 1), (25, 0.0, _N, False, False, 1),
-     (4, 0.0, _N, False, False, 1), (31, 0.0, _N, False, False, 1), (8, 0.0, _P, False, False, 0)),
-    ((40, 0.0, _P, False, False, 0), (6, 0.0, _N, False, True, 1), (50, 0.0, _N, False, False, 1),
-     (75, 0.0, _P, False, False, 0), (28, 0.0, _N, False, False, 1), (18, 0.0, _P, False, False, 0),
-     (26, 0.0, _P, False, False, 0)),
-    ((4, 0.8, _N, False, False, 0), (6, 1.0, _N, False, False, 0), (9, 0.7, _N, False, False, 0),
-     (40, 0.0, _N, False, False, 1), (65, 0.0, _N, False, False, 1), (5, 0.6, _N, False, False, 0),
-     (22, 0.9, _N, False, False, 0)),
+    ((45, 0.0, "s", 1),),
+    ((45, 0.0, "", 1),),
+    ((30, 0.0, "", 1),),
+    ((20, 0.0, "s", 1),),
+    ((18, 0.0, "s", 1),),
+    ((2, 1.0, "", 0),),
+    ((3, 0.0, "", 0),),
 )
 
 
+def labelled(page: tuple[tuple[int, float, str, int], ...]) -> list[Block]:
+    return [
+        Block("", n, density, BODY if "a" in marks else PART if "p" in marks else NEUTRAL,
+              "h" in marks, "a" in marks, "s" in marks)
+        for n, density, marks, _ in page
+    ]
+
+
 @cache
 def trained() -> Tree:
-    rows, labels = [], []
-    for page in LABELLED:
-        found = [Block("", n, d, place, h, inside) for n, d, place, inside, h, _ in page]
-        rows.append(describe(found))
-        labels += [bool(line[-1]) for line in page]
-    return grow(np.concatenate(rows), np.array(labels))
+    rows = np.concatenate([describe(labelled(page)) for page in LABELLED])
+    return grow(rows, np.array([bool(line[-1]) for page in LABELLED for line in page]))
 
 
 def main_text(page: str | None, tree: Tree | None = None) -> str:

@@ -59,11 +59,48 @@ def test_blocks_count_words_and_links():
 
 def test_tree_fits_its_table():
     for page in html_blocks.LABELLED:
-        found = [html_blocks.Block("", n, d, p, h, i) for n, d, p, i, h, _ in page]
-        predicted = html_blocks.trained().predict(html_blocks.describe(found))
+        predicted = html_blocks.trained().predict(html_blocks.describe(html_blocks.labelled(page)))
         assert predicted.tolist() == [bool(line[-1]) for line in page]
 
 
+def test_tree_decides_by_words_links_and_neighbours():
+    tree = html_blocks.trained()
+    used = {html_blocks.FEATURES[f] for f in tree.feature if f >= 0}
+    assert {"words", "link density"} <= used
+    assert used & {"words before", "words after"}
+    texts = [f for f in tree.feature if 0 <= f < html_blocks.HINTS]
+    assert len(texts) > sum(f >= html_blocks.HINTS for f in tree.feature)
+
+
+LONG_1 = "The river rose by two metres during the night, and by the morning the lower fields were under water."
+LONG_2 = "Farmers had moved their cattle to the hills the day before, after a warning that few of them had believed at first."
+LONG_3 = "Nobody was hurt, but the road to the village will stay closed until the end of the week, the council said."
+
+UNMARKED = [
+    # comments that are articles themselves
+    (f"<article><h1>Flood</h1><p>{LONG_1}</p></article><ol class='comment-list'><li><article class='comment-body'>"
+     f"<p>{LONG_2}</p></article></li></ol>", ["Flood", LONG_1]),
+    (f"<article><p>{LONG_1}</p></article><section class='comments'><article><p>{LONG_2}</p></article></section>", [LONG_1]),
+    # names that only look like those of parts
+    (f"<article><div class='form-factor'>{LONG_1}</div><p class='share-price'>Up.</p><div class='social-policy'>{LONG_2}"
+     f"</div><p class='intro search-results'>{LONG_3}</p></article>", [LONG_1, "Up.", LONG_2, LONG_3]),
+    # no names at all
+    ("<p>Home</p><p>About</p><p>Contact</p>", []),
+    (f"<p>Home</p><p>About</p><p>Contact</p><h1>Flood in the valley</h1><p>{LONG_1}</p><p>{LONG_2}</p><p>{LONG_3}</p>"
+     "<p>© 2024 Example Media</p>", ["Flood in the valley", LONG_1, LONG_2, LONG_3]),
+    (f"<div>{LONG_1}</div><div>Save 20 % on boots today</div><div>{LONG_2}</div><div><a href=x>Read more stories</a></div>",
+     [LONG_1, LONG_2]),
+    (f"<ul><li><a href=a>News</a><li><a href=b>Sport</a></ul><div>{LONG_1}<br>{LONG_2}</div><h3>More</h3><ul><li>"
+     "<a href=c>Storm on the coast</a></ul>", [f"{LONG_1} {LONG_2}"]),
+    (f"<div>{LONG_3}</div>", [LONG_3]),
+]
+
+
+@pytest.mark.parametrize("page, texts", UNMARKED)
+def test_pages_that_do_not_name_their_parts(page, texts):
+    assert html_blocks.main_text(page) == "\n\n".join(texts)
+
+
 def test_pages_by_their_article_element(spark, sf_dir):
     """The given pages mark their article, so a plain reading of it is the expected text."""
     import html
