@@ -15,14 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.tables import slices, written
+from haulmark.llm.tables import fresh, remove, slices, written
 from haulmark.llm.text import codes, groups, mix64, owners, span_hashes, spans
 
 _WHITE = " \t\n\x0b\x0c\r"
@@ -265,21 +264,45 @@ def links_between(
     return found
 
 
-def _in_blocks(members: DataFrame, texts: DataFrame, config: DedupConfig) -> DataFrame:
+def spanning(found: list[tuple[int, int]], label: np.ndarray) -> list[tuple[int, int]]:
+    """As few of the links as hold the same labels together."""
+    parent = list(range(int(label.max(initial=-1)) + 1))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for i, j in found:
+        x, y = top(int(label[i])), top(int(label[j]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append((i, j))
+    return kept
+
+
+def _in_blocks(
+    members: DataFrame, texts: DataFrame, config: DedupConfig, own_only: bool
+) -> DataFrame:
     """Links (a, b) between members (bucket, node, label) of different classes in a bucket.
 
-    A bucket is cut into blocks by a hash; two blocks of a bucket, or one with itself, are a
-    group of bounded size. Only links leave a group.
+    A bucket is cut into blocks by a hash; two blocks of a bucket, or (``own_only``) one with
+    itself, are a group of bounded size. From a group come the links that join its labels, one
+    fewer than labels at most, not all that were found.
     """
     sizes = members.groupBy("bucket").agg(
         F.ceil(F.count("*") / config.block_members).cast("int").alias("_blocks")
     )
     own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda x: x != F.col("_own"))
+    meets = F.array(F.col("_own")) if own_only else others
     placed = (
         members.join(sizes, "bucket")
         .withColumn("_own", own)
         .join(texts.withColumnRenamed("key", "node"), "node")
-        .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .withColumn("_with", F.explode(meets))
         .select(
             "bucket",
             F.least("_own", "_with").alias("_first"),
@@ -301,6 +324,7 @@ def _in_blocks(members: DataFrame, texts: DataFrame, config: DedupConfig) -> Dat
         found = []
         if len(names) > 1 and len(one) and len(other):
             found = links_between(group["plain"].to_pylist(), label, one, other, config)
+            found = spanning(found, label)
         ends = [sorted((nodes[i], nodes[j])) for i, j in found]
         return pa.table(
             {
@@ -316,7 +340,8 @@ def components(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node of each node's connected component.
 
     Each round a node takes the smallest label around it, then the label of that label, so
-    long paths shrink fast. Every round is written; only a count of changes is collected.
+    long paths shrink fast. Every round is written, and the one before it removed; only a
+    count of changes is collected.
     """
     both = written(
         edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
@@ -324,13 +349,14 @@ def components(edges: DataFrame) -> DataFrame:
         ),
         "edges",
     )
-    labels = written(
+    found = written(
         both.groupBy("node").agg(F.min("other").alias("label")).select(
-            "node", F.least("node", "label").alias("label")
+            "node", F.lit(None).cast(edges.schema["a"].dataType).alias("_old"), F.least("node", "label").alias("label")
         ),
         "labels",
     )
     while True:
+        labels = found.select("node", "label")
         around = (
             both.join(labels.select(F.col("node").alias("other"), "label"), "other")
             .groupBy("node")
@@ -345,20 +371,49 @@ def components(edges: DataFrame) -> DataFrame:
             )
             .select("node", "_old", F.least("label", "_far").alias("label"))
         )
-        found = written(jumped, "labels")
+        before, found = found, written(jumped, "labels")
+        remove(before)
         if found.filter(F.col("label") != F.col("_old")).limit(1).count() == 0:
+            remove(both)
             return found.select("node", "label")
-        labels = found.select("node", "label")
 
 
-def _classes(docs: DataFrame, config: DedupConfig) -> tuple[DataFrame, DataFrame]:
-    """The signed documents, and node, class_key of each node that has a link.
+def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels (node, label), a written table, with the classes that links (a, b) join made
+    one. Only links between classes count, one for each two of them, so components are those of
+    a small graph of classes, not of all links found so far."""
+    first = labels.select(F.col("node").alias("a"), F.col("label").alias("_one"))
+    second = labels.select(F.col("node").alias("b"), F.col("label").alias("_other"))
+    ends = (
+        links.join(first, "a")
+        .join(second, "b")
+        .filter(F.col("_one") != F.col("_other"))
+        .select(F.least("_one", "_other").alias("a"), F.greatest("_one", "_other").alias("b"))
+        .distinct()
+    )
+    between = written(ends, "between")
+    if between.limit(1).count() == 0:
+        remove(between)
+        return labels
+    classes = components(between).select(F.col("node").alias("label"), F.col("label").alias("_new"))
+    renamed = labels.join(classes, "label", "left").select(
+        "node", F.coalesce("_new", "label").alias("label")
+    )
+    found = written(renamed, "labels")
+    remove(labels, between)
+    return found
+
 
-    In each bucket the smallest node is compared with all others, then, where more than one
-    class is left, the largest node with those of other classes, and at last all pairs of
-    different classes that are left; in large buckets in blocks, inside tasks. So no pair of a
-    bucket is passed over unless its two are in one class already, and a group of copies that
-    falls into one class costs a comparison per member and not per pair.
+def _classes(docs: DataFrame, config: DedupConfig) -> tuple[DataFrame, DataFrame]:
+    """The signed documents, and node, class_key of each node that has a candidate.
+
+    First every node is compared with one other, the smallest of those it shares a bucket
+    with; this joins most copies by one link a node. Then, in each bucket that still holds
+    several classes, the smallest node is compared with those of other classes, then the
+    largest, and at last all pairs of different classes that are left; in large buckets in
+    blocks, inside tasks. So no pair of a bucket is passed over unless its two are in one class
+    already, and a group of copies that falls into one class costs a comparison per member
+    and not per pair.
     """
     signed = written(_sign(docs, config), "signed")
     members = signed.select(F.explode("bands").alias("bucket"), F.col("key").alias("node"))
@@ -370,12 +425,16 @@ def _classes(docs: DataFrame, config: DedupConfig) -> tuple[DataFrame, DataFrame
     shared = written(
         held.join(sizes.filter(F.col("low") != F.col("high")), "bucket"), "shared"
     )
-    nodes = shared.select("node").distinct()
+    remove(held)
+    # Of each node the smallest other one that is the first of a bucket; a node that is itself
+    # the first of all its buckets has none.
+    first_of = F.min(F.when(F.col("node") != F.col("low"), F.col("low"))).alias("first")
+    nearest = written(shared.groupBy("node").agg(first_of), "nearest")
     firsts = signed.groupBy("key").agg(
         F.min("doc_id").alias("_id"),
         F.coalesce(F.min_by("mark", "doc_id"), F.min("mark")).alias("_mark"),  # no id: any row
     )
-    wanted = nodes.join(firsts, nodes["node"] == firsts["key"]).select("key", "_id", "_mark")
+    wanted = nearest.join(firsts, nearest["node"] == firsts["key"]).select("key", "_id", "_mark")
     marked = docs.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     texts = written(
         marked.join(
@@ -385,60 +444,85 @@ def _classes(docs: DataFrame, config: DedupConfig) -> tuple[DataFrame, DataFrame
         .select("key", normal(F.col("text")).alias("plain")),
         "texts",
     )
-    links: list[DataFrame] = []
+    labels = written(nearest.select("node", F.col("node").alias("label")), "labels")
 
-    def check(pairs: DataFrame) -> None:
+    def joined(links: DataFrame) -> DataFrame:
+        """Labels after the links, which are written first and removed when they are used."""
+        found = written(links, "links")
+        after = joined_labels(labels, found)
+        remove(found)
+        return after
+
+    def verified(pairs: DataFrame) -> DataFrame:
         # Each pair once, smaller node first; a node with several equal rows has several texts.
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links.append(written(_verified(ordered.distinct(), texts, config).distinct(), "links"))
-
-    def all_links() -> DataFrame:
-        return reduce(DataFrame.unionByName, links)
+        return _verified(ordered.distinct(), texts, config).distinct()
 
-    def labelled() -> DataFrame:
-        """Members of the buckets that still hold more than one class."""
-        found = components(all_links())
-        known = shared.join(found, "node", "left").withColumn(
-            "label", F.coalesce("label", "node")
-        )
-        known = written(known, "labelled")
-        open_buckets = (
+    def still_open() -> DataFrame:
+        """Members of the buckets that hold more than one class."""
+        known = written(shared.join(labels, "node"), "labelled")
+        several = (
             known.groupBy("bucket")
             .agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
             .filter(F.col("_low") != F.col("_high"))
             .select("bucket")
         )
-        return known.join(open_buckets, "bucket")
-
-    check(
-        shared.filter(F.col("node") != F.col("low")).select(
-            F.col("low").alias("a"), F.col("node").alias("b")
+        left = written(known.join(several, "bucket"), "open")
+        remove(known)
+        return left
+
+    def against(left: DataFrame, end: str) -> DataFrame:
+        """Pairs of the bucket's smallest or largest node and each node of another class."""
+        of_end = left.filter(F.col("node") == F.col(end)).select(
+            "bucket", F.col("label").alias("_label")
         )
+        return (
+            left.join(of_end, "bucket")
+            .filter(F.col("label") != F.col("_label"))
+            .filter((F.lit(end) == "low") | (F.col("node") != F.col("low")))
+            .select(F.col(end).alias("a"), F.col("node").alias("b"))
+        )
+
+    tried = nearest.filter(F.col("first").isNotNull()).select(
+        F.col("first").alias("a"), F.col("node").alias("b")
     )
-    left = written(labelled(), "open")
-    of_high = left.filter(F.col("node") == F.col("high")).select(
-        "bucket", F.col("label").alias("_label")
-    )
-    check(
-        left.join(of_high, "bucket")
-        .filter((F.col("label") != F.col("_label")) & (F.col("node") != F.col("low")))
-        .select(F.col("high").alias("a"), F.col("node").alias("b"))
-    )
-    left = labelled().filter((F.col("node") != F.col("low")) & (F.col("node") != F.col("high")))
-    left = written(left.select("bucket", "node", "label"), "open")
-    members = left.groupBy("bucket").agg(F.count("*").alias("_members"))
-    counted = left.join(members, "bucket")
-    small = counted.filter(F.col("_members") <= config.pair_members)
-    other = small.select("bucket", F.col("node").alias("_node"), F.col("label").alias("_label"))
-    check(
-        small.join(other, "bucket")
-        .filter((F.col("label") != F.col("_label")) & (F.col("node") < F.col("_node")))
-        .select(F.col("node").alias("a"), F.col("_node").alias("b"))
-    )
-    large = counted.filter(F.col("_members") > config.pair_members).drop("_members")
-    links.append(written(_in_blocks(large, texts, config).distinct(), "links"))
-    final = components(all_links())
-    return signed, final.select("node", F.col("label").alias("class_key"))
+    def small_pairs(left: DataFrame) -> DataFrame:
+        small = inner(left).filter(F.col("_members") <= config.pair_members)
+        other = small.select("bucket", F.col("node").alias("_node"), F.col("label").alias("_label"))
+        return (
+            small.join(other, "bucket")
+            .filter((F.col("label") != F.col("_label")) & (F.col("node") < F.col("_node")))
+            .select(F.col("node").alias("a"), F.col("_node").alias("b"))
+        )
+
+    def inner(left: DataFrame) -> DataFrame:
+        """Members but for the smallest and the largest, with the number of them."""
+        rest = left.filter((F.col("node") != F.col("low")) & (F.col("node") != F.col("high")))
+        return rest.join(rest.groupBy("bucket").agg(F.count("*").alias("_members")), "bucket")
+
+    def blocks(left: DataFrame, own_only: bool) -> DataFrame:
+        large = inner(left).filter(F.col("_members") > config.pair_members)
+        return _in_blocks(large.select("bucket", "node", "label"), texts, config, own_only)
+
+    labels = joined(verified(tried))
+    # Blocks by themselves come first, where each text is sent once, then two by two those of
+    # buckets that hold several classes still.
+    for links in (
+        lambda left: verified(against(left, "low").join(tried, ["a", "b"], "left_anti")),
+        lambda left: verified(against(left, "high")),
+        lambda left: verified(small_pairs(left)),
+        lambda left: blocks(left, True).distinct(),
+        lambda left: blocks(left, False).distinct(),
+    ):
+        left = still_open()
+        nothing = left.limit(1).count() == 0
+        if not nothing:
+            labels = joined(links(left))
+        remove(left)
+        if nothing:
+            break
+    remove(nearest, shared, texts)
+    return signed, labels.select("node", F.col("label").alias("class_key"))
 
 
 def _keyed(docs: DataFrame, config: DedupConfig) -> DataFrame:
@@ -480,24 +564,25 @@ def deduplicated(docs: DataFrame, config: DedupConfig = DedupConfig()) -> DataFr
     Null ids come last. Documents without words all stay.
     """
     known = _keyed(docs, config)
+    own_id, own_mark, n_rows = (fresh(name, docs.columns) for name in ("_id", "_mark", "_rows"))
     order = F.struct(
         F.col("doc_id").isNull().alias("none"),
         F.col("doc_id").alias("id"),
         F.col("mark").alias("mark"),
     )
-    first = known.groupBy("class_key").agg(F.min(order).alias("_first"))
-    counts = known.groupBy("doc_id", "mark").agg(F.count("*").alias("_rows"))
+    first = known.groupBy("class_key").agg(F.min(order).alias("first"))
+    counts = known.groupBy("doc_id", "mark").agg(F.count("*").alias(n_rows))
     kept = (
-        first.select(F.col("_first.id").alias("_id"), F.col("_first.mark").alias("_mark"))
+        first.select(F.col("first.id").alias(own_id), F.col("first.mark").alias(own_mark))
         .join(
-            counts, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_mark") == F.col("mark"))
+            counts, F.col(own_id).eqNullSafe(F.col("doc_id")) & (F.col(own_mark) == F.col("mark"))
         )
-        .select("_id", "_mark", "_rows")
+        .select(own_id, own_mark, n_rows)
     )
     own = F.xxhash64(docs["text"])
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (own == kept["_mark"]))
-    single = rows.filter("_rows = 1")
-    twins = rows.filter("_rows > 1").dropDuplicates(["_id", "_mark"])
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept[own_id]) & (own == kept[own_mark]))
+    single = rows.filter(F.col(n_rows) == 1)
+    twins = rows.filter(F.col(n_rows) > 1).dropDuplicates([own_id, own_mark])
     wordless = docs.filter(~has_words(docs["text"]))
     columns = docs.columns
     return single.select(*columns).unionByName(twins.select(*columns)).unionByName(wordless)

@@ -23,7 +23,17 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    found = spark.read.schema(frame.schema).parquet(path)
+    found.written_at = path
+    return found
+
+
+def remove(*frames: DataFrame) -> None:
+    """Delete written tables that nothing reads any more: what came of them is written too."""
+    for frame in frames:
+        context = frame.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(frame.written_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def numbered(frame: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
