@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.llm.tables import numbered, written
+from haulmark.llm.tables import fresh, numbered, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 MOST = 3  # times its size that a source, and so a document, may be taken
@@ -103,19 +103,22 @@ def mixed(docs: DataFrame, seed: str = SEED) -> DataFrame:
     Decisions are tied to rows by doc_id and a hash of source and text. Rows that repeat
     share one sum of copies, so they are reduced to one row before they are repeated.
     """
-    row = F.xxhash64("source", "text").alias("_row")
+    own_id, own_row, key, n_copies, n_twins, copy = (
+        fresh(name, docs.columns) for name in ("_id", "_row", "_key", "_copies", "_twins", "_copy")
+    )
+    row = F.xxhash64("source", "text")
     size = n_words(F.col("text")).alias("size")
-    decided = _decided(docs.select("doc_id", "source", size, row), seed)
+    decided = _decided(docs.select("doc_id", "source", size, row.alias(own_row)), seed)
     taken = (
         decided.filter("copies > 0 or size > 0")
-        .groupBy("doc_id", "_row")
-        .agg(F.sum("copies").alias("_copies"), F.count("*").alias("_twins"))
-        .withColumnRenamed("doc_id", "_id")
-        .filter("_copies > 0")
+        .groupBy("doc_id", own_row)
+        .agg(F.sum("copies").alias(n_copies), F.count("*").alias(n_twins))
+        .withColumnRenamed("doc_id", own_id)
+        .filter(F.col(n_copies) > 0)
     )
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_row"))
-    rows = docs.withColumn("_key", row).join(taken, on)
-    single, twins = rows.filter("_twins = 1"), rows.filter("_twins > 1")
-    kept = single.unionByName(twins.dropDuplicates(["doc_id", "_key"]))
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
-    return kept.withColumn("_copy", copies).select(*docs.columns)
+    on = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_row))
+    rows = docs.withColumn(key, row).join(taken, on)
+    single, twins = rows.filter(F.col(n_twins) == 1), rows.filter(F.col(n_twins) > 1)
+    kept = single.unionByName(twins.dropDuplicates(["doc_id", key]))
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(n_copies)))
+    return kept.withColumn(copy, copies).select(*docs.columns)

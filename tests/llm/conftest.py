@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 SF_DIR = "/root/testdata/sf0.001"
 LONG = "word " * 60_000 + "end"
@@ -34,12 +35,21 @@ ODD_SCHEMA = (
 )
 
 
+CLASHES = ["_key", "_id", "_row", "_copies", "_twins", "_copy", "_mark", "_rows", "lang_pred", "predicted"]
+
+
 @pytest.fixture(scope="session")
 def odd(spark):
     """Nulls, empty and long texts, repeated rows, ids that repeat, clashing names."""
     return spark.createDataFrame(ODD_ROWS, ODD_SCHEMA)
 
 
+@pytest.fixture(scope="session")
+def clashing(odd):
+    """The odd rows with columns of the names that operators give to their own, all 5."""
+    return odd.withColumns({name: F.lit(5) for name in CLASHES})
+
+
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], ODD_SCHEMA)

@@ -87,6 +87,14 @@ def test_mixed_rows_follow_the_copies(spark, odd):
     assert mixing.mixed(odd).columns == odd.columns
 
 
+def test_mixed_keeps_columns_of_its_own_names(odd, clashing):
+    found = mixing.mixed(clashing)
+    assert found.columns == clashing.columns and found.dtypes == clashing.dtypes
+    taken = Counter((r["doc_id"], r["source"]) for r in found.collect())
+    assert taken == Counter((r["doc_id"], r["source"]) for r in mixing.mixed(odd).collect())
+    assert all(r["_key"] == r["_copies"] == r["_copy"] == 5 for r in found.collect())
+
+
 def test_mix_odd_cases(odd, empty):
     found = rows(mixing.mix(odd))
     assert len(found) == odd.count()

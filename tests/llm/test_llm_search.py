@@ -129,6 +129,37 @@ def test_near_duplicates_odd_cases(odd, empty):
     assert rows(near_dups.deduplicated(empty)) == []
 
 
+def test_deduplicated_keeps_columns_of_its_own_names(clashing):
+    kept = near_dups.deduplicated(clashing)
+    assert kept.columns == clashing.columns and kept.count() == 10
+    assert all(r["_id"] == r["_mark"] == r["_rows"] == 5 for r in kept.collect())
+
+
+def test_links_of_a_group_span_it():
+    """Any number of alike pairs of one group leave as one link fewer than labels."""
+    label = np.array([0, 1, 1, 2, 3, 4])
+    found = [(i, j) for i in range(5) for j in range(5) if label[i] != label[j]]
+    kept = near_dups.spanning(found, label)
+    assert len(kept) == 3 and set(kept) <= set(found)
+    assert near_dups.spanning([], np.zeros(0, np.int64)) == []
+
+
+def test_large_buckets(spark):
+    """Buckets beyond a block: chains of classes across blocks are all found."""
+    base = [f"w{i}" for i in range(100)]
+    texts = {}
+    for i in range(90):  # three groups that share much text, but less than the threshold
+        words = list(base)
+        for k in range(10):
+            words[(i % 3) * 30 + k * 2] = f"g{i % 3}{k}"
+        words[95] = f"own{i}"
+        texts[i] = " ".join(words)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    config = near_dups.DedupConfig(pair_members=4, block_members=16, bands=60, rows=2)
+    found = {r["doc_id"]: r["class_id"] for r in rows(near_dups.near_duplicates(frame, config))}
+    assert found == brute_classes(texts)
+
+
 # ---- exact top-k ---------------------------------------------------------------------
 
 
@@ -235,8 +266,8 @@ def test_clean_documents_stay(spark, documents):
     assert len(good - kept) <= 0.03 * len(good)
 
 
-def test_pipeline_odd_cases(spark, odd, empty):
-    for docs, n in ((odd, None), (empty, 0)):
+def test_pipeline_odd_cases(spark, odd, clashing, empty):
+    for docs, n in ((odd, None), (clashing, None), (empty, 0)):
         for _, stage in corpus_pipeline.STAGES:
             found = stage(spark, docs, SMALL)
             assert n is None or found.count() == n
