@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haulmark.plans.quality import details, gate, warehouse_tables
+from haulmark.plans.quality import gate, warehouse_details
 from haulmark.plans.training import TrainingConfig, train
 from haulmark.plans.warehouse import Warehouse
 from haulmark.sources.raw import FORMATS, raw_keys, read_keys
@@ -30,7 +30,7 @@ def load_step(
 
 def check_step(spark: SparkSession, warehouse_root: str, report_path: str) -> dict[str, bool]:
     """Write the report first, then stop if a critical check failed."""
-    measured = details(warehouse_tables(Warehouse(spark, warehouse_root)))
+    measured = warehouse_details(Warehouse(spark, warehouse_root))
     measured.coalesce(1).write.mode("overwrite").json(report_path)  # about twenty rows
     return gate(spark.read.schema(measured.schema).json(report_path))
 

@@ -1,58 +1,43 @@
 """KPI and scorecard queries over the warehouse.
 
-Where a grouping column sits in a dimension, the fact is reduced per foreign key first:
-the map side leaves one row per key and task, and the join then touches only those.
+Where a grouping column sits in a dimension, the fact is reduced per foreign key first. The
+measures per key are merged from the summaries that each load wrote; tables without such
+summaries are scanned, one row per key and task leaving the map side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.functions.metrics import exact_ratio, money, n_where, pct
+from haulmark.functions.metrics import exact_ratio, money, pct
+from haulmark.plans.summaries import measured
 from haulmark.plans.warehouse import Warehouse
 
 
-def _on_time() -> Column:
-    return n_where(F.col("status") == "on_time")
+def _measured(wh: Warehouse, key: str) -> DataFrame:
+    """Additive measures per value of a key column: the input of every roll-up below."""
+    summary = wh.summary(key) if hasattr(wh, "summary") else None
+    return measured(wh.table("fact_shipments"), key) if summary is None else summary
 
 
 def kpi_summary(wh: Warehouse) -> DataFrame:
-    late = F.col("is_delayed")
-    totals = wh.table("fact_shipments").agg(
-        F.count("*").alias("n"),
-        _on_time().alias("on_time"),
-        n_where(F.col("status") == "failed").alias("failed"),
-        F.sum(F.when(late, F.col("delay_minutes"))).alias("late_minutes"),
-        F.count(F.when(late, F.col("delay_minutes"))).alias("late"),
-        F.sum("cost_usd").alias("cost"),
-        F.count("cost_usd").alias("priced"),
+    names = ["n", "on_time", "failed", "late_minutes", "late_timed", "cost", "priced"]
+    sums = [F.sum(name).alias(name) for name in names]
+    totals = _measured(wh, "status").agg(*sums).withColumns(
+        {name: F.coalesce(name, F.lit(0)) for name in ("n", "on_time", "failed")}
     )
     c = F.col
     return totals.select(
         c("n").alias("total_shipments"),
         pct(c("on_time"), c("n")).alias("on_time_rate_pct"),
-        exact_ratio(c("late_minutes"), c("late"), 1).alias("avg_delay_minutes"),
+        exact_ratio(c("late_minutes"), c("late_timed"), 1).alias("avg_delay_minutes"),
         F.round(money(c("cost")), 2).alias("total_revenue_usd"),
         exact_ratio(c("cost"), c("priced"), 2).alias("avg_cost_usd"),
         pct(c("failed"), c("n")).alias("failure_rate_pct"),
     )
 
 
-def _per_key(wh: Warehouse, key: str) -> DataFrame:
-    """Additive measures per foreign key: the input of every roll-up below."""
-    return (
-        wh.table("fact_shipments")
-        .groupBy(key)
-        .agg(
-            F.count("*").alias("n"),
-            _on_time().alias("on_time"),
-            F.sum("cost_usd").alias("cost"),
-            F.count("cost_usd").alias("priced"),
-        )
-    )
-
-
 def _roll_up(per_key: DataFrame, *groups: str) -> DataFrame:
     measures = ["n", "on_time", "cost", "priced"]
     return per_key.groupBy(*groups).agg(*[F.sum(name).alias(name) for name in measures])
@@ -60,7 +45,7 @@ def _roll_up(per_key: DataFrame, *groups: str) -> DataFrame:
 
 def kpi_by_month(wh: Warehouse) -> DataFrame:
     c = F.col
-    joined = _per_key(wh, "date_id").join(wh.dimension("dim_date"), "date_id")
+    joined = _measured(wh, "date_id").join(wh.dimension("dim_date"), "date_id")
     return (
         _roll_up(joined, "year", "month", "month_name")
         .select(
@@ -77,7 +62,7 @@ def kpi_by_month(wh: Warehouse) -> DataFrame:
 
 def kpi_by_region(wh: Warehouse) -> DataFrame:
     c = F.col
-    joined = _per_key(wh, "route_id").join(wh.dimension("dim_route"), "route_id")
+    joined = _measured(wh, "route_id").join(wh.dimension("dim_route"), "route_id")
     return (
         _roll_up(joined, "region")
         .select(
@@ -93,7 +78,7 @@ def kpi_by_region(wh: Warehouse) -> DataFrame:
 def driver_scorecard(wh: Warehouse) -> DataFrame:
     """Every driver; one without shipments counts as zero shipments, zero percent on time."""
     c = F.col
-    per_driver = _per_key(wh, "driver_id")
+    per_driver = _measured(wh, "driver_id")
     total = F.coalesce(c("n"), F.lit(0))
     return (
         wh.table("dim_driver")
@@ -114,7 +99,7 @@ def driver_scorecard(wh: Warehouse) -> DataFrame:
 def route_scorecard(wh: Warehouse) -> DataFrame:
     """Every route; one without shipments has no average cost."""
     c = F.col
-    per_route = _per_key(wh, "route_id")
+    per_route = _measured(wh, "route_id")
     return (
         wh.table("dim_route")
         .join(per_route, "route_id", "left")
@@ -134,18 +119,11 @@ def route_scorecard(wh: Warehouse) -> DataFrame:
 def weather_impact(wh: Warehouse) -> DataFrame:
     c = F.col
     return (
-        wh.table("fact_shipments")
-        .groupBy("weather_condition")
-        .agg(
-            F.count("*").alias("shipments"),
-            n_where(c("is_delayed")).alias("late"),
-            F.sum("delay_minutes").alias("minutes"),
-            F.count("delay_minutes").alias("timed"),
-        )
+        _measured(wh, "weather_condition")
         .select(
             "weather_condition",
-            "shipments",
-            pct(c("late"), c("shipments")).alias("delay_rate_pct"),
+            c("n").alias("shipments"),
+            pct(c("late"), c("n")).alias("delay_rate_pct"),
             exact_ratio(c("minutes"), c("timed"), 1).alias("avg_delay_min"),
         )
         .orderBy(F.desc_nulls_first("delay_rate_pct"), "weather_condition")

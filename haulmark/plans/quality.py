@@ -7,21 +7,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haulmark.functions.conditions import LATE_AFTER, STATUSES
+from haulmark.functions.conditions import STATUSES
 from haulmark.functions.metrics import n_where
+from haulmark.plans.summaries import NON_NEGATIVE, measured
 from haulmark.plans.warehouse import Warehouse
 from haulmark.schemas import TABLES
 
 # Checks that stop the pipeline, and the columns each check looks at.
 CRITICAL = ["row_counts", "null_foreign_keys", "orphan_records"]
-FOREIGN_KEYS = ["customer_id", "driver_id", "vehicle_id", "route_id", "date_id"]
 ORPHAN_CHECKED = {
     "customer_id": "dim_customer",
     "driver_id": "dim_driver",
     "vehicle_id": "dim_vehicle",
     "route_id": "dim_route",
 }
-NON_NEGATIVE = ["cost_usd", "weight_kg", "distance_km", "fuel_consumed_liters"]
 MIN_RATING, MAX_RATING = 1.0, 5.0
 
 
@@ -42,24 +41,15 @@ def _result(counts: DataFrame, check: str, detail: Column, violations: Column) -
     )
 
 
-def _fact_checks(fact: DataFrame) -> DataFrame:
-    """Row count, NULL keys, bad statuses, negatives and delay flags in one fact scan.
+def _fact_checks(per_status: DataFrame) -> DataFrame:
+    """Row count, NULL keys, bad statuses, negatives and delay flags from measures per status.
 
-    Counts are kept per status: few groups, formed before the shuffle, and the number of
-    distinct bad statuses is then a count of groups instead of a distinct aggregate.
+    Statuses are few, and the number of distinct bad ones is then a count of groups instead of
+    a distinct aggregate.
     """
     c = F.col
-    no_key = reduce(lambda a, b: a | b, [c(key).isNull() for key in FOREIGN_KEYS])
-    flag_off = (c("is_delayed") & (c("delay_minutes") <= LATE_AFTER)) | (
-        ~c("is_delayed") & (c("delay_minutes") > LATE_AFTER)
-    )
-    per_status = fact.groupBy("status").agg(
-        F.count("*").alias("rows"),
-        n_where(no_key).alias("no_key"),
-        n_where(flag_off).alias("flag_off"),
-        *[n_where(c(name) < 0).alias(name) for name in NON_NEGATIVE],
-    )
-    summed = ["rows", "no_key", "flag_off", *NON_NEGATIVE]
+    negative = [f"negative_{name}" for name in NON_NEGATIVE]
+    summed = ["n", "no_key", "flag_off", *negative]
     totals = per_status.agg(
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in summed],
         n_where(~c("status").isin(STATUSES)).alias("bad_status"),
@@ -74,10 +64,10 @@ def _fact_checks(fact: DataFrame) -> DataFrame:
         )
 
     entries = [
-        entry("row_counts", "fact_shipments", (c("rows") == 0).cast("int")),
+        entry("row_counts", "fact_shipments", (c("n") == 0).cast("int")),
         entry("null_foreign_keys", "fact_shipments", c("no_key")),
         entry("invalid_status", "distinct values", c("bad_status")),
-        *[entry("negative_values", name, c(name)) for name in NON_NEGATIVE],
+        *[entry("negative_values", name, c(f"negative_{name}")) for name in NON_NEGATIVE],
         entry("delay_consistency", "fact_shipments", c("flag_off")),
     ]
     return totals.select(F.inline(F.array(*entries)))
@@ -102,7 +92,11 @@ def lost_references(tables: dict[str, DataFrame]) -> DataFrame:
         for key in ORPHAN_CHECKED
     ]
     used = fact.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
-    per_key = used.groupBy("foreign_key", "id").agg(F.count("*").alias("n"))
+    return _lost(used.groupBy("foreign_key", "id").agg(F.count("*").alias("n")), tables)
+
+
+def _lost(per_key: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """foreign_key, n: how many of the counted references (foreign_key, id, n) are unknown."""
     known = reduce(
         DataFrame.unionByName,
         [
@@ -111,7 +105,7 @@ def lost_references(tables: dict[str, DataFrame]) -> DataFrame:
         ],
     )
     lost = per_key.join(known, ["foreign_key", "id"], "left_anti").select("foreign_key", "n")
-    none = fact.sparkSession.createDataFrame(
+    none = per_key.sparkSession.createDataFrame(
         [(key, 0) for key in ORPHAN_CHECKED], "foreign_key string, n bigint"
     )
     return lost.unionByName(none).groupBy("foreign_key").agg(F.sum("n").alias("n"))
@@ -135,24 +129,44 @@ def duplicate_shipments(fact: DataFrame) -> DataFrame:
 def details(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per measured detail: check_name, detail, critical, violations, passed."""
     fact = tables["fact_shipments"]
-    parts = [_fact_checks(fact)]
+    combos = duplicate_shipments(fact).agg(F.count("*").alias("n"))
+    return _details(measured(fact, "status"), lost_references(tables), combos, tables)
+
+
+def warehouse_details(wh: Warehouse) -> DataFrame:
+    """As :func:`details` of the warehouse's tables, from what its loads have summed up: no
+    fact is read. Loads of an older version, without summaries, have their facts scanned."""
+    tables = warehouse_tables(wh)
+    per_status = wh.summary("status")
+    if per_status is None:
+        return details(tables)
+    used = [
+        wh.summary(key).select(F.lit(key).alias("foreign_key"), F.col(key).alias("id"), "n")
+        for key in ORPHAN_CHECKED
+    ]
+    lost = _lost(reduce(DataFrame.unionByName, used), tables)
+    return _details(per_status, lost, wh.repeated_pickup_count(), tables)
+
+
+def _details(
+    per_status: DataFrame, lost: DataFrame, combos: DataFrame, tables: dict[str, DataFrame]
+) -> DataFrame:
+    parts = [_fact_checks(per_status)]
     for name, table in tables.items():
         if name != "fact_shipments":
             empty = table.limit(1).agg((F.count("*") == 0).cast("int").alias("n"))
             parts.append(_result(empty, "row_counts", F.lit(name), F.col("n")))
-    lost = lost_references(tables)
     parts.append(_result(lost, "orphan_records", F.col("foreign_key"), F.col("n")))
     rating = F.col("rating")
     out_of_range = tables["dim_driver"].agg(
         n_where((rating < MIN_RATING) | (rating > MAX_RATING)).alias("n")
     )
     parts.append(_result(out_of_range, "driver_ratings", F.lit("dim_driver"), F.col("n")))
-    combos = duplicate_shipments(fact).agg(F.count("*").alias("n"))
     parts.append(
         _result(combos, "duplicate_shipments", F.lit("customer_id, scheduled_pickup"), F.col("n"))
     )
-    measured = reduce(lambda a, b: a.unionByName(b), parts)
-    return measured.withColumn("passed", F.col("violations") == 0)
+    found = reduce(lambda a, b: a.unionByName(b), parts)
+    return found.withColumn("passed", F.col("violations") == 0)
 
 
 def report(measured: DataFrame) -> DataFrame:

@@ -12,8 +12,6 @@ from __future__ import annotations
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -24,6 +22,7 @@ from haulmark.functions.calendar import calendar_columns
 from haulmark.operators.first_wins import first_attributes, first_rows
 from haulmark.operators.keyed import absent, fits, sized
 from haulmark.operators.surrogate import numbered, stage_in_order
+from haulmark.plans import summaries
 from haulmark.plans.contract import conform, enforced, require_contract
 from haulmark.schemas import FACT_SHIPMENTS, SHIPMENT_KEYS, TABLES, ddl
 from haulmark.sources.objects import ObjectStore
@@ -79,7 +78,13 @@ ROUTE = Dimension(
 DIMENSIONS = [CUSTOMER, DRIVER, VEHICLE, ROUTE]
 
 KEYS_TABLE = "shipment_keys"
-_SCHEMAS = TABLES | {KEYS_TABLE: SHIPMENT_KEYS}
+SUMMARY_TABLE, PICKUPS_TABLE, REPEATED_TABLE = "fact_summary", "pickups", "pickups_repeated"
+_SCHEMAS = TABLES | {
+    KEYS_TABLE: SHIPMENT_KEYS,
+    SUMMARY_TABLE: summaries.SUMMARY,
+    PICKUPS_TABLE: summaries.PICKUPS,
+    REPEATED_TABLE: summaries.REPEATED,
+}
 _NATURAL_KEYS = {d.table: list(d.keys) for d in DIMENSIONS} | {
     "dim_date": ["full_date"],
     KEYS_TABLE: ["source_shipment_id"],
@@ -88,7 +93,7 @@ _ID_COLUMNS = {d.table: d.id_column for d in DIMENSIONS} | {
     "dim_date": "date_id",
     KEYS_TABLE: "shipment_id",
 }
-REFERENCES = [*(d.id_column for d in DIMENSIONS), "date_id"]
+REFERENCES = summaries.REFERENCES
 FILE_ROWS = 1_000_000  # ids a task writes, in a file for each year
 _COMMITS = "_commits"
 _STAGING = "_staging"
@@ -175,6 +180,30 @@ class Warehouse:
         wanted = files.filter(F.col("load_id").isin(loads) & (ids >= low) & (ids <= high))
         return wanted.drop("load_id")
 
+    def summary(self, key: str) -> DataFrame | None:
+        """Measures per value of a key column, merged from the loads' summaries; None if a load
+        of an older version left none."""
+        commit = self.commit()
+        if not commit.get("summarised"):
+            return None
+        return summaries.merged(self._committed(SUMMARY_TABLE, commit["load_id"]), key)
+
+    def repeated_pickups(self) -> DataFrame | None:
+        """Customer and pickup-time combinations that occur more than once, as far as loads
+        have noted them; None as for :meth:`summary`."""
+        commit = self.commit()
+        if not commit.get("summarised"):
+            return None
+        tables = (self._committed(n, commit["load_id"]) for n in (PICKUPS_TABLE, REPEATED_TABLE))
+        return summaries.repeated_pickups(*tables)
+
+    def repeated_pickup_count(self) -> DataFrame | None:
+        commit = self.commit()
+        if not commit.get("summarised"):
+            return None
+        again = self._committed(REPEATED_TABLE, commit["load_id"])
+        return again.distinct().agg(F.count("*").alias("n"))
+
     def dimension(self, name: str) -> DataFrame:
         """A dimension for joining, marked for broadcast if its committed size allows."""
         commit = self.commit()
@@ -222,6 +251,7 @@ class Warehouse:
             "rows": dict(before["rows"]),
             "last_id": {},
             "spans": list(before.get("spans", [])),
+            "summarised": before["load_id"] == 0 or before.get("summarised", False),
         }
 
         sources = {d.table: dimension_rows(raw, d) for d in DIMENSIONS}
@@ -314,12 +344,24 @@ class Warehouse:
         )
         schema = ddl(FACT_SHIPMENTS | {"pickup_year": "int"})
         stored = self.spark.read.schema(schema).parquet(target)
-        known = reduce(and_, [F.col(key).isNotNull() for key in REFERENCES])
-        by_status = stored.groupBy(F.coalesce("status", F.lit("")).alias("status")).agg(
-            F.count("*").alias("rows"), F.count(F.when(known, 1)).alias("listed")
-        ).collect()  # a row per status, of which there are few
-        listed = {r["status"]: r["listed"] for r in by_status}
-        return sum(r["rows"] for r in by_status), listed
+        return self._summarise(stored, load_id)
+
+    def _summarise(self, stored: DataFrame, load_id: int) -> tuple[int, dict[str, int]]:
+        """Write the summaries of a load's facts; its rows, and listed rows by status."""
+
+        def write(name: str, rows: DataFrame) -> DataFrame:
+            target = f"{self.root}/{name}/load_id={load_id}"
+            rows.write.mode("overwrite").parquet(target)
+            return self.spark.read.schema(ddl(_SCHEMAS[name])).parquet(target)
+
+        summary = write(SUMMARY_TABLE, summaries.summarise(stored))
+        by_status = summary.filter("key = 'status'").select("label", "n", "listed").collect()
+        pickups = write(PICKUPS_TABLE, summaries.combinations(stored))
+        known = self._read(PICKUPS_TABLE, load_id - 1)
+        again = summaries.repeated(pickups, known, pickups.count())  # counted from footers
+        write(REPEATED_TABLE, again)
+        listed = {r["label"] or "": r["listed"] for r in by_status}  # statuses are few
+        return sum(r["n"] for r in by_status), listed
 
     def _resolve(
         self,

@@ -126,6 +126,17 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "lake", build)
 
 
+def mixed_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Name of the catalog view over the runs of two writers."""
+
+    def build(root: str) -> str:
+        table = "mixed_" + sf_dir.strip("/").replace("/", "_").replace(".", "_").replace("-", "_")
+        register_lake(spark, mixed_root(spark, sf_dir), table)
+        return table
+
+    return once(spark, sf_dir, "lake_mixed", build)
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """All raw runs in one load."""
 

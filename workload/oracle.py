@@ -770,5 +770,19 @@ ORACLE["quality_gate"] = " UNION ALL ".join(
 )
 
 
+for _name in ("kpi_summary", "kpi_by_month", "kpi_by_region", "weather_impact"):
+    ORACLE[f"{_name}_grown"] = ORACLE[_name]
+for _name, _id in (("driver_scorecard", "driver_id"), ("route_scorecard", "route_id")):
+    ORACLE[f"{_name}_grown"] = f"SELECT * EXCLUDE ({_id}) FROM ({ORACLE[_name]})"
+ORACLE["quality_report_grown"] = ORACLE["quality_report_clean"]
+ORACLE["duplicate_shipments_grown"] = f"""
+  SELECT company_name, scheduled_pickup, shipments
+  FROM ({ORACLE["duplicate_shipments"]}) JOIN dim_customer USING (customer_id)"""
+ORACLE["explorer_newest"] = f"""
+  SELECT {EXPLORER} FROM star ORDER BY full_date DESC, shipment_id LIMIT 500 OFFSET 1000"""
+ORACLE["lake_weather_mixed"] = ORACLE["lake_weather"]
+ORACLE["lake_traffic_mixed"] = ORACLE["lake_traffic"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_tables(sql) for name, sql in ORACLE.items()}

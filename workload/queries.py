@@ -181,6 +181,8 @@ _on_warehouse("shipment_page_after", star.shipments_after, last_id=1_000, limit=
 _on_warehouse("shipment_detail", star.shipment_detail, shipment_id=4_242)
 _on_warehouse("raw_explorer", lambda wh: star.explorer(star.extract(wh)))
 
+_on_warehouse("explorer_newest", star.newest, limit=500, offset=1_000)
+
 # ---- KPIs ----------------------------------------------------------------------------
 
 for _plan in (
@@ -193,6 +195,26 @@ for _plan in (
 ):
     _on_warehouse(_plan.__name__, _plan)
 
+
+
+def _after_three_loads(name: str, plan: Callable[..., DataFrame]) -> None:
+    """From the summaries of three loads."""
+    QUERIES[f"{name}_grown"] = lambda spark, sf_dir: plan(built.grown_warehouse(spark, sf_dir)[0])
+
+
+for _plan in (kpis.kpi_summary, kpis.kpi_by_month, kpis.kpi_by_region, kpis.weather_impact):
+    _after_three_loads(_plan.__name__, _plan)
+# Numbers given by several loads differ from those of one.
+_after_three_loads("driver_scorecard", lambda wh: kpis.driver_scorecard(wh).drop("driver_id"))
+_after_three_loads("route_scorecard", lambda wh: kpis.route_scorecard(wh).drop("route_id"))
+_after_three_loads("quality_report", quality.warehouse_details)
+_after_three_loads(
+    "duplicate_shipments",
+    lambda wh: wh.repeated_pickups()
+    .join(wh.table("dim_customer"), "customer_id")
+    .select("company_name", "scheduled_pickup", "shipments"),
+)
+
 # ---- gaps: idle drivers and routes, unknown references and values -----------------------
 
 
@@ -293,6 +315,17 @@ def lake_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake_plans.delay_by_weather(spark, built.lake(spark, sf_dir))
 
 
+@query
+def lake_weather_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over the runs of two writers, whose columns differ in type."""
+    return lake_plans.delay_by_weather(spark, built.mixed_lake(spark, sf_dir))
+
+
+@query
+def lake_traffic_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake_plans.delay_by_traffic(spark.table(built.mixed_lake(spark, sf_dir)))
+
+
 @query
 def lake_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake_plans.delay_by_traffic(spark.table(built.lake(spark, sf_dir)))
