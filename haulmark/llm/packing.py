@@ -20,6 +20,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 from itertools import chain, repeat
 
 import numpy as np
@@ -154,6 +155,12 @@ class Encoder:
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
+@cache
+def encoder(tokenizer: str) -> Encoder:
+    """One for a worker process: what it remembers, which is bounded, serves later tasks."""
+    return Encoder(tokenizer)
+
+
 def token_pieces(
     docs: DataFrame, config: PackConfig = PackConfig(), with_ids: bool = False
 ) -> DataFrame:
@@ -168,12 +175,12 @@ def token_pieces(
     size = config.size
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(config.tokenizer)
+        encode = encoder(config.tokenizer).encode
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
             row, start, length, check, kept = [], [], [], [], []
             for first, group in groups(texts):
-                for i, ids in enumerate(encoder.encode(group), first):
+                for i, ids in enumerate(encode(group), first):
                     ids = np.append(ids, np.uint32(END)).astype("<u4")
                     for a in range(0, len(ids), size):
                         part = ids[a : a + size]
