@@ -29,6 +29,7 @@ from haulmark.llm.tables import numbered, slices, written
 from haulmark.llm.text import codes, groups, owners, span_hashes, spans
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOOK_TASKS = 4
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -36,7 +37,7 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 class SearchConfig:
     k: int = 50
     block_terms: int = 50_000  # terms of a block of items; an item with more is a block alone
-    first_look: int = 8_192  # documents, by hash, that give the first thresholds
+    first_look: int = 8_192  # documents, about, that give the first thresholds
     cells: int = 16_000_000  # of a group of documents: their number times the block's terms
     fan: int = 8  # children of a node
     item_leaf: int = 4
@@ -408,7 +409,10 @@ def ranked(
         sorted_vectors = [np.array(sorted(v), np.int64) for v in vectors]
         block = Block(sorted_vectors, weight, n_docs, n_terms, None, config)
         some = counted.filter(F.size("terms") > 0)
-        look = some.orderBy(F.xxhash64("doc_id", "terms", "times")).limit(config.first_look)
+        # About ``first_look`` documents by hash, whatever the size of the table.
+        share = min(1.0, config.first_look / max(1, n_docs))
+        drawn = F.pmod(F.xxhash64("doc_id", "terms", "times"), F.lit(1 << 40)) < int(share * (1 << 40))
+        look = some.filter(drawn).repartition(_LOOK_TASKS)
         least = np.zeros(len(vectors), np.int64)
         kth = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("score")))
         first = _searched(look, block).withColumn("_kth", kth).filter(F.col("_kth") == config.k)
