@@ -2,8 +2,9 @@
 
 Words are runs of letters and digits, and runs of other visible characters. Features are
 single words and pairs of neighbours, hashed to a fixed number of slots; a word followed by itself
-counts as one and the same pair, whatever the word. A document's vector is the counts over
-the root of their number. Scoring is a sparse dot product.
+counts as one and the same pair, whatever the word, as repetition is a mark of poor text in any
+vocabulary. A document's vector is the counts over the root of their number. Scoring is a
+sparse dot product.
 """
 
 from __future__ import annotations
@@ -120,8 +121,10 @@ def train(
     """Average of the learners, each fitted to its share of the labelled sample.
 
     Rows with a label, of documents not held out; at most ``sample_rows`` of each class, by
-    a hash of their id. A document with several labels has their mean, rounded. The rarer
-    class goes to every learner, as marks that few documents bear would be thinned out by
+    a hash of their id. An id with several labels has their mean, rounded; one with several
+    rows stands with the text of the smallest hash, so that copies of an id are one row before
+    anything is gathered. Null texts count as empty. Without labels, or with none but held-out
+    ones, the model scores 0.5. The rarer class goes to every learner, as marks that few documents bear would be thinned out by
     averaging; the other is dealt out. A learner's non-zero weights come back as rows.
     """
     once = (
@@ -136,25 +139,29 @@ def train(
         own = own.orderBy(drawn, "doc_id").limit(config.sample_rows)
         sample = own if sample is None else sample.unionByName(own)
     # Bounded by twice sample_rows narrow rows, whatever the tables hold.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    met = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    one = F.min_by(F.coalesce("text", F.lit("")), F.xxhash64("text")).alias("text")
+    chosen = met.groupBy("doc_id", "_label").agg(one)
     counts = {row["_label"]: row["count"] for row in sample.groupBy("_label").count().collect()}
     rarer = min((0, 1), key=lambda label: counts.get(label, 0))
     dealt = F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(config.shards)).cast("int")
     every = F.sequence(F.lit(0), F.lit(config.shards - 1))
     shard = F.explode(F.when(F.col("_label") == rarer, every).otherwise(F.array(dealt)))
 
-    def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["order", "doc_id", "text"], kind="stable")
-        weights, bias = fit(rows["text"].fillna("").tolist(), rows["_label"].tolist(), config)
+    def learn(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [part for part in parts if len(part)]
+        if not parts:
+            return
+        rows = pd.concat(parts).sort_values(["order", "doc_id"], kind="stable")
+        weights, bias = fit(rows["text"].tolist(), rows["_label"].tolist(), config)
         at = np.flatnonzero(weights)
-        return pd.DataFrame(
-            {"slot": np.append(at, -1), "weight": np.append(weights[at], bias)}
-        )
+        yield pd.DataFrame({"slot": np.append(at, -1), "weight": np.append(weights[at], bias)})
 
+    # A task for each learner, by number: its rows are a bounded sample.
     learned = (
         chosen.select("doc_id", "text", "_label", drawn.alias("order"), shard.alias("shard"))
-        .groupBy("shard")
-        .applyInPandas(learn, "slot int, weight double")
+        .repartitionById(config.shards, F.col("shard"))
+        .mapInPandas(learn, "slot int, weight double")
     )
     table = learned.toPandas()
     learners = max(1, int((table["slot"] == -1).sum()))

@@ -401,3 +401,15 @@ def test_threshold_column(spark, odd):
     model = quality.QualityModel(np.zeros(1 << 18, np.float32), -5.0, quality.QualityConfig())
     low = quality.score(odd, model, ["doc_id"]).agg(F.max("predicted")).first()[0]
     assert low == 0
+
+
+def test_quality_learns_from_one_row_of_an_id(spark):
+    """Any number of rows of one id count as one row, whatever their order."""
+    texts = [(n, f"fine words number {n} in a row" if n % 3 else f"BUY NOW {n} !!!") for n in range(1, 120)]
+    labels = spark.createDataFrame([(n, int(n % 3 > 0)) for n, _ in texts], "doc_id long, quality int")
+    plain = spark.createDataFrame(texts, "doc_id long, text string")
+    copies = plain.filter("doc_id <= 3").crossJoin(spark.range(300)).drop("id")
+    one, many = (quality.train(d, labels) for d in (plain, plain.unionByName(copies)))
+    assert np.array_equal(one.weights, many.weights) and one.bias == many.bias
+    model = quality.train(plain, labels.limit(0))
+    assert quality.scores(["anything", ""], model).tolist() == [0.5, 0.5]
