@@ -9,18 +9,15 @@ what an earlier one wrote. One writer per table.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterator
 from functools import reduce
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
 from haulmark.operators.first_wins import first_rows
@@ -43,6 +40,7 @@ MAX_EVENT_TEXT = {
 TRIGGER = "10 seconds"
 QUARANTINE = {"message": "string", "reason": "string", "message_key": "string"}
 _SHARES = 64  # that equal messages are counted in
+_MERGED = 32  # reduced Arrow batches that are merged at a time
 _PARTITIONS = {"query_id": "string", "batch_id": "bigint"}
 
 
@@ -197,78 +195,62 @@ def row_numbers() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
     return numbered
 
 
-def first_in_batch(
-    order: list[str],
+def _first_of_each(rows: pa.Table, order: list[str]) -> pa.Table:
+    keys = [(name, "ascending") for name in ("event_id", *order)]
+    ranked = rows.take(pc.sort_indices(rows, sort_keys=keys)).combine_chunks()
+    ids = ranked.column("event_id")
+    if len(ids) < 2:
+        return ranked
+    new = pa.chunked_array([pa.array([True]), *pc.not_equal(ids[1:], ids[:-1]).chunks])
+    return ranked.filter(new).combine_chunks()
+
+
+def first_in_task(
+    order: list[str], whole: bool
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of each Arrow batch the first message of each id, so that a hot id is few rows."""
+    """The first message of each id: of each Arrow batch, so that a hot id is few rows before
+    a shuffle, or (``whole``) of all that a task reads of a micro-batch."""
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
-            keys = [(name, "ascending") for name in ("event_id", *order)]
-            ranked = batch.take(pc.sort_indices(batch, sort_keys=keys))
-            ids = ranked.column("event_id")
-            if len(ids):
-                new = pc.not_equal(ids[1:], ids[:-1])
-                ranked = ranked.filter(pa.array([True, *new.to_pylist()]))
-            yield ranked
+            held.append(_first_of_each(pa.Table.from_batches([batch]), order))
+            if not whole:
+                yield from held.pop().to_batches()
+            elif len(held) == _MERGED:
+                held = [_first_of_each(pa.concat_tables(held), order)]
+        if held:
+            yield from _first_of_each(pa.concat_tables(held), order).to_batches()
 
     return reduce
 
 
-def first_seen(order: list[str]) -> Callable:
-    """Gives an id's first message of a micro-batch, if the id was never met before.
-
-    The state of an id is the time it was met.
-    """
-
-    def step(
-        key: tuple, parts: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            return
-        first = None
-        for part in parts:
-            if first is not None:
-                part = pd.concat([first, part])
-            if len(part) > 1:
-                part = part.sort_values(order, kind="stable").iloc[:1]
-            first = part
-        state.update((time.time_ns() // 1000,))
-        yield first[["message"]]
-
-    return step
-
-
 def first_of_each_id(events: DataFrame) -> DataFrame:
     """Of a stream: the first event of each id, when its id is met first; and unusable ones.
 
-    The state store keeps an id and the time it was met, whatever the width of an event
-    (exact, unbounded, on disk with RocksDB), so a batch costs the same however large the
-    table has become. Only the message travels to its id; it is decoded again behind the
-    state. Copies are reduced in each task before the shuffle. Unusable messages, also those
-    without an id, leave no state.
+    The state store keeps ids alone, whatever the width of an event (exact, unbounded, on disk
+    with RocksDB), so a batch costs the same however large the table has become. Before that,
+    the copies of an id within a micro-batch are reduced to the one that arrived first: in
+    each task, and, dealt by id, over all tasks. Only the message travels; it is decoded again
+    behind the state. Unusable messages, also those without an id, leave no state.
     """
     schema = StructType([*events.schema.fields, StructField("source_row", LongType())])
     columns = schema.names
     events = events.mapInArrow(row_numbers(), schema).withColumn("_problem", _problem())
     order = arrival_order(events)
     narrow = events.filter(F.col("_problem").isNull()).select("event_id", "message", *order)
-    first = (
-        narrow.mapInArrow(first_in_batch(order), narrow.schema)
-        .groupBy("event_id")
-        .applyInPandasWithState(
-            first_seen(order), "message string", "met bigint", "update", GroupStateTimeout.NoTimeout
-        )
-    )
-    decoded = enrich(decode(first.withColumnRenamed("message", "value"))).drop("message")
-    first = decoded.select(
+    dealt = narrow.mapInArrow(first_in_task(order, False), narrow.schema).repartition("event_id")
+    first = dealt.mapInArrow(first_in_task(order, True), narrow.schema).select("event_id", "message")
+    new = first.dropDuplicates(["event_id"])  # one row an id and micro-batch: no choice is left
+    decoded = enrich(decode(new.select(F.col("message").alias("value")))).drop("message")
+    again = decoded.select(
         *[
             F.col(name) if name in decoded.columns else F.lit(None).cast(schema[name].dataType).alias(name)
             for name in columns
         ]
     )
     unusable = events.filter(F.col("_problem").isNotNull()).drop("_problem")
-    return first.unionByName(unusable)
+    return again.unionByName(unusable)
 
 
 def start_ingest(

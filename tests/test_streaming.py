@@ -14,7 +14,7 @@ from haulmark.streaming.events import decode, enrich
 from haulmark.streaming.sink import (
     EventTable,
     each_alike,
-    first_in_batch,
+    first_in_task,
     row_numbers,
     start_ingest,
 )
@@ -146,24 +146,28 @@ def test_equal_messages_are_numbered_from_counts(spark):
 
 
 def test_state_does_not_hold_events(spark, feed):
-    """An id's state is one number, however wide its event is."""
+    """The state is the id, however wide its event is."""
     feed.arrive(*[event(n, note="x" * 10_000 * (n % 2)) for n in range(20)])
     feed.run(stateful=True)
     state = spark.read.format("statestore").load(f"file:{feed.root}/checkpoint")
-    sizes = {len(json.dumps(json.loads(r[0]))) for r in state.select(F.to_json("value")).collect()}
-    assert state.count() == 20 and max(sizes) < 120
-    assert max(sizes) - min(sizes) <= 2
+    held = [json.loads(r[0]) for r in state.select(F.to_json(F.struct("key", "value"))).collect()]
+    assert sorted(r["key"]["event_id"] for r in held) == sorted(str(n) for n in range(20))
+    assert all(set(r["key"]) == {"event_id"} and len(json.dumps(r)) < 80 for r in held)
     assert feed.stored() == {str(n): 10.0 for n in range(20)}
 
 
-def test_first_of_each_id_in_an_arrow_batch():
+def test_first_of_each_id_in_a_task():
     batch = pa.record_batch(
         {"event_id": ["b", "a", "b", "a"], "message": ["1", "2", "3", "4"], "offset": [9, 5, 3, 7]}
     )
-    (found,) = first_in_batch(["offset"])(iter([batch]))
+    later = pa.record_batch({"event_id": ["a", "c"], "message": ["5", "6"], "offset": [1, 2]})
+    (found,) = first_in_task(["offset"], False)(iter([batch]))
     assert found.to_pydict() == {"event_id": ["a", "b"], "message": ["2", "3"], "offset": [5, 3]}
-    (none,) = first_in_batch(["offset"])(iter([batch.slice(0, 0)]))
-    assert none.num_rows == 0
+    parts = list(first_in_task(["offset"], True)(iter([batch] * 70 + [later])))
+    whole = pa.Table.from_batches(parts).to_pydict()
+    assert whole == {"event_id": ["a", "b", "c"], "message": ["5", "3", "6"], "offset": [1, 3, 2]}
+    assert sum(b.num_rows for b in first_in_task(["offset"], True)(iter([batch.slice(0, 0)]))) == 0
+    assert list(first_in_task(["offset"], True)(iter([]))) == []
 
 
 def test_crash_after_the_write_then_replay(feed, monkeypatch):
