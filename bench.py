@@ -24,6 +24,8 @@ ONCE = {
     "load_warehouse": built.warehouse,
     "stream_ingest": built.event_table,
     "stream_ingest_stateful": built.stateful_event_table,
+    "fit_logistic_full": built.logistic_model,
+    "fit_boosting_ten_rounds": built.boosted_model,
 }
 HEADLINE = [
     "raw_scan_lineage",
@@ -32,6 +34,7 @@ HEADLINE = [
     "shipment_page_deep",
     "shipment_detail",
     "raw_explorer",
+    "explorer_newest",
     "kpi_summary",
     "kpi_by_month",
     "kpi_by_region",
@@ -54,6 +57,7 @@ HEADLINE = [
     "lake_traffic",
     "lake_count",
     "quality_report_clean",
+    "quality_report_grown",
     "delay_risk",
     "stream_enrich",
     "features",

@@ -46,7 +46,7 @@ class TrainingConfig:
 
     ``fit_rows`` bounds the labelled rows that candidates are fitted on (0: all). The bound
     keeps the share of each class, takes rows by a hash of their key, and is recorded with
-    the model; the test set is never cut.
+    the model; the test set is never cut. ``models`` names the candidates (none: all).
     """
 
     as_of_year: int
@@ -59,6 +59,7 @@ class TrainingConfig:
     forest_depth: int = 30
     rounds: int = 100
     fit_rows: int = 0
+    models: tuple[str, ...] = ()
 
 
 def training_set(wh: Warehouse) -> DataFrame:
@@ -206,7 +207,10 @@ def train(wh: Warehouse, root: str, config: TrainingConfig) -> DataFrame:
     fitted, metrics = {}, []
     try:
         estimators = candidates(config, n_train)
-        for name in (*estimators, BOOSTED):
+        names = [*estimators, BOOSTED]
+        if unknown := set(config.models) - set(names):
+            raise ValueError(f"unknown models {sorted(unknown)}, use some of {names}")
+        for name in [n for n in names if not config.models or n in config.models]:
             if name == BOOSTED:
                 fitted[name], cv_score = boosted(fitting, root, config)
             else:

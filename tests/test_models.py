@@ -1,6 +1,7 @@
 """Features, split, training, model store and scoring."""
 
 import hashlib
+from dataclasses import replace
 
 import pytest
 from records import record
@@ -216,3 +217,14 @@ def test_worse_model_is_saved_with_a_warning_and_one_predecessor(spark, trained,
     assert store.details("previous")["metrics"]["roc_auc"] == 0.4
     assert store.load("previous").stages
     store.save(model, details)
+
+
+def test_chosen_candidates_only(spark, trained, tmp_path):
+    root, _ = trained
+    wh = Warehouse(spark, f"{root}/wh")
+    config = replace(SMALL, models=("Logistic Regression",))
+    assert [r["model"] for r in training.train(wh, f"file:{tmp_path}/m", config).collect()] == [
+        "Logistic Regression"
+    ]
+    with pytest.raises(ValueError, match="unknown models"):
+        training.train(wh, f"file:{tmp_path}/n", replace(SMALL, models=("Oracle",)))

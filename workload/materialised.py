@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.plans.contract import ContractError
-from haulmark.plans.training import TrainingConfig, train
+from haulmark.plans.training import BOOSTED, TrainingConfig, train
 from haulmark.plans.warehouse import Warehouse
 from haulmark.session import shared_dir, tune
 from haulmark.sources.events import read_event_files
@@ -214,3 +214,25 @@ def models(spark: SparkSession, sf_dir: str) -> str:
         return root
 
     return once(spark, sf_dir, "models", build)
+
+
+def logistic_model(spark: SparkSession, sf_dir: str) -> str:
+    """Logistic regression at its defaults on all training rows, cross-validated: for timing."""
+
+    def build(root: str) -> str:
+        config = TrainingConfig(as_of_year=FEATURE_YEAR, models=("Logistic Regression",))
+        train(warehouse(spark, sf_dir), root, config)
+        return root
+
+    return once(spark, sf_dir, "logistic", build)
+
+
+def boosted_model(spark: SparkSession, sf_dir: str) -> str:
+    """Second-order boosting of ten rounds on all training rows, with its five folds."""
+
+    def build(root: str) -> str:
+        config = TrainingConfig(as_of_year=FEATURE_YEAR, rounds=10, models=(BOOSTED,))
+        train(warehouse(spark, sf_dir), root, config)
+        return root
+
+    return once(spark, sf_dir, "boosted", build)
