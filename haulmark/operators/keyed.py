@@ -31,13 +31,21 @@ def counted(table: DataFrame) -> DataFrame:
     return sized(table, table.limit(max(1, most)).count())
 
 
-def absent(candidates: DataFrame, existing: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """Candidates (``rows`` of them) whose key is not in ``existing``.
+def absent(
+    candidates: DataFrame,
+    existing: DataFrame,
+    keys: list[str],
+    rows: int,
+    suspects: DataFrame | None = None,
+) -> DataFrame:
+    """Candidates whose key is not in ``existing``.
 
     The semi join first cuts the ever-growing existing side down to the keys of this
     batch; a small batch is broadcast against a scan of the key columns alone, so history
-    is never shuffled. The anti join then works on batch-sized inputs.
+    is never shuffled. The anti join then works on batch-sized inputs. ``suspects``: the
+    candidates that may exist, if others are known not to. ``rows`` is their number, or that of
+    the candidates.
     """
-    batch_keys = candidates.select(*keys)
+    batch_keys = (candidates if suspects is None else suspects).select(*keys)
     known = existing.select(*keys).join(sized(batch_keys, rows), keys, "left_semi")
     return candidates.join(sized(known, rows), keys, "left_anti")

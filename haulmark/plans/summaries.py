@@ -114,17 +114,21 @@ def combinations(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*COMBINATION).agg(F.count("*").alias("n"))
 
 
-def repeated(new: DataFrame, known: DataFrame, rows: int) -> DataFrame:
-    """Combinations of one load (``rows`` of them) that occur twice in it, or before it.
+def repeated(
+    new: DataFrame, known: DataFrame, rows: int, suspects: DataFrame | None = None
+) -> DataFrame:
+    """Combinations of one load that occur twice in it, or before it.
 
     Known ones are cut down to those of the load by a semi join, a small load being sent
     against a scan of two narrow columns; NULL counts as a value, as in a grouping.
+    ``suspects``: the load's combinations that may be known, if others are not. ``rows`` is
+    their number, or that of the load's combinations.
     """
 
     def same(left: DataFrame, right: DataFrame) -> Column:
         return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in COMBINATION])
 
-    batch = sized(new.select(*COMBINATION), rows)
+    batch = sized((new if suspects is None else suspects).select(*COMBINATION), rows)
     before = known.select(*COMBINATION)
     before = before.join(batch, same(before, batch), "left_semi")
     inside = new.filter(F.col("n") > 1).select(*COMBINATION)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulmark.functions.calendar import calendar_columns
+from haulmark.operators import bloom
 from haulmark.operators.first_wins import first_attributes, first_rows
 from haulmark.operators.keyed import absent, fits, sized
 from haulmark.operators.surrogate import numbered, stage_in_order
@@ -79,11 +80,15 @@ DIMENSIONS = [CUSTOMER, DRIVER, VEHICLE, ROUTE]
 
 KEYS_TABLE = "shipment_keys"
 SUMMARY_TABLE, PICKUPS_TABLE, REPEATED_TABLE = "fact_summary", "pickups", "pickups_repeated"
+# Tables that grow with the fact and are searched by every load, with the keys they are
+# searched by; each load leaves a Bloom filter of its own in <table>_filter.
+_FILTERED = {KEYS_TABLE: ["source_shipment_id"], PICKUPS_TABLE: summaries.COMBINATION}
 _SCHEMAS = TABLES | {
     KEYS_TABLE: SHIPMENT_KEYS,
     SUMMARY_TABLE: summaries.SUMMARY,
     PICKUPS_TABLE: summaries.PICKUPS,
     REPEATED_TABLE: summaries.REPEATED,
+    **{f"{name}_filter": bloom.SCHEMA for name in _FILTERED},
 }
 _NATURAL_KEYS = {d.table: list(d.keys) for d in DIMENSIONS} | {
     "dim_date": ["full_date"],
@@ -245,6 +250,7 @@ class Warehouse:
         before = self.commit()
         load_id = before["load_id"] + 1
         known_runs = sorted({*before.get("runs", []), *runs})
+        filtered = before["load_id"] == 0 or "filtered" in before
         commit = {
             "load_id": load_id,
             "runs": known_runs,
@@ -253,6 +259,8 @@ class Warehouse:
             "spans": list(before.get("spans", [])),
             "summarised": before["load_id"] == 0 or before.get("summarised", False),
         }
+        if filtered:  # levels of the filters that all loads have left
+            commit["filtered"] = {n: before.get("filtered", {}).get(n, []) for n in _FILTERED}
 
         sources = {d.table: dimension_rows(raw, d) for d in DIMENSIONS}
         sources |= {"dim_date": date_rows(raw), KEYS_TABLE: key_rows(raw)}
@@ -261,6 +269,12 @@ class Warehouse:
             last_id = before["last_id"].get(name, 0)
             return name, *self._insert_absent(name, sources[name], before["load_id"], last_id)
 
+        def leave_filter(name: str, n: int) -> None:
+            if filtered:
+                level = self._leave_filter(name, load_id, n)
+                levels = {*commit["filtered"][name], level}
+                commit["filtered"][name] = sorted(levels)
+
         # Independent tables: submitted together so small jobs do not wait for each other.
         with ThreadPoolExecutor(len(sources)) as pool:
             inserted = list(pool.map(insert, sources))
@@ -268,11 +282,13 @@ class Warehouse:
         commit["last_id"] = {name: last for name, _, last in inserted}
         for name, n in new.items():
             commit["rows"][name] = commit["rows"].get(name, 0) + n
+        leave_filter(KEYS_TABLE, new[KEYS_TABLE])
 
         first, last = before["last_id"].get(KEYS_TABLE, 0) + 1, commit["last_id"][KEYS_TABLE]
-        new["fact_shipments"], listed = self._insert_facts(
+        new["fact_shipments"], listed, n_pickups = self._insert_facts(
             raw, load_id, commit["rows"], first, last
         )
+        leave_filter(PICKUPS_TABLE, n_pickups)
         if last >= first:
             span = {"load_id": load_id, "first": first, "last": last, "listed": listed}
             commit["spans"].append(span)
@@ -296,8 +312,9 @@ class Warehouse:
         if last_load:
             rows.write.mode("overwrite").parquet(f"{staging}_found")
             found = self.spark.read.schema(rows.schema).parquet(f"{staging}_found")
-            known = self._read(name, last_load)
-            rows = absent(found, known, keys, found.count())  # counted from file footers
+            n = found.count()  # from file footers
+            known, suspects, n = self._searched(name, found, n, last_load)
+            rows = absent(found, known, keys, n, suspects)
         stage_in_order(rows, keys, staging)
         count = self.spark.read.parquet(staging).count()
         numbers = numbered(self.spark, staging, _ID_COLUMNS[name], last_id)
@@ -305,10 +322,49 @@ class Warehouse:
         conform(numbers, _SCHEMAS[name]).write.mode("overwrite").parquet(target)
         return count, last_id + count
 
+    def _leave_filter(self, name: str, load_id: int, n: int) -> int:
+        """Write the filter of a load's rows of a table, ``n`` of them; its level."""
+        level = bloom.level_for(n)
+        stored = self.spark.read.schema(ddl(_SCHEMAS[name])).parquet(
+            f"{self.root}/{name}/load_id={load_id}"
+        )
+        target = f"{self.root}/{name}_filter/load_id={load_id}"
+        bloom.built(stored, _FILTERED[name], level).write.mode("overwrite").parquet(target)
+        return level
+
+    def _searched(
+        self, name: str, batch: DataFrame, n: int, last_load: int
+    ) -> tuple[DataFrame, DataFrame | None, int]:
+        """Where to look for the batch's keys: committed rows of the loads whose filters may
+        hold some, the batch's rows in question (None: all), and their number.
+
+        Other loads are not opened, and keys that no filter holds are not looked for. A load of
+        an older version left no filter; then all rows are searched.
+        """
+        levels = self.commit().get("filtered", {}).get(name)
+        if not levels:
+            return self._read(name, last_load), None, n
+        keys = _FILTERED[name]
+        filters = self.spark.read.schema(
+            ddl(bloom.SCHEMA | {"load_id": "int"})
+        ).parquet(f"{self.root}/{name}_filter")
+        filters = filters.filter(F.col("load_id") <= last_load)
+        path = f"{self.root}/{_STAGING}/load_id={last_load + 1}/{name}_suspects"
+        found = bloom.suspects(batch, filters, keys, levels, n)
+        found.write.mode("overwrite").parquet(path)
+        held = self.spark.read.schema(found.schema).parquet(path)
+        hits = held.groupBy("load_id").count().collect()  # a row for each load that may match
+        loads = [r["load_id"] for r in hits]
+        schema = ddl(_SCHEMAS[name] | {"load_id": "int"})
+        table = self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        known = table.filter(F.col("load_id").isin(loads)) if loads else table.limit(0)
+        return known.drop("load_id"), held.drop("load_id"), sum(r["count"] for r in hits)
+
     def _insert_facts(
         self, raw: DataFrame, load_id: int, rows: dict[str, int], first: int, last: int
-    ) -> tuple[int, dict[str, int]]:
-        """New facts of the shipments numbered ``first`` to ``last``; rows, and rows by status.
+    ) -> tuple[int, dict[str, int], int]:
+        """New facts of the shipments numbered ``first`` to ``last``; rows, rows by status, and
+        customer and pickup-time combinations.
 
         One wide shuffle by shipment, whose new keys filter and number in one join, and one
         that gives each task a range of ids, so that a file's ids lie close together.
@@ -346,8 +402,8 @@ class Warehouse:
         stored = self.spark.read.schema(schema).parquet(target)
         return self._summarise(stored, load_id)
 
-    def _summarise(self, stored: DataFrame, load_id: int) -> tuple[int, dict[str, int]]:
-        """Write the summaries of a load's facts; its rows, and listed rows by status."""
+    def _summarise(self, stored: DataFrame, load_id: int) -> tuple[int, dict[str, int], int]:
+        """Write the summaries of a load's facts; its rows, listed rows by status, combinations."""
 
         def write(name: str, rows: DataFrame) -> DataFrame:
             target = f"{self.root}/{name}/load_id={load_id}"
@@ -357,11 +413,11 @@ class Warehouse:
         summary = write(SUMMARY_TABLE, summaries.summarise(stored))
         by_status = summary.filter("key = 'status'").select("label", "n", "listed").collect()
         pickups = write(PICKUPS_TABLE, summaries.combinations(stored))
-        known = self._read(PICKUPS_TABLE, load_id - 1)
-        again = summaries.repeated(pickups, known, pickups.count())  # counted from footers
-        write(REPEATED_TABLE, again)
+        n_pickups = pickups.count()  # from file footers
+        known, suspects, n = self._searched(PICKUPS_TABLE, pickups, n_pickups, load_id - 1)
+        write(REPEATED_TABLE, summaries.repeated(pickups, known, n, suspects))
         listed = {r["label"] or "": r["listed"] for r in by_status}  # statuses are few
-        return sum(r["n"] for r in by_status), listed
+        return sum(r["n"] for r in by_status), listed, n_pickups
 
     def _resolve(
         self,
