@@ -1,9 +1,13 @@
 """Exact top-k inner products by pivot-table elimination.
 
 Every vector keeps its distances to many pivots, worked out once. For a query q and a
-candidate x, the largest |d(q, p) - d(x, p)| over the pivots p is a lower bound on d(q, x),
-and with both norms an upper bound on their inner product. Candidates are evaluated in the
-order of that bound, until the k-th best score found exceeds every bound that is left.
+candidate x, |d(q, p) - d(x, p)| of each pivot p is a lower bound on d(q, x), and with both
+norms an upper bound on their inner product. The pivots here are points of one norm in
+orthogonal directions, so that the distances tell a vector's place in their span and its
+distance from that span: the greatest lower bound that all pivots allow together is
+sqrt(|place(q) - place(x)|^2 + (rest(q) - rest(x))^2), never below the best single one.
+Candidates are evaluated in the order of that bound, until the k-th best score found exceeds
+every bound that is left.
 """
 
 from __future__ import annotations
@@ -19,13 +23,15 @@ from pyspark.sql import functions as F
 SCALE = 256
 _EXACT = float(1 << 52)  # doubles hold whole numbers below without loss
 _LONG = (1 << 63) - 1
+_ROUNDING = 1e-8  # of a squared norm: more than distances lose by rounding
+_BLOCK_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
 class TopKConfig:
     k: int = 5
     every: int = 50  # rows whose id this divides are the queries
-    pivots: int = 32
+    pivots: int = 48
     candidate_rows: int = 8_192  # of a block
     query_rows: int = 1_024  # of a block
     first_look: int = 64  # candidates evaluated before the bound is looked at
@@ -65,6 +71,39 @@ def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0)) * scale
 
 
+def orthogonal(rows: np.ndarray) -> np.ndarray:
+    """Pivots in the span of the rows: orthogonal, each of the largest norm among the rows.
+
+    Rows that add no direction of their own (or next to none) give no pivot.
+    """
+    scale = float(np.abs(rows).max(initial=0))
+    found: list[np.ndarray] = []
+    longest = 0.0
+    for row in rows / scale if scale else rows[:0]:
+        norm = float(np.sqrt(row @ row))
+        longest = max(longest, norm)
+        rest = row.copy()
+        for _ in range(2):  # once more, for what rounding left
+            for axis in found:
+                rest -= (rest @ axis) * axis
+        length = float(np.sqrt(rest @ rest))
+        if length > 1e-6 * max(longest, norm):
+            found.append(rest / length)
+    return np.array(found).reshape(-1, rows.shape[1]) * (longest * scale)
+
+
+def places(squares: np.ndarray, table: np.ndarray, norm: float) -> np.ndarray:
+    """From squared norms and distances to orthogonal pivots of one norm: the place in the
+    pivots' span, and last the distance from it, rounded up."""
+    out = np.empty((len(table), table.shape[1] + 1))
+    with np.errstate(over="ignore", invalid="ignore"):
+        if table.shape[1]:
+            out[:, :-1] = (squares[:, None] + norm * norm - table * table) / (2 * norm)
+        rest = squares - (out[:, :-1] ** 2).sum(axis=1)
+        out[:, -1] = np.sqrt(np.maximum(rest, 0) + _ROUNDING * squares)
+    return out
+
+
 def _scores(rows: np.ndarray, query: np.ndarray, exact: bool) -> np.ndarray:
     """Inner products as whole numbers; beyond 64 bits the nearest such number."""
     if exact:
@@ -87,33 +126,39 @@ def search(
     squares: np.ndarray,
     table: np.ndarray,
     config: TopKConfig,
+    bound: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, int]:
-    """Ids and scores of the best k candidates, and how many were evaluated."""
+    """Ids and scores of the best k candidates, and how many were evaluated.
+
+    ``bound``: upper bounds on the scores from all pivots together; without, the best single
+    pivot bounds each.
+    """
     exact = max(
         float(np.abs(rows).max(initial=0)), float(np.abs(query).max(initial=0))
     ) ** 2 * max(1, query.size) < _EXACT
     own = float(query @ query)
     if exact:
-        low = np.abs(table - to_pivots).max(axis=1, initial=0.0)
-        bound = (own + squares - low * low) / 2
-        slack = 1.0 + 1e-9 * (own + squares)  # for the rounding of distances
-        bound += slack
+        if bound is None:
+            low = np.abs(table - to_pivots).max(axis=1, initial=0.0)
+            bound = (own + squares - low * low) / 2
+        bound = bound + 1.0 + _ROUNDING * (own + squares)
     else:  # numbers too large to bound in doubles: evaluate all
         bound = np.full(len(ids), np.inf)
     order = np.argsort(-bound, kind="stable")
     order = order[ids[order] != query_id]
     best_ids, best_scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at, step = 0, config.first_look
-    while at < len(order):
-        if len(best_scores) == config.k and bound[order[at]] < best_scores[-1]:
-            break
-        chunk = order[at : at + step]
+    falling = -bound[order]
+    at, step, end = 0, config.first_look, len(order)
+    while at < end:
+        chunk = order[at : min(at + step, end)]
         all_ids = np.concatenate([best_ids, ids[chunk]])
         all_scores = np.concatenate([best_scores, _scores(rows[chunk], query, exact)])
         best = _best(all_ids, all_scores, config.k)
         best_ids, best_scores = all_ids[best], all_scores[best]
-        at, step = at + step, step * 2
-    return best_ids, best_scores, min(at, len(order))
+        at, step = at + len(chunk), step * 2
+        if len(best_scores) == config.k:  # the rest is bounded below the k-th best score
+            end = int(np.searchsorted(falling, -float(best_scores[-1]), side="right"))
+    return best_ids, best_scores, at
 
 
 def top_k(vectors: DataFrame, config: TopKConfig = TopKConfig()) -> DataFrame:
@@ -126,7 +171,8 @@ def top_k(vectors: DataFrame, config: TopKConfig = TopKConfig()) -> DataFrame:
     candidates each, and queries under one id share one list. Fewer candidates than k: all.
 
     Queries meet all candidates in blocks of bounded size. A block pair is one group; it
-    returns k rows a query, and the lists of a query are merged.
+    returns k rows a query, and the lists of a query are merged. Of equal rows only k are kept,
+    as more never rank, so that no block holds a large group of them.
     """
     spark = vectors.sparkSession
     rows = vectors.filter(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).select(
@@ -142,6 +188,8 @@ def top_k(vectors: DataFrame, config: TopKConfig = TopKConfig()) -> DataFrame:
     pivots = _matrix(
         pa.array([r["vector"] for r in chosen.collect()], pa.list_(pa.float64())), width
     )
+    pivots = orthogonal(pivots)
+    norm = float(np.sqrt(pivots[0] @ pivots[0])) if len(pivots) else 0.0
     shipped = spark.sparkContext.broadcast(pivots)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +205,18 @@ def top_k(vectors: DataFrame, config: TopKConfig = TopKConfig()) -> DataFrame:
                 names=["vec_id", "vector", "distances"],
             )
 
-    table = rows.mapInArrow(measure, "vec_id bigint, vector binary, distances binary")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_blocks = max(parts, -(-n // config.candidate_rows))
-    n_query_blocks = max(1, -(-n_queries // config.query_rows))
+    ranking = (
+        rows.groupBy("vec_id", "vector")
+        .agg(F.count("*").alias("_n"))
+        .select(
+            "vec_id", "vector", F.explode(F.sequence(F.lit(1), F.least("_n", F.lit(config.k))))
+        )
+        .select("vec_id", "vector")
+    )
+    table = ranking.mapInArrow(measure, "vec_id bigint, vector binary, distances binary")
+    block_rows = max(256, min(config.candidate_rows, _BLOCK_BYTES // (8 * width)))
+    n_blocks = max(1, -(-n // block_rows))
+    n_query_blocks = max(1, -(-n_queries // min(block_rows, config.query_rows)))
     block = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n_blocks)).cast("int")
     query_block = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n_query_blocks)).cast("int")
 
@@ -187,11 +243,14 @@ def top_k(vectors: DataFrame, config: TopKConfig = TopKConfig()) -> DataFrame:
         vector = stacked("vector", width)
         distances = stacked("distances", len(shipped.value))
         own_ids, own, own_table = ids[~asks], vector[~asks], distances[~asks]
-        squares = (own * own).sum(1)
+        all_squares = (vector * vector).sum(1)
+        placed = places(all_squares, distances, norm)
+        squares, own_placed = all_squares[~asks], placed[~asks]
         found: list[tuple[np.ndarray, ...]] = []
         for i in np.flatnonzero(asks):
+            bound = own_placed @ placed[i]
             best, score, _ = search(
-                vector[i], ids[i], distances[i], own_ids, own, squares, own_table, config
+                vector[i], ids[i], distances[i], own_ids, own, squares, own_table, config, bound
             )
             found.append((np.full(len(best), ids[i]), best, score))
         joined = [np.concatenate(x) for x in zip(*found, strict=True)] or [np.zeros(0)] * 3

@@ -214,6 +214,73 @@ def test_pivots_eliminate_candidates():
     assert n < 10 * 1000 / 2
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e-3, 3e4])
+def test_joint_bounds_hold_and_beat_each_pivot(scale):
+    generator = np.random.default_rng(5)
+    data = np.floor(generator.normal(size=(400, 24)) * 256 * scale)
+    data[7], data[8], data[9] = 0, data[3], data[3] * 2
+    data[10:20] *= 50  # some vectors far longer than the pivots
+    pivots = topk.orthogonal(data[[3, 8, 7, 9, *range(30, 44)]])
+    axes = pivots / np.sqrt((pivots[0] ** 2).sum())
+    assert len(pivots) == 15 and np.allclose(axes @ axes.T, np.eye(15))
+    table, squares = topk._distances(data, pivots), (data * data).sum(1)
+    placed = topk.places(squares, table, float(np.sqrt((pivots[0] ** 2).sum())))
+    rounding = 1 + 1e-8 * (squares[:, None] + squares[None, :])
+    scores = data @ data.T
+    joint = placed @ placed.T + rounding
+    assert (joint >= scores).all()
+    for q in range(0, 400, 40):
+        low = np.abs(table - table[q]).max(axis=1)
+        single = (squares[q] + squares - low * low) / 2
+        assert (joint[q] <= single + 2 * rounding[q] + 1e-3 * np.sqrt(squares[q] * squares)).all()
+
+
+def test_no_direction_no_pivot():
+    assert topk.orthogonal(np.zeros((3, 4))).shape == (0, 4)
+    assert topk.orthogonal(np.zeros((0, 4))).shape == (0, 4)
+    placed = topk.places(np.array([4.0, 9.0]), np.zeros((2, 0)), 0.0)
+    assert np.allclose(placed[:, 0], [2, 3], atol=1e-6)
+
+
+def test_share_of_given_vectors_evaluated(spark):
+    """Unstructured vectors of 64 components: less than half are evaluated."""
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    found = frame.select("vec_id", "embedding").toPandas()
+    data = np.floor(np.array(found["embedding"].tolist(), float) * 256)
+    ids = found["vec_id"].to_numpy()
+    pivots = topk.orthogonal(data[:: len(data) // 48][:48])
+    table, squares = topk._distances(data, pivots), (data * data).sum(1)
+    placed = topk.places(squares, table, float(np.sqrt((pivots[0] ** 2).sum())))
+    config, seen = topk.TopKConfig(), 0
+    queries = np.flatnonzero(ids % 50 == 0)
+    for q in queries:
+        *_, n = topk.search(
+            data[q], ids[q], table[q], ids, data, squares, table, config, placed @ placed[q]
+        )
+        seen += n
+    share = seen / (len(queries) * len(data))
+    print(f"evaluated share {share:.3f}")
+    assert share < 0.3
+
+
+def test_a_third_of_all_rows_equal(spark):
+    """Copies of one row are candidates each, but only as many as can rank are kept."""
+    generator = np.random.default_rng(4)
+    vectors = [(i, generator.normal(size=6).tolist()) for i in range(200)]
+    copies = [(7, vectors[0][1])] * 300
+    frame = spark.createDataFrame(vectors + copies, "vec_id bigint, embedding array<double>")
+    found = topk.top_k(frame, topk.TopKConfig(candidate_rows=256))
+    found = found.select("query_id", "vec_id", "score").collect()
+    whole = [(i, np.floor(np.array(v) * 256)) for i, v in vectors + copies]
+    expected = []
+    for q in range(0, 200, 50):
+        own = whole[q][1]
+        scores = sorted((-int(own @ v), i) for i, v in whole if i != q)
+        expected += [(q, i, -s) for s, i in scores[:5]]
+    assert sorted(map(tuple, found)) == sorted(expected)
+    assert sum(i == 7 for _, i, _ in expected) >= 3  # copies that rank beside each other
+
+
 def test_top_k_odd_cases(spark):
     nan, inf = float("nan"), float("inf")
     data = [
