@@ -228,3 +228,23 @@ def test_chosen_candidates_only(spark, trained, tmp_path):
     ]
     with pytest.raises(ValueError, match="unknown models"):
         training.train(wh, f"file:{tmp_path}/n", replace(SMALL, models=("Oracle",)))
+
+
+def test_fits_take_as_many_tasks_as_their_rows_are_worth(spark, trained, tmp_path, monkeypatch):
+    """300 rows are one task, however many the split and its joins were dealt to."""
+    root, _ = trained
+    tasks, plain = [], training.LogisticRegression.fit
+
+    def fit(self, rows, *args):
+        tasks.append(rows.rdd.getNumPartitions())
+        return plain(self, rows, *args)
+
+    monkeypatch.setattr(training.LogisticRegression, "fit", fit)
+    config = replace(SMALL, models=("Logistic Regression",))
+    training.train(Warehouse(spark, f"{root}/wh"), f"file:{tmp_path}/m", config)
+    assert tasks == [1] * (1 + SMALL.folds)
+    monkeypatch.setattr(training, "LEAST_TASK_ROWS", 10)
+    many = spark.range(1000).selectExpr("concat('s', id) AS source_shipment_id")
+    assert training.in_fit_tasks(many, 35).rdd.getNumPartitions() == 4
+    monkeypatch.setattr(training, "MOST_TASK_ROWS", 20)
+    assert training.in_fit_tasks(many, 1000).rdd.getNumPartitions() == 50
