@@ -130,3 +130,11 @@ def test_failed_load_leaves_no_filter_in_use(spark, frame, three_loads, monkeypa
     write_raw(frame(record(501)), root, "other")
     assert wh.load(read_raw(spark, root, "other"))["fact_shipments"] == 1
     assert wh.load(read_raw(spark, root, "late"))["fact_shipments"] == 1
+
+
+def test_a_filter_is_built_with_one_exchange(spark):
+    """One hash a key is dealt by block; its bits are set where it arrives."""
+    keys = spark.range(3000).selectExpr("concat('k', id) AS k")
+    plan = bloom.built(keys, ["k"], 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(block") == 1
+    assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning(block")
