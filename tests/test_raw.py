@@ -11,7 +11,7 @@ from haulmark.schemas import RAW_SCHEMA
 from haulmark.sources.lake import register_lake
 from haulmark.sources.objects import ObjectStore
 from haulmark.operators.first_wins import first_attributes, first_rows
-from haulmark.sources.raw import ORDER, _lineage, raw_key, read_raw, write_raw
+from haulmark.sources.raw import ORDER, _lineage, positioned, raw_key, read_raw, write_raw
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
@@ -149,6 +149,22 @@ def test_first_wins_over_rolled_files(spark, frame, tmp_path):
     assert {(r["company_name"], r["plate_number"], r["delay_minutes"]) for r in whole.collect()} == expected
 
 
+def test_positions_number_records_in_order(spark, frame, tmp_path):
+    """One ascending number over runs, formats and rolled files; nothing else is added."""
+    root = f"file:{tmp_path}"
+    rows = [record(n, delay_minutes=n) for n in range(40)]
+    write_raw(frame(*rows[:12]), root, "a", file_rows=1)
+    write_raw(frame(*rows[12:20]), root, "b", "csv")
+    write_raw(frame(*rows[20:]), root, "c", file_rows=7)
+    raw = read_raw(spark, root)
+    placed = positioned(raw, f"{root}/files")
+    assert sorted(placed.columns) == sorted([*RAW_SCHEMA, "raw_file", "_position"])
+    found = placed.orderBy("_position").select("delay_minutes", "raw_file", "_position").collect()
+    assert [r["delay_minutes"] for r in found] == list(range(40))
+    assert len({r["_position"] for r in found}) == 40
+    assert {r["raw_file"] for r in found} == {r[0] for r in raw.select("raw_file").collect()}
+
+
 def test_positions_have_no_bounds(spark, tmp_path):
     """Numbers in file names are taken as they are; other names go by their text."""
     names = [

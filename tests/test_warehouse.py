@@ -182,6 +182,24 @@ def test_joins_without_broadcast_give_the_same_tables(spark, frame, tmp_path, mo
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_large_dimensions_meet_narrow_rows(spark, frame, tmp_path, monkeypatch):
+    """Whole rows are not shuffled once more for each dimension that cannot be broadcast."""
+    root = f"file:{tmp_path}"
+    write_raw(frame(*[record(n % 30, plate_number=f"P{n % 7}") for n in range(60)]), root, "a")
+    resolve, widths = Warehouse._resolve, []
+
+    def seen(self, facts, *rest):
+        widths.append(len(facts.columns))
+        return resolve(self, facts, *rest)
+
+    monkeypatch.setattr(Warehouse, "_resolve", seen)
+    monkeypatch.setattr(keyed, "BROADCAST_BYTES", -1)
+    wh = Warehouse(spark, f"{root}/wh")
+    assert load(spark, root, wh)["fact_shipments"] == 30
+    assert len(widths) == 5 and max(widths) < 20
+    assert star(wh).count() == 30
+
+
 def test_surrogates_are_dense_and_in_key_order(spark, tmp_path):
     rows = spark.range(1000).selectExpr("concat('k', id) AS k").repartition(7)
     path = f"file:{tmp_path}/staged"
