@@ -10,8 +10,10 @@ from haulmark.plans.warehouse import Warehouse
 from haulmark.schemas import RAW_SCHEMA
 from haulmark.sources.lake import register_lake
 from haulmark.sources.objects import ObjectStore
+from haulmark.operators import keyed
 from haulmark.operators.first_wins import first_attributes, first_rows
 from haulmark.sources.raw import ORDER, _lineage, positioned, raw_key, read_raw, write_raw
+from workload import feed
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
@@ -165,6 +167,18 @@ def test_positions_number_records_in_order(spark, frame, tmp_path):
     assert {r["raw_file"] for r in found} == {r[0] for r in raw.select("raw_file").collect()}
 
 
+def test_landing_joins_do_not_sort_the_lines(spark, monkeypatch):
+    """Tables too large to be broadcast are hashed; a sort of all lines spilled."""
+    monkeypatch.setattr(keyed, "BROADCAST_BYTES", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = feed.narrow_lines(spark, "/root/testdata/sf0.001")
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    
+
 def test_positions_have_no_bounds(spark, tmp_path):
     """Numbers in file names are taken as they are; other names go by their text."""
     names = [
