@@ -138,3 +138,10 @@ def test_a_filter_is_built_with_one_exchange(spark):
     plan = bloom.built(keys, ["k"], 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(block") == 1
     assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning(block")
+
+
+def test_a_blocks_map_of_words_is_built_once(spark):
+    """Not again for each of its words."""
+    keys = spark.range(3000).selectExpr("concat('k', id) AS k")
+    plan = bloom.built(keys, ["k"], 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("map_from_entries") < plan.index("lambdafunction")
