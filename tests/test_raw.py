@@ -12,7 +12,15 @@ from haulmark.sources.lake import register_lake
 from haulmark.sources.objects import ObjectStore
 from haulmark.operators import keyed
 from haulmark.operators.first_wins import first_attributes, first_rows
-from haulmark.sources.raw import ORDER, _lineage, positioned, raw_key, read_raw, write_raw
+from haulmark.sources.raw import (
+    ORDER,
+    _lineage,
+    positioned,
+    raw_key,
+    read_raw,
+    write_raw,
+    write_runs,
+)
 from workload import feed
 
 
@@ -179,6 +187,54 @@ def test_landing_joins_do_not_sort_the_lines(spark, monkeypatch):
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
     
 
+@pytest.mark.parametrize("most", [-1, keyed.BROADCAST_BYTES])
+def test_lines_come_in_order_by_one_exchange(spark, monkeypatch, most):
+    """Lines take their order over where both were dealt, as often as a join would find it."""
+    sf_dir = "/root/testdata/sf0.001"
+    read = feed.read
+
+    def odd(spark, sf_dir, name):
+        """An order twice, and an order without lines as well as lines without an order."""
+        rows = read(spark, sf_dir, name)
+        if name != "orders":
+            return rows
+        rows = rows.filter("o_orderkey != 11")
+        return rows.unionByName(rows.filter("o_orderkey % 100 = 3"))
+
+    monkeypatch.setattr(feed, "read", odd)
+    monkeypatch.setattr(keyed, "BROADCAST_BYTES", most)
+    lines = feed.ordered_lines(spark, sf_dir)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning(l_orderkey") == 1
+    assert "hashpartitioning(l_orderkey" not in plan
+    columns = [*feed.LINE_ORDER, *feed.LINE_DETAILS, "s_nation", "c_nation", "r_name"]
+    columns.remove("s_suppkey"), columns.remove("p_partkey")
+    expected = feed.order_lines(spark, sf_dir).select(*columns).collect()
+    found = lines.select(*columns).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, expected))
+    places = [tuple(row[name] for name in feed.LINE_ORDER) for row in found]
+    assert places == sorted(places)
+
+
+def test_runs_are_written_in_order_by_one_pass(spark, frame, tmp_path):
+    """Records of two runs by turns; a run without records can be read as well."""
+    root = f"file:{tmp_path}/zone"
+    rows = frame(*[record(n, delay_minutes=n) for n in range(40)])
+    run = F.when(F.col("delay_minutes") % 2 == 0, "b").otherwise("a")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    write_runs(rows.withColumn("_run", run), root, "_run", ["a", "b", "c"])
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    placed = positioned(read_raw(spark, root), f"{root}/files").orderBy("_position")
+    found = [(r["raw_file"], r["delay_minutes"]) for r in placed.collect()]
+    odd, even = range(1, 40, 2), range(0, 40, 2)
+    assert found == [(raw_key("a", "parquet"), n) for n in odd] + [
+        (raw_key("b", "parquet"), n) for n in even
+    ]
+    assert sorted(p.name for p in (tmp_path / "zone" / "raw").iterdir()) == [
+        f"shipments_{name}.parquet" for name in "abc"
+    ]
+
+
 def test_positions_have_no_bounds(spark, tmp_path):
     """Numbers in file names are taken as they are; other names go by their text."""
     names = [
