@@ -15,7 +15,7 @@ from haulmark.plans import warehouse as module
 from haulmark.plans.star import shipment_detail, star
 from haulmark.plans.warehouse import Warehouse
 from haulmark.schemas import TABLES
-from haulmark.sources.raw import read_raw, write_raw
+from haulmark.sources.raw import POSITION, read_raw, write_raw
 
 
 def load(spark, root, wh, run="*"):
@@ -200,6 +200,30 @@ def test_large_dimensions_meet_narrow_rows(spark, frame, tmp_path, monkeypatch):
     assert star(wh).count() == 30
 
 
+def test_records_are_dealt_out_without_natural_keys(spark, frame, tmp_path, monkeypatch):
+    """References that every task can look up are resolved before the shuffle of whole rows."""
+    root = f"file:{tmp_path}"
+    write_raw(frame(*[record(n % 30, plate_number=f"P{n % 7}") for n in range(60)]), root, "a")
+    plain = Warehouse(spark, f"{root}/plain")
+    load(spark, root, plain)
+    picked, fits, dealt = Warehouse._picked, keyed.fits, []
+
+    def seen(self, records, firsts, n):
+        dealt.append(set(records.columns))
+        return picked(self, records, firsts, n)
+
+    monkeypatch.setattr(Warehouse, "_picked", seen)
+    monkeypatch.setattr(
+        module, "fits", lambda table, rows: POSITION not in table.columns and fits(table, rows)
+    )
+    wh = Warehouse(spark, f"{root}/wh")
+    assert load(spark, root, wh)["fact_shipments"] == 30
+    assert len(dealt) == 1 and {"customer_id", "vehicle_id", "date_id"} <= dealt[0]
+    assert not dealt[0] & {"company_name", "plate_number", "driver_name", "origin_city"}
+    facts = [sorted(w.table("fact_shipments").collect()) for w in (plain, wh)]
+    assert facts[0] == facts[1]
+
+
 def test_surrogates_are_dense_and_in_key_order(spark, tmp_path):
     rows = spark.range(1000).selectExpr("concat('k', id) AS k").repartition(7)
     path = f"file:{tmp_path}/staged"
