@@ -145,3 +145,26 @@ def test_a_blocks_map_of_words_is_built_once(spark):
     keys = spark.range(3000).selectExpr("concat('k', id) AS k")
     plan = bloom.built(keys, ["k"], 3)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("map_from_entries") < plan.index("lambdafunction")
+
+
+def test_the_next_load_builds_a_loads_filters(spark, frame, tmp_path):
+    """A filter is built by the load that searches it, also after one that failed."""
+    root = f"file:{tmp_path}"
+    wh = Warehouse(spark, f"{root}/wh")
+
+    def load(run, first, last):
+        write_raw(frame(*[record(n, company_name=f"C{n % 3}") for n in range(first, last)]), root, run)
+        return wh.load(read_raw(spark, root, run))["fact_shipments"]
+
+    assert load("a", 0, 40) == 40
+    assert not any(wh.store.exists(f"{name}_filter") for name in (KEYS_TABLE, "pickups"))
+    assert wh.commit()["unfiltered"] == {KEYS_TABLE: {"1": 40}, "pickups": {"1": 3}}
+    with pytest.raises(ValueError):
+        write_raw(frame(record(41, company_name=None)), root, "bad")
+        wh.load(read_raw(spark, root, "bad"))
+    assert load("b", 30, 60) == 20 and load("c", 0, 61) == 1
+    for name in (KEYS_TABLE, "pickups"):
+        filters = spark.read.parquet(f"{root}/wh/{name}_filter")
+        assert {r[0] for r in filters.select("load_id").distinct().collect()} == {1, 2}
+    repeated = {tuple(r) for r in wh.repeated_pickups().select("shipments").collect()}
+    assert repeated == {(20,), (21,)}
