@@ -8,7 +8,7 @@ from records import record
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from haulmark.operators import keyed
+from haulmark.operators import bitmap, keyed
 from haulmark.operators.first_wins import first_attributes, first_rows
 from haulmark.operators.surrogate import numbered, stage_in_order
 from haulmark.plans import warehouse as module
@@ -327,3 +327,78 @@ def test_second_writer_of_a_commit_fails(spark, frame, tmp_path):
     with pytest.raises(FileExistsError):
         wh._publish(wh.commit())
     assert wh.table("fact_shipments").count() == 1
+
+
+def bounded(monkeypatch):
+    """Neither first positions nor vehicles fit every task, but the positions' bits do."""
+    monkeypatch.setattr(module, "FILE_ROWS", 40)
+    monkeypatch.setattr(keyed, "BROADCAST_BYTES", 3_000)
+
+
+def test_whole_records_are_dealt_out_once(spark, frame, tmp_path, monkeypatch):
+    """To the file of their id, with copies, and large dimensions resolved; in two loads."""
+    root = f"file:{tmp_path}"
+    rows = [
+        record(n % 200, company_name=f"C{n % 9}", plate_number=f"P{n % 150}", delay_minutes=n)
+        for n in range(500)
+    ]
+    write_raw(frame(*rows[:90]), root, "a")
+    write_raw(frame(*rows), root, "b")
+    plain, dealt = Warehouse(spark, f"{root}/plain"), Warehouse(spark, f"{root}/dealt")
+    for run in ("a", "*"):
+        load(spark, root, plain, run)
+    bounded(monkeypatch)
+    picked, plans = Warehouse._picked, []
+
+    def seen(self, *args):
+        facts = picked(self, *args)
+        plans.append(facts._jdf.queryExecution().executedPlan().toString())
+        return facts
+
+    monkeypatch.setattr(Warehouse, "_picked", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for run in ("a", "*"):
+            load(spark, root, dealt, run)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in TABLES:
+        assert sorted(map(str, dealt.table(name).collect())) == sorted(
+            map(str, plain.table(name).collect())
+        )
+    wide = [line for line in plans[1].splitlines() if "Exchange" in line]
+    assert not any("hashpartitioning(_position" in line for line in wide)
+    # records, ids and references
+    assert sum("shufflepartitionidpassthrough" in line for line in wide) == 3
+    per_file = dealt.table("fact_shipments").groupBy("_metadata.file_path").agg(
+        F.min("shipment_id").alias("low"), F.max("shipment_id").alias("high")
+    ).collect()
+    assert len(per_file) > 4 and all(r["high"] - r["low"] < 40 for r in per_file)
+
+
+def test_a_copy_that_breaks_the_contract_fails_the_load(spark, frame, tmp_path, monkeypatch):
+    """Copies are not dealt out, yet what they hold is checked."""
+    root = f"file:{tmp_path}"
+    bounded(monkeypatch)
+    rows = [record(n % 200, plate_number=f"P{n % 150}") for n in range(400)]
+    rows[-1]["status"] = "x" * 21
+    write_raw(frame(*rows), root, "a")
+    wh = Warehouse(spark, f"{root}/wh")
+    with pytest.raises(ValueError, match="status"):
+        load(spark, root, wh)
+    assert wh.commit()["load_id"] == 0
+
+
+def test_rank_among_bounds(spark):
+    for n in (0, 1, 2, 3, 8, 100):
+        bounds = sorted(f"k{7 * i}" for i in range(n))
+        keys = spark.range(800).selectExpr("concat('k', id) AS k")
+        found = keys.withColumn("r", keyed.rank_in(F.col("k"), bounds)).collect()
+        assert all(r["r"] == sum(b <= r["k"] for b in bounds) for r in found)
+
+
+def test_a_set_of_positions_is_exact(spark):
+    positions = bitmap.built(spark.range(5, 30_000, 7), "id").cache()
+    held = bitmap.held(spark.range(40_000), positions, "id")
+    assert sorted(r[0] for r in held.collect()) == list(range(5, 30_000, 7))
+    assert positions.count() == 8
