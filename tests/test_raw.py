@@ -1,5 +1,7 @@
 """Raw zone: formats, lineage, order, and what makes a read fail."""
 
+import re
+
 import pytest
 from records import record
 from py4j.protocol import Py4JJavaError
@@ -289,3 +291,16 @@ def test_objects_without_replacement(spark, tmp_path):
         store.upload_bytes("c/1.json", b"two", replace=False)
     assert store.download_bytes("c/1.json") == b"one"
     assert [n for n in store.names("c") if not n.startswith(".")] == ["1.json"]
+
+
+def test_what_is_dealt_holds_no_key_twice_and_no_nation(spark, monkeypatch, capsys):
+    """Parts that are not sent to every task are met before the exchange, nations behind it."""
+    monkeypatch.setattr(keyed, "BROADCAST_BYTES", -1)
+    feed.ordered_lines(spark, "/root/testdata/sf0.001").explain("formatted")
+    dealt = re.search(
+        r"Input \[\d+\]: \[([^\]]*)\]\nArguments: rangepartitioning\(l_orderkey",
+        capsys.readouterr().out,
+    )
+    names = {name.strip().split("#")[0] for name in dealt[1].split(",")}
+    assert {"l_partkey", "p_type", "_order"} <= names
+    assert not names & {"p_partkey", "s_suppkey", "c_nation", "r_name"}

@@ -145,3 +145,12 @@ def test_lake_over_runs_of_several_writers(spark, frame, tmp_path):
             frame(shipment(1)), f"{root}/elsewhere_with", "a"
         ) else None
     spark.sql(f"DROP VIEW {table}")
+
+
+def test_costs_are_summed_as_whole_numbers(grown):
+    """Sums of long decimals keep the aggregate from its fast buffers."""
+    facts = grown.table("fact_shipments")
+    plan = summaries.summarise(facts)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum(_cents" in plan and "sum(cost_usd" not in plan
+    totals = summaries.summarise(facts).filter("key = 'status'").agg(F.sum("cost")).first()[0]
+    assert totals == facts.agg(F.sum("cost_usd")).first()[0] and totals.as_tuple().exponent == -2
