@@ -15,6 +15,7 @@ from haulmark.plans.scoring import score
 from haulmark.plans.training import ModelStore, TrainingConfig
 from haulmark.plans.warehouse import Warehouse
 from haulmark.sources.raw import write_raw
+from workload import materialised as built
 
 SMALL = TrainingConfig(
     as_of_year=2026, folds=2, iterations=20, trees=3, forest_depth=3, rounds=3, fit_rows=300
@@ -248,3 +249,19 @@ def test_fits_take_as_many_tasks_as_their_rows_are_worth(spark, trained, tmp_pat
     assert training.in_fit_tasks(many, 35).rdd.getNumPartitions() == 4
     monkeypatch.setattr(training, "MOST_TASK_ROWS", 20)
     assert training.in_fit_tasks(many, 1000).rdd.getNumPartitions() == 50
+
+
+def test_registered_models_are_fitted_on_all_training_rows(spark, tmp_path, monkeypatch):
+    """25,100 training rows, with the settings of the registered queries but one quick model."""
+    fields = {name: "1.0D" for name in REQUIRED_FIELDS} | {name: "'a'" for name in CATEGORICAL}
+    fields |= {"weight_kg": "double(id % 100)", "is_weekend": "id % 2 = 0"}
+    columns = [f"{value} AS {name}" for name, value in fields.items()]
+    rows = spark.range(31_375).selectExpr(
+        "concat('S', id) AS source_shipment_id", "int(id % 100 > 40) AS label", *columns
+    )
+    monkeypatch.setattr(training, "training_set", lambda wh: rows)
+    config = replace(built.TRAINING, folds=2, iterations=5, models=("Logistic Regression",))
+    root = f"file:{tmp_path}/m"
+    training.train(Warehouse(spark, f"file:{tmp_path}/wh"), root, config)
+    counts = ModelStore(spark, root).details()["rows"]
+    assert counts == {"train": 25_100, "fitted": 25_100, "test": 6_275}
