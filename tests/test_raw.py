@@ -52,6 +52,22 @@ def test_position_is_file_order(spark, frame, tmp_path, fmt):
     assert [r[0] for r in found] == list(range(500))
 
 
+def test_csv_runs_are_packed_and_plain_ones_read(spark, frame, tmp_path):
+    """Less than half the plain text's size; rows of either are numbered in file order."""
+    root = f"file:{tmp_path}"
+    rows = frame(*[record(n, delay_minutes=n) for n in range(600)])
+    packed, plain = write_raw(rows.repartitionByRange(3, "delay_minutes"), root, "a", "csv"), raw_key("b", "csv")
+    rows.write.option("header", True).csv(f"{root}/{plain}")
+    size = {key: sum(f.stat().st_size for f in (tmp_path / key).glob("part-*")) for key in (packed, plain)}
+    assert size[packed] < size[plain] / 2
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16KB")  # plain parts are split
+    try:
+        found = read_raw(spark, root).orderBy(*ORDER).select("raw_file", "delay_minutes").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [tuple(r) for r in found] == [(key, n) for key in (packed, plain) for n in range(600)]
+
+
 def test_both_formats_together(spark, frame, tmp_path):
     root = f"file:{tmp_path}"
     write_raw(frame(record(1)), root, "a", "csv")
