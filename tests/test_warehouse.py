@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from haulmark.operators import bitmap, keyed
-from haulmark.operators.first_wins import first_attributes, first_rows
+from haulmark.operators.first_wins import at_first_positions, first_attributes, first_rows
 from haulmark.operators.surrogate import numbered, stage_in_order
 from haulmark.plans import warehouse as module
 from haulmark.plans.star import shipment_detail, star
@@ -253,6 +253,27 @@ def test_first_wins_under_a_hot_key(spark):
     assert {r["k"]: r["v"] for r in wide} == wanted
 
 
+@pytest.mark.parametrize("most", [None, -1])
+def test_first_wins_by_positions_deals_out_no_other_rows(spark, tmp_path, monkeypatch, most):
+    """Attributes that differ in each row, a hot key and NULL; also without the bitmap."""
+    if most:
+        monkeypatch.setattr(keyed, "BROADCAST_BYTES", most)
+    rows = spark.range(9000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 > 0 THEN concat('k', id % 50) END AS k",
+        "IF(id % 5 = 0, NULL, concat('v', id)) AS v",
+        "(id * 7919) % 9000 AS place",
+    ).repartition(4)
+    plain = first_attributes(rows, ["k"], ["v"], ["place"]).collect()
+    path = f"file:{tmp_path}/firsts"
+    found = first_attributes(rows, ["k"], ["v"], ["place"], path).collect()
+    assert len(plain) == 52 and {tuple(r) for r in found} == {tuple(r) for r in plain}
+    held = at_first_positions(rows, ["k"], "place", path)
+    assert held.count() == 52
+    if not most:
+        plan = held._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan
+
+
 def test_views(spark, frame, tmp_path):
     root = f"file:{tmp_path}"
     write_raw(frame(record(1)), root, "a")
