@@ -320,3 +320,26 @@ def test_what_is_dealt_holds_no_key_twice_and_no_nation(spark, monkeypatch, caps
     names = {name.strip().split("#")[0] for name in dealt[1].split(",")}
     assert {"l_partkey", "p_type", "_order"} <= names
     assert not names & {"p_partkey", "s_suppkey", "c_nation", "r_name"}
+
+
+def test_rolled_lines_are_dealt_once_to_the_tasks_asked_for(spark, tmp_path):
+    """In record order over the tasks, without a join that deals the lines before."""
+    made = {
+        "region": "SELECT 0L AS r_regionkey, 'R' AS r_name",
+        "nation": "SELECT 0L AS n_nationkey, 'N' AS n_name, 0L AS n_regionkey",
+        "customer": "SELECT id AS c_custkey, 'c' AS c_name, 0L AS c_nationkey, 'm' AS c_mktsegment FROM range(3)",
+        "supplier": "SELECT id AS s_suppkey, 's' AS s_name, 0L AS s_nationkey FROM range(4)",
+        "part": "SELECT id AS p_partkey, 't' AS p_type, 1L AS p_size FROM range(5)",
+        "orders": "SELECT id AS o_orderkey, id % 3 AS o_custkey, TIMESTAMP_NTZ '1998-01-01' AS o_orderdate FROM range(40)",
+        "lineitem": """SELECT id % 41 AS l_orderkey, id % 7 AS l_linenumber, id % 5 AS l_partkey,
+            id % 4 AS l_suppkey, id AS l_quantity, 1 AS l_extendedprice, 1 AS l_shipdate,
+            0 AS l_discount, 0 AS l_tax, 'r' AS l_returnflag, 'l' AS l_linestatus FROM range(400)""",
+    }
+    for name, sql in made.items():
+        spark.sql(sql).write.parquet(f"file:{tmp_path}/{name}.parquet")
+    lines = feed.ordered_lines(spark, f"file:{tmp_path}", 5)
+    assert lines.rdd.getNumPartitions() == 5
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("Repartition") == 1
+    found = [tuple(r) for r in lines.select(*feed.LINE_ORDER).collect()]
+    plain = feed.order_lines(spark, f"file:{tmp_path}").select(*feed.LINE_ORDER).collect()
+    assert found == sorted(tuple(r) for r in plain) and len(found) == 391
