@@ -106,7 +106,10 @@ class EventTable:
             in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
             batch = batch.withColumn("source_row", in_task)
         arrival = arrival_order(batch)
-        batch = batch.withColumn("reason", _problem()).persist(StorageLevel.MEMORY_AND_DISK)
+        # The text of a message, most of its bytes, is kept for those that are set aside alone.
+        text = F.when(F.col("reason").isNotNull(), F.col("message")).alias("message")
+        batch = batch.withColumn("reason", _problem()).withColumn("message", text)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             total, bad = batch.agg(F.count("*"), F.count("reason")).first()
             if total > bad:

@@ -241,3 +241,26 @@ def test_publish_frame(spark):
     )
     message = publish_frame(events).first()
     assert message["key"] == "RT-1" and json.loads(message["value"]) == rows[0]
+
+
+def test_texts_of_usable_messages_are_not_held(feed, monkeypatch):
+    """A batch in memory has the texts of what is set aside alone."""
+    held = {}
+    store, set_aside = EventTable._store_new, EventTable._set_aside
+
+    def watch(name, inner):
+        def call(self, rows, *args):
+            held[name] = sorted(r["message"] or "" for r in rows.select("message").collect())
+            return inner(self, rows, *args)
+
+        return call
+
+    monkeypatch.setattr(EventTable, "_store_new", watch("good", store))
+    monkeypatch.setattr(EventTable, "_set_aside", watch("bad", set_aside))
+    messages = [event(1), event(2, weight_kg=1e12), event(3), "broken"]
+    rows = feed.spark.createDataFrame([(m,) for m in messages], "value string")
+    feed.table.upsert(enrich(decode(rows)), "q", 0)
+    assert held == {"good": ["", ""], "bad": sorted([messages[1], "broken"])}
+    assert set(feed.stored()) == {"1", "3"}
+    aside = {r["message"] for r in feed.table.quarantine().collect()}
+    assert aside == {messages[1], "broken"}
